@@ -34,7 +34,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

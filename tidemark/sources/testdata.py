@@ -70,15 +70,24 @@ def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, Dat
 
 
 def raw_events(t: dict[str, DataFrame]) -> DataFrame:
-    """One raw event per line item, plus one all-null padding row per nation."""
+    """One raw event per line item, plus one all-null padding row per nation.
+
+    Line items are hash-partitioned on the order key first. On a cluster this
+    is the shuffle the line item / order sort-merge join needs anyway (same
+    key, same partition count), so the join reuses it; when the orders side is
+    small enough to broadcast it still spreads the per-row text building over
+    all cores instead of the few tasks a large Parquet row group yields.
+    """
     li, o, p, c, n = t["lineitem"], t["orders"], t["part"], t["customer"], t["nation"]
+    parts = int(li.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    li = li.repartition(parts, "l_orderkey")
     joined = (li.join(o, li.l_orderkey == o.o_orderkey)
               .join(p, li.l_partkey == p.p_partkey)
               .join(c, o.o_custkey == c.c_custkey)
               .join(n, c.c_nationkey == n.n_nationkey))
     idx = F.col("n_nationkey") % 11
     currency = _pick(CURRENCIES, idx)
-    fx_text = F.coalesce(*[F.when(currency == F.lit(k), F.lit(v)) for k, v in FX_TO_USD.items()])
+    fx_text = _pick([FX_TO_USD[c] for c in CURRENCIES], idx)
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     disc = F.col("l_discount").cast("decimal(4,2)")
     tax = F.col("l_tax").cast("decimal(4,2)")
