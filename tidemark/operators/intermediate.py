@@ -122,6 +122,24 @@ def int_loyal_customers(customer_orders: DataFrame, customers: DataFrame,
     return flagged.join(profile, "customer_id", "left").select(*LOYAL_COLUMNS)
 
 
+def with_loyalty(order_rows: DataFrame, loyal_customers: DataFrame) -> DataFrame:
+    """Order rows plus ``is_loyal_customer`` (false when the customer is null or
+    has no loyalty row), the literal order-level join.
+
+    Null customers can never match, so they skip the join instead of all
+    hashing to one reducer; a hot non-null customer is split by adaptive skew
+    join handling. Aggregating marts use ``loyalty_rollup`` instead, which joins
+    nothing at order grain.
+    """
+    flags = loyal_customers.select("customer_id", "is_loyal_customer")
+    known = (order_rows.where(F.col("customer_id").isNotNull())
+             .join(flags, "customer_id", "left")
+             .withColumn("is_loyal_customer", F.coalesce(F.col("is_loyal_customer"), F.lit(False))))
+    unknown = order_rows.where(F.col("customer_id").isNull()).withColumn(
+        "is_loyal_customer", F.lit(False))
+    return known.unionByName(unknown)
+
+
 # --------------------------------------------------------------------------- loyalty rollup
 
 def loyalty_rollup(rows: DataFrame, keys: list, partials: dict[str, Column],

@@ -42,15 +42,15 @@ class Models:
     # staging
     @cached_property
     def stg_events(self) -> DataFrame:
-        return self._staged.get("stg_events") or S.stg_events(self.raw["events"])
+        return self._staged["stg_events"] if "stg_events" in self._staged else S.stg_events(self.raw["events"])
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return self._staged.get("stg_products") or S.stg_products(self.raw["products"])
+        return self._staged["stg_products"] if "stg_products" in self._staged else S.stg_products(self.raw["products"])
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return self._staged.get("stg_customers") or S.stg_customers(self.raw["customers"])
+        return self._staged["stg_customers"] if "stg_customers" in self._staged else S.stg_customers(self.raw["customers"])
 
     # intermediate
     @cached_property

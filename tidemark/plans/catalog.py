@@ -65,13 +65,10 @@ def q_orders_only(spark, sf_dir):
 
 
 def q_orders_with_loyalty(spark, sf_dir):
-    """Each order with its customer's loyalty flag (false when the customer
-    is null or unknown). The flag table is at customer grain."""
+    """Each order with its customer's loyalty flag."""
     m = models(spark, sf_dir)
-    flags = m.int_loyal_customers.select("customer_id", "is_loyal_customer")
     o = orders(m.stg_events).select("event_id", "customer_id", "channel", "net_revenue_usd")
-    return (o.join(flags, "customer_id", "left")
-            .withColumn("is_loyal_customer", F.coalesce(F.col("is_loyal_customer"), F.lit(False))))
+    return I.with_loyalty(o, m.int_loyal_customers)
 
 
 def q_op_region_fill(spark, sf_dir):

@@ -51,11 +51,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is. Only local runs (tests, bench) without it get a fresh scratch folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def lake_root(spark: SparkSession) -> str:
