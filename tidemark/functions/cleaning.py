@@ -52,14 +52,16 @@ def parse_flag(c) -> Column:
     return F.coalesce(F.lower(F.trim(_col(c))) == F.lit("true"), F.lit(False))
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def region_of(country) -> Column:
-    """Look a country up in COUNTRY_REGION, UNKNOWN_REGION if absent."""
-    country = _col(country)
-    expr = None
-    for name, region in COUNTRY_REGION.items():
-        expr = (F.when(country == F.lit(name), F.lit(region)) if expr is None
-                else expr.when(country == F.lit(name), F.lit(region)))
-    return expr.otherwise(F.lit(UNKNOWN_REGION))
+    """Look a country up in COUNTRY_REGION, UNKNOWN_REGION if absent (one
+    map-literal lookup, folded to a constant map by the optimizer)."""
+    pairs = ", ".join(f"{_sql_text(k)}, {_sql_text(v)}" for k, v in COUNTRY_REGION.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), _col(country)),
+                      F.lit(UNKNOWN_REGION))
 
 
 def fill_region(country, region, trim_values: bool) -> Column:

@@ -12,9 +12,9 @@ does not read.
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import RAW_CUSTOMERS_COLUMNS, RAW_EVENTS_COLUMNS, RAW_PRODUCTS_COLUMNS
 
@@ -51,22 +51,66 @@ NO_PROFILE_MOD = 41
 
 TABLES = ("lineitem", "orders", "part", "customer", "nation")
 
+# Schemas found in each input file, so repeated reads skip the footer scan.
+_SCHEMA_CACHE: dict[tuple[str, float], object] = {}
 
-def _pick(values, index: Column) -> Column:
-    """values[index] for a small fixed tuple (CASE over the index)."""
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(index == i, lit) if expr is None else expr.when(index == i, lit)
-    return expr
 
+def _sql(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
+
+def _pick(values, index_sql: str) -> str:
+    """values[index] for a small fixed tuple, as one array-literal lookup."""
+    return f"try_element_at(array({', '.join(_sql(v) for v in values)}), cast({index_sql} AS int) + 1)"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
+    schema = _SCHEMA_CACHE.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMA_CACHE[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
+    return {n: read_table(spark, sf_dir, n) for n in names}
+
+
+def _events_sql() -> list[str]:
+    disc_codes = _pick(RAW_DISCOUNT_CODES, "disc_idx")
+    return [
+        "concat_ws('-', cast(l_orderkey AS string), cast(l_linenumber AS string), "
+        "cast(l_partkey AS string), cast(l_suppkey AS string), cast(to_date(l_shipdate) AS string)) AS event_id",
+        "CASE WHEN o_orderstatus = 'P' THEN 'invoice' ELSE 'order' END AS event_type",
+        f"CASE WHEN o_custkey % {NULL_CUSTOMER_MOD} = 0 THEN NULL "
+        "ELSE concat('CUST', cast(o_custkey AS string)) END AS customer_id",
+        f"CASE WHEN l_partkey % {MISSING_PRODUCT_MOD} = 0 THEN 'PROD-MISSING' "
+        "ELSE concat('PROD', cast(l_partkey AS string)) END AS product_id",
+        "cast(o_orderdate AS string) AS event_date",
+        "CASE WHEN l_returnflag = 'R' THEN cast(l_shipdate AS string) ELSE '' END AS refund_datetime",
+        f"{_pick(COUNTRIES, 'nat_idx')} AS country",
+        "cast(cast(n_nationkey AS decimal(10,4)) AS string) AS latitude",
+        "cast(cast(-n_nationkey AS decimal(10,4)) AS string) AS longitude",
+        f"{_pick(RAW_REGIONS, 'nat_idx')} AS region",
+        f"{_pick(RAW_CHANNELS, 'cast(substring(o_orderpriority, 1, 1) AS int) - 1')} AS channel",
+        "CASE l_linestatus WHEN 'F' THEN ' Card ' WHEN 'O' THEN 'PayPal' END AS payment_method",
+        f"{_pick(CURRENCIES, 'nat_idx')} AS currency",
+        "cast(cast(l_quantity AS int) AS string) AS quantity",
+        "cast(cast(p_retailprice AS decimal(12,2)) AS string) AS unit_price_local",
+        "cast(cast(net_local AS decimal(12,4)) AS string) AS net_revenue_local",
+        "cast(cast(price * disc AS decimal(12,4)) AS string) AS discount_local",
+        "cast(cast(net_local * tax AS decimal(12,4)) AS string) AS tax_local",
+        "fx_text AS fx_rate_to_usd",
+        "cast(cast(net_local * cast(fx_text AS decimal(10,6)) AS decimal(12,4)) AS string) AS net_revenue_usd",
+        f"CASE WHEN disc_idx < {len(RAW_DISCOUNT_CODES)} THEN {disc_codes} "
+        f"ELSE {_sql(DISCOUNT_OTHER)} END AS discount_code",
+        "CASE l_returnflag WHEN 'R' THEN ' TRUE' WHEN 'A' THEN 'False ' ELSE 'maybe' END AS is_refunded",
+        "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN ' Defective ' "
+        "WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN '  ' ELSE '' END AS refund_reason",
+    ]
 
 
 def raw_events(t: dict[str, DataFrame]) -> DataFrame:
@@ -85,96 +129,95 @@ def raw_events(t: dict[str, DataFrame]) -> DataFrame:
               .join(p, li.l_partkey == p.p_partkey)
               .join(c, o.o_custkey == c.c_custkey)
               .join(n, c.c_nationkey == n.n_nationkey))
-    idx = F.col("n_nationkey") % 11
-    currency = _pick(CURRENCIES, idx)
-    fx_text = _pick([FX_TO_USD[c] for c in CURRENCIES], idx)
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    net_local = price * (F.lit(1) - disc)
-    disc_idx = (disc * 100).cast("int")
-    rflag, lstatus = F.col("l_returnflag"), F.col("l_linestatus")
-    cols = {
-        "event_id": F.concat_ws("-", _text(F.col("l_orderkey")), _text(F.col("l_linenumber")),
-                                _text(F.col("l_partkey")), _text(F.col("l_suppkey")),
-                                _text(F.to_date("l_shipdate"))),
-        "event_type": F.when(F.col("o_orderstatus") == "P", F.lit("invoice")).otherwise(F.lit("order")),
-        "customer_id": F.when(F.col("o_custkey") % NULL_CUSTOMER_MOD == 0, F.lit(None).cast("string"))
-                        .otherwise(F.concat(F.lit("CUST"), _text(F.col("o_custkey")))),
-        "product_id": F.when(F.col("l_partkey") % MISSING_PRODUCT_MOD == 0, F.lit("PROD-MISSING"))
-                       .otherwise(F.concat(F.lit("PROD"), _text(F.col("l_partkey")))),
-        "event_date": _text(F.col("o_orderdate")),
-        "refund_datetime": F.when(rflag == "R", _text(F.col("l_shipdate"))).otherwise(F.lit("")),
-        "country": _pick(COUNTRIES, idx),
-        "latitude": _text(F.col("n_nationkey").cast("decimal(10,4)")),
-        "longitude": _text((-F.col("n_nationkey")).cast("decimal(10,4)")),
-        "region": _pick(RAW_REGIONS, idx),
-        "channel": _pick(RAW_CHANNELS, F.substring("o_orderpriority", 1, 1).cast("int") - 1),
-        "payment_method": F.when(lstatus == "F", F.lit(" Card ")).when(lstatus == "O", F.lit("PayPal")),
-        "currency": currency,
-        "quantity": _text(F.col("l_quantity").cast("int")),
-        "unit_price_local": _text(F.col("p_retailprice").cast("decimal(12,2)")),
-        "net_revenue_local": _text(net_local.cast("decimal(12,4)")),
-        "discount_local": _text((price * disc).cast("decimal(12,4)")),
-        "tax_local": _text((net_local * tax).cast("decimal(12,4)")),
-        "fx_rate_to_usd": fx_text,
-        "net_revenue_usd": _text((net_local * fx_text.cast("decimal(10,6)")).cast("decimal(12,4)")),
-        "discount_code": F.when(disc_idx < len(RAW_DISCOUNT_CODES), _pick(RAW_DISCOUNT_CODES, disc_idx))
-                          .otherwise(F.lit(DISCOUNT_OTHER)),
-        "is_refunded": F.when(rflag == "R", F.lit(" TRUE")).when(rflag == "A", F.lit("False "))
-                        .otherwise(F.lit("maybe")),
-        "refund_reason": F.when((rflag == "R") & (lstatus == "F"), F.lit(" Defective "))
-                          .when((rflag == "R") & (lstatus == "O"), F.lit("  ")).otherwise(F.lit("")),
-    }
-    events = joined.select(*[cols[name].alias(name) for name in RAW_EVENTS_COLUMNS])
-    padding = n.select(*[F.lit(None).cast("string").alias(name) for name in RAW_EVENTS_COLUMNS])
+    fx_text = _pick([FX_TO_USD[cur] for cur in CURRENCIES], "n_nationkey % 11")
+    prepared = joined.selectExpr(
+        "*",
+        "n_nationkey % 11 AS nat_idx",
+        "cast(l_extendedprice AS decimal(12,2)) AS price",
+        "cast(l_discount AS decimal(4,2)) AS disc",
+        "cast(l_tax AS decimal(4,2)) AS tax",
+        "cast(l_extendedprice AS decimal(12,2)) * (1 - cast(l_discount AS decimal(4,2))) AS net_local",
+        "cast(cast(l_discount AS decimal(4,2)) * 100 AS int) AS disc_idx",
+        f"{fx_text} AS fx_text",
+    )
+    events = prepared.selectExpr(*_events_sql())
+    padding = n.selectExpr(*[f"CAST(NULL AS string) AS {c}" for c in RAW_EVENTS_COLUMNS])
     return events.unionByName(padding)
 
 
 def raw_products(t: dict[str, DataFrame]) -> DataFrame:
-    p = t["part"]
-    cycle = _pick(BILLING_CYCLES, F.col("p_size") % 5)
-    price = _text(F.col("p_retailprice").cast("decimal(12,2)"))
-    cols = {
-        "product_id": F.concat(F.lit("PROD"), _text(F.col("p_partkey"))),
-        "product_name": F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")),
-        "category": F.when(F.col("p_type") == ADDON_PART_TYPE, F.lit("Add-on")).otherwise(F.col("p_type")),
-        "is_subscription": F.when(cycle == "One-time", F.lit("False")).otherwise(F.lit("True")),
-        "billing_cycle": cycle,
-        "base_price_usd": price,
-        "first_release_date": F.lit("2024-02-01 00:00:00"),
-        "vendor": F.col("p_brand"),
-        "resale_model": _pick(RESALE_MODELS, F.col("p_size") % 3),
-        "brand_safe_name": F.concat_ws(" ", F.col("p_name"), F.col("p_brand")),
-        "product_name_orig": F.col("p_name"),
-        "base_price_usd_orig": price,
-        "base_key": F.lower(F.col("p_name")),
-        "product_version": F.lit("v4.0"),
-    }
-    return p.select(*[cols[name].alias(name) for name in RAW_PRODUCTS_COLUMNS])
+    cycle = _pick(BILLING_CYCLES, "p_size % 5")
+    price = "cast(cast(p_retailprice AS decimal(12,2)) AS string)"
+    return t["part"].selectExpr(
+        "concat('PROD', cast(p_partkey AS string)) AS product_id",
+        "concat('  ', p_name, ' ') AS product_name",
+        f"CASE WHEN p_type = {_sql(ADDON_PART_TYPE)} THEN 'Add-on' ELSE p_type END AS category",
+        f"CASE WHEN {cycle} = 'One-time' THEN 'False' ELSE 'True' END AS is_subscription",
+        f"{cycle} AS billing_cycle",
+        f"{price} AS base_price_usd",
+        "'2024-02-01 00:00:00' AS first_release_date",
+        "p_brand AS vendor",
+        f"{_pick(RESALE_MODELS, 'p_size % 3')} AS resale_model",
+        "concat_ws(' ', p_name, p_brand) AS brand_safe_name",
+        "p_name AS product_name_orig",
+        f"{price} AS base_price_usd_orig",
+        "lower(p_name) AS base_key",
+        "'v4.0' AS product_version",
+    )
 
 
 def raw_customers(t: dict[str, DataFrame]) -> DataFrame:
     c, n = t["customer"], t["nation"]
-    joined = c.join(n, c.c_nationkey == n.n_nationkey).where(F.col("c_custkey") % NO_PROFILE_MOD != 0)
-    idx = F.col("n_nationkey") % 11
-    month = F.lpad(_text(F.col("c_custkey") % 12 + 1), 2, "0")
-    cols = {
-        "customer_id": F.concat(F.lit("CUST"), _text(F.col("c_custkey"))),
-        "signup_date": F.concat(F.lit("2023-"), month, F.lit("-01 00:00:00")),
-        "country": F.concat(F.lit(" "), _pick(COUNTRIES, idx), F.lit(" ")),
-        "country_latitude": _text(F.col("n_nationkey").cast("decimal(10,4)")),
-        "country_longitude": _text((-F.col("n_nationkey")).cast("decimal(10,4)")),
-        "region": _pick(RAW_REGIONS, idx),
-        "segment": F.concat(F.lit(" "), F.col("c_mktsegment")),
-        "age_band": _pick(AGE_BANDS, F.col("c_custkey") % 5),
-        "acquisition_channel": _pick(ACQUISITION_CHANNELS, F.col("c_custkey") % 6),
-        "currency_preference": _pick(CURRENCIES, idx),
-    }
-    return joined.select(*[cols[name].alias(name) for name in RAW_CUSTOMERS_COLUMNS])
-
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    joined = c.join(n, c.c_nationkey == n.n_nationkey).where(f"c_custkey % {NO_PROFILE_MOD} <> 0")
+    idx = "n_nationkey % 11"
+    return joined.selectExpr(
+        "concat('CUST', cast(c_custkey AS string)) AS customer_id",
+        "concat('2023-', lpad(cast(c_custkey % 12 + 1 AS string), 2, '0'), '-01 00:00:00') AS signup_date",
+        f"concat(' ', {_pick(COUNTRIES, idx)}, ' ') AS country",
+        "cast(cast(n_nationkey AS decimal(10,4)) AS string) AS country_latitude",
+        "cast(cast(-n_nationkey AS decimal(10,4)) AS string) AS country_longitude",
+        f"{_pick(RAW_REGIONS, idx)} AS region",
+        "concat(' ', c_mktsegment) AS segment",
+        f"{_pick(AGE_BANDS, 'c_custkey % 5')} AS age_band",
+        f"{_pick(ACQUISITION_CHANNELS, 'c_custkey % 6')} AS acquisition_channel",
+        f"{_pick(CURRENCIES, idx)} AS currency_preference",
+    )
+
+
+class RawTables(Mapping):
+    """The three raw tables, each built on first access (lazy DataFrames)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._built = spark, sf_dir, {}
+        self._inputs: dict[str, DataFrame] = {}
+
+    def _input(self, name: str) -> DataFrame:
+        if name not in self._inputs:
+            self._inputs[name] = read_table(self._spark, self._dir, name)
+        return self._inputs[name]
+
+    def _view(self, names) -> dict[str, DataFrame]:
+        return {n: self._input(n) for n in names}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            if key == "events":
+                self._built[key] = raw_events(self._view(TABLES))
+            elif key == "products":
+                self._built[key] = raw_products(self._view(("part",)))
+            elif key == "customers":
+                self._built[key] = raw_customers(self._view(("customer", "nation")))
+            else:
+                raise KeyError(key)
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(("events", "products", "customers"))
+
+    def __len__(self) -> int:
+        return 3
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """The three raw tables derived from ``sf_dir``'s Parquet files (lazy)."""
-    t = read_tables(spark, sf_dir)
-    return {"events": raw_events(t), "products": raw_products(t), "customers": raw_customers(t)}
+    return RawTables(spark, sf_dir)
