@@ -9,6 +9,7 @@ across all marts), the marts are computed from silver and written to gold.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -133,16 +134,31 @@ def build(raw: dict[str, DataFrame], threshold: int = I.LOYALTY_THRESHOLD) -> di
     return {n: m.model(n) for n in STAGING + INTERMEDIATE + MARTS}
 
 
+def write_concurrently(layout: Layout, frames: dict[str, DataFrame], layer: str,
+                       workers: int = 4) -> dict[str, DataFrame]:
+    """Write independent tables as concurrent Spark jobs.
+
+    The marts' late stages are small (a few tasks after aggregation), so
+    submitting the jobs together keeps the executors busy instead of running
+    one nearly idle job after another. Each write is its own atomic job.
+    """
+    if workers <= 1 or len(frames) <= 1:
+        return {n: layout.write(df, layer, n) for n, df in frames.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(frames))) as pool:
+        futures = {n: pool.submit(layout.write, df, layer, n) for n, df in frames.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 def materialize(raw: dict[str, DataFrame], layout: Layout,
-                threshold: int = I.LOYALTY_THRESHOLD) -> tuple[dict[str, DataFrame], DataFrame]:
+                threshold: int = I.LOYALTY_THRESHOLD,
+                workers: int = 4) -> tuple[dict[str, DataFrame], DataFrame]:
     """Production build: staging -> silver Parquet, data checks, marts -> gold.
 
     Returns the written marts and the check results. Checks are reported, not
     blocking, except a duplicate product or customer key in silver: the marts
     join at customer/product grain and would fan rows out, so the build stops.
     """
-    staged_frames = Models(raw, threshold).staged()
-    silver = {n: layout.write(df, "silver", n) for n, df in staged_frames.items()}
+    silver = write_concurrently(layout, Models(raw, threshold).staged(), "silver", workers)
     m = Models(raw, threshold, staged=silver)
     checks = layout.write(m.checks(), "silver", "data_checks")
     # at most one row per check (14 rows), safe to bring to the driver
@@ -150,5 +166,5 @@ def materialize(raw: dict[str, DataFrame], layout: Layout,
                              "model IN ('stg_products', 'stg_customers')").collect())
     if blocking:
         raise ValueError(f"duplicate dimension keys: {[r.asDict() for r in blocking]}")
-    gold = {n: layout.write(m.model(n), "gold", n) for n in MARTS}
+    gold = write_concurrently(layout, {n: m.model(n) for n in MARTS}, "gold", workers)
     return gold, checks
