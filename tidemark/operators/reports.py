@@ -6,9 +6,10 @@ averaged across rows (percentages and distinct counts are not additive).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.ranking import with_global_rank
 from tidemark.functions.metrics import MONEY, MONEY_TOTAL, PERCENT, pct, rounded_ratio
 from tidemark.operators.marts import orders_with_products
 
@@ -79,19 +80,14 @@ def rep_loyal_by_acquisition(mart_loyal: DataFrame) -> DataFrame:
 
 
 def rep_discount_rank(discount_analysis: DataFrame) -> DataFrame:
-    """Discount codes ranked by use, revenue and loyal conversion.
-
-    One row per discount code: the ranking window runs over the code
-    dimension (already aggregated), not over orders.
-    """
-    def rank_by(c):
-        return F.rank().over(Window.orderBy(F.desc_nulls_last(c)))
-
-    return discount_analysis.select(
-        "discount_code", "total_orders", "total_revenue_usd", "loyal_customer_pct",
-        rank_by("total_orders").cast("int").alias("rank_by_orders"),
-        rank_by("total_revenue_usd").cast("int").alias("rank_by_revenue"),
-        rank_by("loyal_customer_pct").cast("int").alias("rank_by_loyal_pct"))
+    """Discount codes ranked by use, revenue and loyal conversion
+    (SQL ``rank()``, highest first), computed without a single-task window."""
+    ranked = discount_analysis.select("discount_code", "total_orders", "total_revenue_usd",
+                                      "loyal_customer_pct")
+    for col, name in (("total_orders", "rank_by_orders"), ("total_revenue_usd", "rank_by_revenue"),
+                      ("loyal_customer_pct", "rank_by_loyal_pct")):
+        ranked = with_global_rank(ranked, col, name)
+    return ranked
 
 
 def rep_attach_range(addon_attach: DataFrame) -> DataFrame:
