@@ -18,7 +18,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.plans.build import materialize  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.operators import intermediate as I  # noqa: E402
+from tidemark.operators.staging import orders  # noqa: E402
+from tidemark.plans.build import Models, materialize  # noqa: E402
 from tidemark.plans.catalog import QUERIES, THRESHOLD  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 from tidemark.sources.sinks import Layout  # noqa: E402
@@ -46,6 +51,36 @@ def _time(fn) -> float:
     return time.perf_counter() - t
 
 
+def literal_channel(spark, sf_dir):
+    """The reference's literal plan for the channel mart: every order joined to
+    the loyalty table, then two different distinct counts per channel."""
+    m = Models(raw_tables(spark, sf_dir), THRESHOLD)
+    o = I.with_loyalty(orders(m.stg_events), m.int_loyal_customers)
+    return o.groupBy("channel").agg(
+        F.count("event_id").alias("total_orders"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        F.count_distinct(F.when(F.col("is_loyal_customer"), F.col("customer_id")))
+        .alias("loyal_customers"),
+        F.sum("net_revenue_usd").alias("total_revenue_usd"))
+
+
+def literal_second_purchase(spark, sf_dir):
+    """The literal self-join of rank-1 and rank-2 purchases."""
+    ev = Models(raw_tables(spark, sf_dir), THRESHOLD).stg_events
+    w = Window.partitionBy("customer_id").orderBy(F.asc_nulls_last("event_date"))
+    ranked = orders(ev).select("customer_id", "event_date", F.row_number().over(w).alias("rk"))
+    r1 = ranked.where("rk = 1").select("customer_id", F.col("event_date").alias("d1"))
+    r2 = ranked.where("rk = 2").select("customer_id", F.col("event_date").alias("d2"))
+    return r1.join(r2, "customer_id").select(
+        "customer_id", F.datediff(F.col("d2").cast("date"), F.col("d1").cast("date")).alias("days"))
+
+
+AB = {
+    "mart_channel_performance": ("literal_channel", literal_channel),
+    "op_days_to_second_purchase": ("literal_second_purchase", literal_second_purchase),
+}
+
+
 def main() -> None:
     spark = get_session(f"local[{CPUS}]", max(8, 2 * CPUS), app_name="tidemark-bench",
                         extra={"spark.driver.memory": "16g"})
@@ -69,6 +104,16 @@ def main() -> None:
         results["full_build"] = round(statistics.median(_time(build) for _ in range(RUNS)), 3)
         print(f"# full_build: cold {cold['full_build']}s warm {results['full_build']}s",
               file=sys.stderr)
+    ab = {}
+    if not only or os.environ.get("BENCH_AB"):
+        for name, (label, fn) in AB.items():
+            def run_literal():
+                fn(spark, SF_DIR).write.format("noop").mode("overwrite").save()
+            run_literal()
+            ab[label] = round(statistics.median(_time(run_literal) for _ in range(RUNS)), 3)
+            if name in results:
+                ab[name] = results[name]
+        print(f"# literal vs rewritten: {ab}", file=sys.stderr)
     total = round(sum(results.values()), 3)
     print(json.dumps({
         "metric": "sum of per-query median warm seconds",
@@ -80,6 +125,7 @@ def main() -> None:
         "cpus": CPUS,
         "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
         "runs": RUNS,
+        "literal_vs_rewritten": ab,
     }))
     spark.stop()
 

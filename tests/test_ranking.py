@@ -22,16 +22,18 @@ def _sql_rank(values, descending=True):
 def test_rank_matches_sql_rank(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
     for descending in (True, False):
-        got = {r.id: r.rk for r in with_global_rank(df.repartition(5), "v", "rk", descending).collect()}
-        want = _sql_rank(values, descending)
-        assert [got[i] for i in range(len(values))] == want
+        for limit in (0, 1000):  # 0 forces the distributed path
+            got = {r.id: r.rk for r in
+                   with_global_rank(df.repartition(5), "v", "rk", descending, limit).collect()}
+            want = _sql_rank(values, descending)
+            assert [got[i] for i in range(len(values))] == want
 
 
 def test_rank_many_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     try:
         df = spark.range(0, 500).selectExpr("id", "cast(id % 37 as int) AS v")
-        got = {r.id: r.rk for r in with_global_rank(df, "v", "rk").collect()}
+        got = {r.id: r.rk for r in with_global_rank(df, "v", "rk", single_task_values=0).collect()}
         vals = [i % 37 for i in range(500)]
         want = _sql_rank(vals)
         assert [got[i] for i in range(500)] == want

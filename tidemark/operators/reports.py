@@ -82,8 +82,10 @@ def rep_loyal_by_acquisition(mart_loyal: DataFrame) -> DataFrame:
 def rep_discount_rank(discount_analysis: DataFrame) -> DataFrame:
     """Discount codes ranked by use, revenue and loyal conversion
     (SQL ``rank()``, highest first), computed without a single-task window."""
+    # The aggregated code table is checkpointed once, so the three rankings
+    # (each a sort + checkpoint) do not recompute the orders pipeline.
     ranked = discount_analysis.select("discount_code", "total_orders", "total_revenue_usd",
-                                      "loyal_customer_pct")
+                                      "loyal_customer_pct").checkpoint(eager=True)
     for col, name in (("total_orders", "rank_by_orders"), ("total_revenue_usd", "rank_by_revenue"),
                       ("loyal_customer_pct", "rank_by_loyal_pct")):
         ranked = with_global_rank(ranked, col, name)
