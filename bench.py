@@ -34,7 +34,7 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 # Queries that write files as part of building their DataFrame are timed by
 # full_build instead.
-WRITING = {"src_events_csv", "sink_roundtrip"}
+WRITING = {"src_events_csv", "sink_roundtrip", "stream_ingest_events"}
 
 
 def _sf_label(path: str):

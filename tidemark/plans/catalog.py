@@ -25,6 +25,7 @@ from tidemark.session import lake_root
 from tidemark.sources.raw import read_raw, write_csv
 from tidemark.sources.sinks import Layout
 from tidemark.sources.testdata import raw_tables
+from tidemark.streaming import ingest_raw_stream
 
 # Loyalty threshold on the driver's data (FIXTURES.md §3); the library
 # default stays at the reference's value.
@@ -60,6 +61,22 @@ def q_src_events_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Layout(spark, root).write(scanned, "bronze", "events")
 
 
+def q_stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental bronze load: raw events land as CSV in two batches (orders,
+    then everything else); an ``availableNow`` file stream with one checkpoint
+    loads each batch once. The bronze table must equal the whole raw table."""
+    root = os.path.join(lake_root(spark), f"stream-{uuid.uuid4().hex[:8]}")
+    landing, bronze = os.path.join(root, "landing"), os.path.join(root, "bronze", "events")
+    checkpoint = os.path.join(root, "checkpoints", "events")
+    events = raw_tables(spark, sf_dir)["events"]
+    is_order = F.col("event_type").eqNullSafe(F.lit("order"))
+    for batch, rows in (("batch-1", events.where(is_order)), ("batch-2", events.where(~is_order))):
+        write_csv(rows, os.path.join(landing, batch))
+        ingest_raw_stream(spark, "events", os.path.join(landing, "*"), bronze,
+                          checkpoint).awaitTermination()
+    return spark.read.parquet(bronze)
+
+
 def q_orders_only(spark, sf_dir):
     return orders(models(spark, sf_dir).stg_events)
 
@@ -143,6 +160,7 @@ QUERIES: dict[str, Query] = {
     "src_products": _raw("products"),
     "src_customers": _raw("customers"),
     "src_events_csv": q_src_events_csv,
+    "stream_ingest_events": q_stream_ingest_events,
     **{n: _model(n) for n in STAGING},
     "orders_only": q_orders_only,
     "orders_with_loyalty": q_orders_with_loyalty,
