@@ -139,10 +139,10 @@ def mart_addon_attach_rate(events: DataFrame, products: DataFrame) -> DataFrame:
         F.count("event_id").alias("total_addon_orders"),
         _money_total(F.sum("net_revenue_usd")).alias("total_addon_revenue_usd"),
     )
-    return addons.select(
-        "addon_name", "addon_category", "customers_with_addon",
-        core.alias("total_core_customers"),
-        pct(F.col("customers_with_addon"), core).alias("attach_rate_pct"),
+    with_core = addons.withColumn("total_core_customers", core)
+    return with_core.select(
+        "addon_name", "addon_category", "customers_with_addon", "total_core_customers",
+        pct(F.col("customers_with_addon"), F.col("total_core_customers")).alias("attach_rate_pct"),
         "total_addon_orders", "total_addon_revenue_usd")
 
 
