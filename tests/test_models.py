@@ -179,3 +179,16 @@ def test_reports_on_small_build(spark):
     assert ranks[0].rank_by_orders == 1
     share_rev = {r.order_month: r.loyal_revenue_pct for r in m.report("ext_loyal_revenue_share").collect()}
     assert share_rev == {"2025-01": D("96.77")}
+
+
+def test_display_order_places_nulls_like_the_warehouse(spark):
+    df = spark.createDataFrame([(1, None), (2, D("5.00")), (3, D("7.00"))],
+                               "id int, total_revenue_usd decimal(22,2)")
+    got = [r.id for r in M.display_order("mart_channel_performance", df).collect()]
+    assert got == [1, 3, 2]  # descending: nulls first
+    months = spark.createDataFrame([(2025, 2), (None, 1), (2024, 12), (2025, 1)],
+                                   "order_year int, order_month_num int")
+    got = [(r.order_year, r.order_month_num)
+           for r in M.display_order("mart_sales_by_month", months).collect()]
+    assert got == [(2024, 12), (2025, 1), (2025, 2), (None, 1)]  # ascending: nulls last
+    assert M.display_order("not_a_model", df) is df
