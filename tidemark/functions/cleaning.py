@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,66 +31,99 @@ ADDON_CATEGORY = "Add-on"
 # ---------------------------------------------------------------------------
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# Each rule is written once as SQL text over a column name (or expression), so a
+# whole staging projection is one ``selectExpr`` call; the Column wrappers below
+# give the same rules to DataFrame-API callers.
+
+def _ident(c: str) -> str:
+    """A bare column name quoted for SQL; anything else is taken as an expression."""
+    return f"`{c}`" if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", c) else c
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def blank_to_null(c) -> Column:
+def blank_to_null_sql(c: str) -> str:
     """Trimmed text, with an empty result turned into null."""
-    return F.nullif(F.trim(_col(c)), F.lit(""))
+    return f"nullif(trim({_ident(c)}), '')"
 
 
-def typed(c, data_type: str) -> Column:
+def typed_sql(c: str, data_type: str) -> str:
     """Strict cast of raw text: blank becomes null, anything unparsable fails.
 
     ANSI casts raise on bad input, like the warehouse's cast does; blank cells
     are null first because non-CSV sources can carry ''.
     """
-    return blank_to_null(c).cast(data_type)
+    return f"CAST({blank_to_null_sql(c)} AS {data_type})"
 
 
-def parse_flag(c) -> Column:
+def parse_flag_sql(c: str) -> str:
     """'true'/'false' in any case and padding; everything else is false."""
-    return F.coalesce(F.lower(F.trim(_col(c))) == F.lit("true"), F.lit(False))
+    return f"coalesce(lower(trim({_ident(c)})) = 'true', false)"
 
 
-def _sql_text(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def region_of(country) -> Column:
+def region_of_sql(country: str) -> str:
     """Look a country up in COUNTRY_REGION, UNKNOWN_REGION if absent (one
     map-literal lookup, folded to a constant map by the optimizer)."""
     pairs = ", ".join(f"{_sql_text(k)}, {_sql_text(v)}" for k, v in COUNTRY_REGION.items())
-    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), _col(country)),
-                      F.lit(UNKNOWN_REGION))
+    return f"coalesce(try_element_at(map({pairs}), {_ident(country)}), {_sql_text(UNKNOWN_REGION)})"
 
 
-def fill_region(country, region, trim_values: bool) -> Column:
+def fill_region_sql(country: str, region: str, trim_values: bool) -> str:
     """Keep a present region, derive a missing (null or blank) one from country.
 
     Events keep country and region untrimmed; customers trim both
     (``trim_values=True``).
     """
-    country, region = _col(country), _col(region)
-    lookup_key = F.trim(country) if trim_values else country
-    kept = F.trim(region) if trim_values else region
-    missing = region.isNull() | (F.trim(region) == F.lit(""))
-    return F.when(missing, region_of(lookup_key)).otherwise(kept)
+    country, region = _ident(country), _ident(region)
+    key = f"trim({country})" if trim_values else country
+    kept = f"trim({region})" if trim_values else region
+    return (f"CASE WHEN {region} IS NULL OR trim({region}) = '' THEN {region_of_sql(key)} "
+            f"ELSE {kept} END")
 
 
-def clean_discount_code(c) -> Column:
+def clean_discount_code_sql(c: str) -> str:
     """'N/A', 'n/a' and '' (exact, before trimming) become null, others trimmed."""
-    c = _col(c)
-    return F.when(c.isin(*NO_DISCOUNT_CODES), F.lit(None).cast("string")).otherwise(F.trim(c))
+    c = _ident(c)
+    codes = ", ".join(_sql_text(v) for v in NO_DISCOUNT_CODES)
+    return f"CASE WHEN {c} IN ({codes}) THEN CAST(NULL AS string) ELSE trim({c}) END"
 
 
-def date_parts(ts) -> dict[str, Column]:
+def date_parts_sql(ts: str) -> dict[str, str]:
     """Month label 'YYYY-MM' plus integer year, month and quarter."""
-    ts = _col(ts)
+    ts = _ident(ts)
     return {
-        "order_month": F.date_format(ts, "yyyy-MM"),
-        "order_year": F.year(ts).cast("int"),
-        "order_month_num": F.month(ts).cast("int"),
-        "order_quarter": F.quarter(ts).cast("int"),
+        "order_month": f"date_format({ts}, 'yyyy-MM')",
+        "order_year": f"CAST(year({ts}) AS int)",
+        "order_month_num": f"CAST(month({ts}) AS int)",
+        "order_quarter": f"CAST(quarter({ts}) AS int)",
     }
+
+
+def blank_to_null(c: str) -> Column:
+    return F.expr(blank_to_null_sql(c))
+
+
+def typed(c: str, data_type: str) -> Column:
+    return F.expr(typed_sql(c, data_type))
+
+
+def parse_flag(c: str) -> Column:
+    return F.expr(parse_flag_sql(c))
+
+
+def region_of(country: str) -> Column:
+    return F.expr(region_of_sql(country))
+
+
+def fill_region(country: str, region: str, trim_values: bool) -> Column:
+    return F.expr(fill_region_sql(country, region, trim_values))
+
+
+def clean_discount_code(c: str) -> Column:
+    return F.expr(clean_discount_code_sql(c))
+
+
+def date_parts(ts: str) -> dict[str, Column]:
+    return {name: F.expr(sql) for name, sql in date_parts_sql(ts).items()}

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import (
-    ADDON_CATEGORY, blank_to_null, clean_discount_code, date_parts, fill_region, parse_flag,
-    typed,
+    ADDON_CATEGORY, blank_to_null_sql, clean_discount_code_sql, date_parts_sql, fill_region_sql,
+    parse_flag_sql, typed_sql,
 )
 
 MONEY4 = "decimal(12,4)"
@@ -20,71 +20,68 @@ GEO4 = "decimal(10,4)"
 TS = "timestamp_ntz"
 
 
+def _project(raw: DataFrame, key: str, columns: list[tuple[str, str]]) -> DataFrame:
+    """Rows with a key, projected through (name, SQL expression) pairs in one call."""
+    return raw.where(f"{key} IS NOT NULL").selectExpr(
+        *[sql if sql == name else f"{sql} AS {name}" for name, sql in columns])
+
+
 def stg_events(raw: DataFrame) -> DataFrame:
     """One typed event per raw row with a key; 27 columns."""
-    event_date = typed("event_date", TS)
-    parts = date_parts(event_date)
-    return raw.where(F.col("event_id").isNotNull()).select(
-        F.col("event_id"),
-        F.col("event_type"),
-        F.col("customer_id"),
-        F.col("product_id"),
-        event_date.alias("event_date"),
-        typed("refund_datetime", TS).alias("refund_datetime"),
-        F.col("country"),
-        typed("latitude", GEO4).alias("latitude"),
-        typed("longitude", GEO4).alias("longitude"),
-        fill_region("country", "region", trim_values=False).alias("region"),
-        F.trim("channel").alias("channel"),
-        F.trim("payment_method").alias("payment_method"),
-        F.trim("currency").alias("currency"),
-        typed("quantity", "int").alias("quantity"),
-        typed("unit_price_local", MONEY4).alias("unit_price_local"),
-        typed("net_revenue_local", MONEY4).alias("net_revenue_local"),
-        typed("discount_local", MONEY4).alias("discount_local"),
-        typed("tax_local", MONEY4).alias("tax_local"),
-        typed("fx_rate_to_usd", FX6).alias("fx_rate_to_usd"),
-        typed("net_revenue_usd", MONEY4).alias("net_revenue_usd"),
-        clean_discount_code("discount_code").alias("discount_code"),
-        parse_flag("is_refunded").alias("is_refunded"),
-        blank_to_null("refund_reason").alias("refund_reason"),
-        *[c.alias(name) for name, c in parts.items()],
-    )
+    event_date = typed_sql("event_date", TS)
+    return _project(raw, "event_id", [
+        ("event_id", "event_id"),
+        ("event_type", "event_type"),
+        ("customer_id", "customer_id"),
+        ("product_id", "product_id"),
+        ("event_date", event_date),
+        ("refund_datetime", typed_sql("refund_datetime", TS)),
+        ("country", "country"),
+        ("latitude", typed_sql("latitude", GEO4)),
+        ("longitude", typed_sql("longitude", GEO4)),
+        ("region", fill_region_sql("country", "region", trim_values=False)),
+        ("channel", "trim(channel)"),
+        ("payment_method", "trim(payment_method)"),
+        ("currency", "trim(currency)"),
+        ("quantity", typed_sql("quantity", "int")),
+        ("unit_price_local", typed_sql("unit_price_local", MONEY4)),
+        ("net_revenue_local", typed_sql("net_revenue_local", MONEY4)),
+        ("discount_local", typed_sql("discount_local", MONEY4)),
+        ("tax_local", typed_sql("tax_local", MONEY4)),
+        ("fx_rate_to_usd", typed_sql("fx_rate_to_usd", FX6)),
+        ("net_revenue_usd", typed_sql("net_revenue_usd", MONEY4)),
+        ("discount_code", clean_discount_code_sql("discount_code")),
+        ("is_refunded", parse_flag_sql("is_refunded")),
+        ("refund_reason", blank_to_null_sql("refund_reason")),
+        *date_parts_sql(event_date).items(),
+    ])
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("product_id").isNotNull()).select(
-        F.col("product_id"),
-        F.trim("product_name").alias("product_name"),
-        F.trim("brand_safe_name").alias("brand_safe_name"),
-        F.trim("product_name_orig").alias("product_name_orig"),
-        F.trim("base_key").alias("base_key"),
-        F.trim("product_version").alias("product_version"),
-        F.trim("category").alias("category"),
-        F.trim("vendor").alias("vendor"),
-        F.trim("resale_model").alias("resale_model"),
-        F.trim("billing_cycle").alias("billing_cycle"),
-        parse_flag("is_subscription").alias("is_subscription"),
-        F.coalesce(F.trim("category") == F.lit(ADDON_CATEGORY), F.lit(False)).alias("is_addon"),
-        typed("base_price_usd", MONEY4).alias("base_price_usd"),
-        typed("base_price_usd_orig", MONEY4).alias("base_price_usd_orig"),
-        typed("first_release_date", TS).cast("date").alias("first_release_date"),
-    )
+    return _project(raw, "product_id", [
+        ("product_id", "product_id"),
+        *[(c, f"trim({c})") for c in ("product_name", "brand_safe_name", "product_name_orig",
+                                      "base_key", "product_version", "category", "vendor",
+                                      "resale_model", "billing_cycle")],
+        ("is_subscription", parse_flag_sql("is_subscription")),
+        ("is_addon", f"coalesce(trim(category) = '{ADDON_CATEGORY}', false)"),
+        ("base_price_usd", typed_sql("base_price_usd", MONEY4)),
+        ("base_price_usd_orig", typed_sql("base_price_usd_orig", MONEY4)),
+        ("first_release_date", f"CAST({typed_sql('first_release_date', TS)} AS date)"),
+    ])
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("customer_id").isNotNull()).select(
-        F.col("customer_id"),
-        typed("signup_date", TS).alias("signup_date"),
-        F.trim("country").alias("country"),
-        typed("country_latitude", GEO4).alias("country_latitude"),
-        typed("country_longitude", GEO4).alias("country_longitude"),
-        fill_region("country", "region", trim_values=True).alias("region"),
-        F.trim("segment").alias("segment"),
-        F.trim("age_band").alias("age_band"),
-        F.trim("acquisition_channel").alias("acquisition_channel"),
-        F.trim("currency_preference").alias("currency_preference"),
-    )
+    return _project(raw, "customer_id", [
+        ("customer_id", "customer_id"),
+        ("signup_date", typed_sql("signup_date", TS)),
+        ("country", "trim(country)"),
+        ("country_latitude", typed_sql("country_latitude", GEO4)),
+        ("country_longitude", typed_sql("country_longitude", GEO4)),
+        ("region", fill_region_sql("country", "region", trim_values=True)),
+        *[(c, f"trim({c})") for c in ("segment", "age_band", "acquisition_channel",
+                                      "currency_preference")],
+    ])
 
 
 def orders(events: DataFrame) -> DataFrame:

@@ -15,7 +15,9 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleaning import clean_discount_code, date_parts, fill_region, parse_flag, typed
+from tidemark.functions.cleaning import (
+    clean_discount_code, date_parts_sql, fill_region, parse_flag, typed_sql,
+)
 from tidemark.operators import intermediate as I
 from tidemark.operators import quality as Q
 from tidemark.operators.staging import orders
@@ -115,9 +117,9 @@ def q_op_flag_parse(spark, sf_dir):
 
 def q_op_date_parts(spark, sf_dir):
     ev = raw_tables(spark, sf_dir)["events"].where(F.col("event_id").isNotNull())
-    ts = typed("event_date", "timestamp_ntz")
-    return ev.select("event_id", ts.alias("event_date"),
-                     *[c.alias(n) for n, c in date_parts(ts).items()])
+    ts = typed_sql("event_date", "timestamp_ntz")
+    return ev.selectExpr("event_id", f"{ts} AS event_date",
+                         *[f"{sql} AS {n}" for n, sql in date_parts_sql(ts).items()])
 
 
 def q_op_purchase_rank(spark, sf_dir):

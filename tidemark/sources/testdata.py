@@ -52,8 +52,9 @@ NO_PROFILE_MOD = 41
 
 TABLES = ("lineitem", "orders", "part", "customer", "nation")
 
-# Schemas found in each input file, so repeated reads skip the footer scan.
-_SCHEMA_CACHE: dict[tuple[str, float], object] = {}
+# Input scans kept per session, keyed by path and modification time, so the
+# queries of one session share one file listing and schema per input file.
+_SCANS_ATTR = "_tidemark_input_scans"
 
 
 def _sql(v) -> str:
@@ -68,12 +69,10 @@ def _pick(values, index_sql: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
     key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
-    schema = _SCHEMA_CACHE.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMA_CACHE[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    scans = spark.__dict__.setdefault(_SCANS_ATTR, {})
+    if key not in scans:
+        scans[key] = spark.read.parquet(path)
+    return scans[key]
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
