@@ -97,10 +97,9 @@ def dq_schema_drift(tables: dict[str, DataFrame], declared=None) -> DataFrame:
     for model, cols in declared.items():
         df = tables[model]
         found = list(df.columns)
-        present = [c for c in found]
-        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in present])
-        pairs = ", ".join(f"'{c}', `{c}`" for c in present)
-        rows = counts.selectExpr(f"stack({len(present)}, {pairs}) AS (column_name, non_null_rows)")
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in found])
+        pairs = ", ".join(f"'{c}', `{c}`" for c in found)
+        rows = counts.selectExpr(f"stack({len(found)}, {pairs}) AS (column_name, non_null_rows)")
         status = F.when(F.col("column_name").isin(*cols), F.lit("ok")).otherwise(F.lit("added"))
         frames.append(rows.select(F.lit(model).alias("model"), "column_name", status.alias("status"),
                                   F.col("non_null_rows").cast("bigint").alias("non_null_rows")))
