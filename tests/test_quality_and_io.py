@@ -113,3 +113,22 @@ def test_streaming_ingest_is_incremental(spark, scratch):
     q = ingest_raw_stream(spark, "events", os.path.join(landing, "*"), bronze, ckpt)
     q.awaitTermination(120)
     assert sorted(r.event_id for r in spark.read.parquet(bronze).collect()) == ["E1", "E2", "E3"]
+
+
+def test_command_line_build_from_csv(spark, scratch, capsys):
+    from tidemark.__main__ import main
+    ev = fx.orders_for("C1", 3, product_id="P1") + fx.orders_for("C2", 1, product_id="P2")
+    paths = {}
+    for name, df in (("events", fx.events(spark, ev)),
+                     ("products", fx.products(spark, [{"product_id": "P1"}, {"product_id": "P2"}])),
+                     ("customers", fx.customers(spark, [{"customer_id": "C1"}, {"customer_id": "C2"}]))):
+        paths[name] = os.path.join(scratch, "in", name)
+        write_csv(df, paths[name])
+    lake = os.path.join(scratch, "lake")
+    assert main(["build", "--events", paths["events"], "--products", paths["products"],
+                 "--customers", paths["customers"], "--lake", lake, "--threshold", "3"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert len(out) == 15 and '"gold"' in out[-1]
+    chan = spark.read.parquet(os.path.join(lake, "gold", "mart_channel_performance")).collect()[0]
+    assert (chan.total_orders, chan.unique_customers, chan.loyal_customers) == (4, 2, 1)
+    assert os.path.isdir(os.path.join(lake, "bronze", "events"))
