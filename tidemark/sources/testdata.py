@@ -121,7 +121,11 @@ def raw_events(t: dict[str, DataFrame]) -> DataFrame:
     is the shuffle the line item / order sort-merge join needs anyway (same
     key, same partition count), so the join reuses it; when the orders side is
     small enough to broadcast it still spreads the per-row text building over
-    all cores instead of the few tasks a large Parquet row group yields.
+    all cores instead of the few tasks a large Parquet row group yields. The
+    partition count is the session's shuffle partition count, which on a
+    cluster is sized for the largest shuffle (adaptive execution coalesces the
+    smaller ones); a fixed count keeps coalescing from folding this stage back
+    onto a few cores when the input is small.
     """
     li, o, p, c, n = t["lineitem"], t["orders"], t["part"], t["customer"], t["nation"]
     parts = int(li.sparkSession.conf.get("spark.sql.shuffle.partitions"))
