@@ -45,6 +45,11 @@ def test_broken_keys_trip_each_check(spark):
     assert uq[("raw.products", "product_id")] == 1
     av = _failures(Q.dq_accepted_values(t))
     assert av[("stg_events", "event_type")] == 1
+    combined = {(r.check_name, r.model, r.column_name): r.failures for r in m.checks().collect()}
+    separate = {(r.check_name, r.model, r.column_name): r.failures
+                for df in (Q.dq_not_null(t), Q.dq_unique(t), Q.dq_accepted_values(t))
+                for r in df.collect()}
+    assert combined == separate and len(combined) == 14
 
 
 def test_orphans_and_row_counts(spark):

@@ -129,7 +129,31 @@ def dq_orphans(events: DataFrame, products: DataFrame, customers: DataFrame) ->
     return _union(frames)
 
 
+def _single_pass_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Not-null and accepted-values checks of each table in one aggregate pass."""
+    frames = []
+    models = list(dict.fromkeys([*NOT_NULL_CHECKS, *[m for m, _ in ACCEPTED_VALUES]]))
+    for model in models:
+        aggs, labels = [], []
+        for c in NOT_NULL_CHECKS.get(model, []):
+            aggs.append(F.count_if(F.col(c).isNull()).cast("bigint"))
+            labels.append(("not_null", c))
+        for (m, c), accepted in ACCEPTED_VALUES.items():
+            if m == model:
+                bad = F.when(F.col(c).isNotNull() & ~F.col(c).isin(*accepted), F.col(c))
+                aggs.append(F.count_distinct(bad).cast("bigint"))
+                labels.append(("accepted_values", c))
+        row = tables[model].agg(*[a.alias(f"_c{i}") for i, a in enumerate(aggs)])
+        pairs = ", ".join(f"'{chk}', '{c}', _c{i}" for i, (chk, c) in enumerate(labels))
+        frames.append(row.selectExpr(
+            f"stack({len(labels)}, {pairs}) AS (check_name, column_name, failures)")
+            .select("check_name", F.lit(model).alias("model"), "column_name", "failures"))
+    return frames
+
+
 def run_checks(raw: dict[str, DataFrame], stg: dict[str, DataFrame]) -> DataFrame:
-    """All pass/fail checks as one (check_name, model, column_name, failures) table."""
+    """All 14 pass/fail checks as one (check_name, model, column_name, failures)
+    table: per table one aggregate pass for not-null and accepted values, plus
+    one grouping per uniqueness test."""
     tables = {f"raw.{k}": v for k, v in raw.items()} | stg
-    return _union([dq_not_null(tables), dq_unique(tables), dq_accepted_values(tables)])
+    return _union([*_single_pass_checks(tables), dq_unique(tables)])
