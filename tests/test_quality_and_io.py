@@ -137,3 +137,12 @@ def test_command_line_build_from_csv(spark, scratch, capsys):
     chan = spark.read.parquet(os.path.join(lake, "gold", "mart_channel_performance")).collect()[0]
     assert (chan.total_orders, chan.unique_customers, chan.loyal_customers) == (4, 2, 1)
     assert os.path.isdir(os.path.join(lake, "bronze", "events"))
+
+
+def test_materialize_stops_on_duplicate_dimension_keys(spark, scratch):
+    import pytest
+    raw = {"events": fx.events(spark, fx.orders_for("C1", 2, product_id="P1")),
+           "products": fx.products(spark, [{"product_id": "P1"}, {"product_id": "P1"}]),
+           "customers": fx.customers(spark, [{"customer_id": "C1"}])}
+    with pytest.raises(ValueError, match="duplicate dimension keys"):
+        materialize(raw, Layout(spark, scratch), threshold=2)
