@@ -27,14 +27,17 @@ def _project(raw: DataFrame, key: str, columns: list[tuple[str, str]]) -> DataFr
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
-    """One typed event per raw row with a key; 27 columns."""
-    event_date = typed_sql("event_date", TS)
-    return _project(raw, "event_id", [
+    """One typed event per raw row with a key; 27 columns.
+
+    The date parts are derived from the typed event_date in a second
+    projection, so the text is parsed once per row, not once per part.
+    """
+    typed = _project(raw, "event_id", [
         ("event_id", "event_id"),
         ("event_type", "event_type"),
         ("customer_id", "customer_id"),
         ("product_id", "product_id"),
-        ("event_date", event_date),
+        ("event_date", typed_sql("event_date", TS)),
         ("refund_datetime", typed_sql("refund_datetime", TS)),
         ("country", "country"),
         ("latitude", typed_sql("latitude", GEO4)),
@@ -53,8 +56,9 @@ def stg_events(raw: DataFrame) -> DataFrame:
         ("discount_code", clean_discount_code_sql("discount_code")),
         ("is_refunded", parse_flag_sql("is_refunded")),
         ("refund_reason", blank_to_null_sql("refund_reason")),
-        *date_parts_sql(event_date).items(),
     ])
+    return typed.selectExpr("*", *[f"{sql} AS {name}"
+                                   for name, sql in date_parts_sql("event_date").items()])
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
