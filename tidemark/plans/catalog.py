@@ -117,9 +117,9 @@ def q_op_flag_parse(spark, sf_dir):
 
 def q_op_date_parts(spark, sf_dir):
     ev = raw_tables(spark, sf_dir)["events"].where(F.col("event_id").isNotNull())
-    ts = typed_sql("event_date", "timestamp_ntz")
-    return ev.selectExpr("event_id", f"{ts} AS event_date",
-                         *[f"{sql} AS {n}" for n, sql in date_parts_sql(ts).items()])
+    typed = ev.selectExpr("event_id", f"{typed_sql('event_date', 'timestamp_ntz')} AS event_date")
+    return typed.selectExpr("event_id", "event_date",
+                            *[f"{sql} AS {n}" for n, sql in date_parts_sql("event_date").items()])
 
 
 def q_op_purchase_rank(spark, sf_dir):
