@@ -132,21 +132,23 @@ def q_op_days_to_second_purchase(spark, sf_dir):
     return I.second_purchase(models(spark, sf_dir).stg_events)
 
 
+_TABLE_CHECKS = {
+    "dq_not_null": Q.dq_not_null,
+    "dq_unique": Q.dq_unique,
+    "dq_accepted_values": Q.dq_accepted_values,
+    "dq_row_counts": Q.dq_row_counts,
+    "dq_schema_drift": Q.dq_schema_drift,
+}
+
+
 def q_dq(name: str) -> Query:
+    """One data check over the raw and staged tables."""
     def run(spark, sf_dir):
         m = models(spark, sf_dir)
+        if name == "dq_orphans":
+            return Q.dq_orphans(m.stg_events, m.stg_products, m.stg_customers)
         tables = {f"raw.{k}": v for k, v in m.raw.items()} | m.staged()
-        if name == "dq_not_null":
-            return Q.dq_not_null(tables)
-        if name == "dq_unique":
-            return Q.dq_unique(tables)
-        if name == "dq_accepted_values":
-            return Q.dq_accepted_values(tables)
-        if name == "dq_row_counts":
-            return Q.dq_row_counts(tables)
-        if name == "dq_schema_drift":
-            return Q.dq_schema_drift(tables)
-        return Q.dq_orphans(m.stg_events, m.stg_products, m.stg_customers)
+        return _TABLE_CHECKS[name](tables)
     return run
 
 
