@@ -192,3 +192,18 @@ def test_display_order_places_nulls_like_the_warehouse(spark):
            for r in M.display_order("mart_sales_by_month", months).collect()]
     assert got == [(2024, 12), (2025, 1), (2025, 2), (None, 1)]  # ascending: nulls last
     assert M.display_order("not_a_model", df) is df
+
+
+def test_left_join_skipping_null_keys(spark):
+    from tidemark.operators.joins import left_join_skipping_null_keys
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, k string")
+    right = spark.createDataFrame([("a", 10)], "k string, v int")
+    got = sorted((r.id, r.k, r.v) for r in left_join_skipping_null_keys(left, right, "k").collect())
+    assert got == [(1, "a", 10), (2, None, None), (3, "z", None)]
+
+
+def test_billing_keeps_orders_without_product_out_of_groups(spark):
+    rows = fx.orders_for("A", 2, product_id="P1") + fx.orders_for("A", 9, product_id=None)
+    pr = S.stg_products(fx.products(spark, [{"product_id": "P1"}]))
+    b = M.mart_billing_cycle_revenue(_stg(spark, rows), pr, 10).collect()
+    assert [(r.total_orders, r.loyal_customers) for r in b] == [(2, 1)]

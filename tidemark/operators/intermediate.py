@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import count_when, exact_avg, pct
+from tidemark.operators.joins import left_join_skipping_null_keys
 from tidemark.operators.staging import orders
 
 # ---------------------------------------------------------------------------
@@ -132,12 +133,8 @@ def with_loyalty(order_rows: DataFrame, loyal_customers: DataFrame) -> DataFrame
     nothing at order grain.
     """
     flags = loyal_customers.select("customer_id", "is_loyal_customer")
-    known = (order_rows.where(F.col("customer_id").isNotNull())
-             .join(flags, "customer_id", "left")
-             .withColumn("is_loyal_customer", F.coalesce(F.col("is_loyal_customer"), F.lit(False))))
-    unknown = order_rows.where(F.col("customer_id").isNull()).withColumn(
-        "is_loyal_customer", F.lit(False))
-    return known.unionByName(unknown)
+    return (left_join_skipping_null_keys(order_rows, flags, "customer_id")
+            .withColumn("is_loyal_customer", F.coalesce(F.col("is_loyal_customer"), F.lit(False))))
 
 
 # --------------------------------------------------------------------------- loyalty rollup

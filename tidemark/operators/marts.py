@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import MONEY, MONEY_TOTAL, PERCENT, RATE6, exact_avg, pct, rounded_ratio
 from tidemark.operators.intermediate import LOYALTY_THRESHOLD, loyalty_rollup, order_partials
+from tidemark.operators.joins import left_join_skipping_null_keys
 from tidemark.operators.staging import orders
 
 
@@ -154,7 +155,7 @@ def mart_billing_cycle_revenue(events: DataFrame, products: DataFrame,
     customer's loyalty taken from all their orders (known product or not)."""
     p = products.select("product_id", "billing_cycle", "category",
                         F.lit(True).alias("in_catalogue"))
-    rows = orders(events).join(p, "product_id", "left")
+    rows = left_join_skipping_null_keys(orders(events), p, "product_id")
     keys = ["in_catalogue", "billing_cycle", "category"]
     cust = loyalty_rollup(rows, keys, order_partials("rev_sum", "rev_n", "refunds"), threshold)
     customers = F.count("customer_id")
