@@ -1,9 +1,9 @@
-"""Registered queries over the driver's tables and their SQL oracle.
+"""Registered queries over the driver's tables.
 
 Every query takes ``(spark, sf_dir)``, derives the raw tables from the
 driver's Parquet files (``sources.testdata``) and returns a DataFrame over the
-whole input. ``ORACLE_SQL`` holds the independent DuckDB statement for each
-key whose result SQL can state.
+whole input. The independent DuckDB statement of each key is in
+``plans.oracle.ORACLE_SQL``.
 """
 
 from __future__ import annotations
