@@ -128,10 +128,22 @@ class Models:
         return Q.run_checks(self.raw, self.staged())
 
 
-def build(raw: dict[str, DataFrame], threshold: int = I.LOYALTY_THRESHOLD) -> dict[str, DataFrame]:
-    """All staging, intermediate and mart models as lazy DataFrames."""
+REPORTS = ("rep_loyal_share", "rep_peak_month", "rep_region_revenue_share", "rep_country_pricing",
+           "rep_loyal_by_segment", "rep_loyal_by_age_band", "rep_loyal_by_acquisition",
+           "rep_discount_rank", "rep_attach_range", "rep_billing_cycle",
+           "ext_primary_channel_mode", "ext_loyal_revenue_share")
+
+
+def build(raw: dict[str, DataFrame], threshold: int = I.LOYALTY_THRESHOLD,
+          with_reports: bool = False) -> dict[str, DataFrame]:
+    """All staging, intermediate and mart models (and optionally the reports)
+    as lazy DataFrames over one set of staging frames."""
     m = Models(raw, threshold)
-    return {n: m.model(n) for n in STAGING + INTERMEDIATE + MARTS}
+    out = {n: m.model(n) for n in STAGING + INTERMEDIATE + MARTS}
+    if with_reports:
+        # the global ranking checkpoints its small input when built
+        out.update({n: m.report(n) for n in REPORTS})
+    return out
 
 
 def write_concurrently(layout: Layout, frames: dict[str, DataFrame], layer: str,

@@ -22,7 +22,7 @@ from tidemark.operators import intermediate as I
 from tidemark.operators import quality as Q
 from tidemark.operators.staging import orders
 from tidemark.plans import oracle as O
-from tidemark.plans.build import INTERMEDIATE, MARTS, STAGING, Models
+from tidemark.plans.build import INTERMEDIATE, MARTS, REPORTS, STAGING, Models
 from tidemark.session import lake_root
 from tidemark.sources.raw import read_raw, write_csv
 from tidemark.sources.sinks import Layout
@@ -179,9 +179,5 @@ QUERIES: dict[str, Query] = {
     **{n: q_dq(n) for n in ("dq_not_null", "dq_unique", "dq_accepted_values", "dq_row_counts",
                             "dq_schema_drift", "dq_orphans")},
     "sink_roundtrip": q_sink_roundtrip,
-    **{n: _report(n) for n in ("rep_loyal_share", "rep_peak_month", "rep_region_revenue_share",
-                               "rep_country_pricing", "rep_loyal_by_segment",
-                               "rep_loyal_by_age_band", "rep_loyal_by_acquisition",
-                               "rep_discount_rank", "rep_attach_range", "rep_billing_cycle",
-                               "ext_primary_channel_mode", "ext_loyal_revenue_share")},
+    **{n: _report(n) for n in REPORTS},
 }
