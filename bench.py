@@ -32,6 +32,7 @@ from tidemark.sources.testdata import raw_tables  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+SHUFFLE_PARTITIONS = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * CPUS))))
 # Queries that write files as part of building their DataFrame are timed by
 # full_build instead.
 WRITING = {"src_events_csv", "sink_roundtrip", "stream_ingest_events"}
@@ -82,7 +83,7 @@ AB = {
 
 
 def main() -> None:
-    spark = get_session(f"local[{CPUS}]", max(8, 2 * CPUS), app_name="tidemark-bench",
+    spark = get_session(f"local[{CPUS}]", SHUFFLE_PARTITIONS, app_name="tidemark-bench",
                         extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in QUERIES if n not in WRITING]
