@@ -137,6 +137,10 @@ def test_command_line_build_from_csv(spark, scratch, capsys):
     chan = spark.read.parquet(os.path.join(lake, "gold", "mart_channel_performance")).collect()[0]
     assert (chan.total_orders, chan.unique_customers, chan.loyal_customers) == (4, 2, 1)
     assert os.path.isdir(os.path.join(lake, "bronze", "events"))
+    assert main(["report", "rep_billing_cycle", "rep_loyal_share", "--lake", lake,
+                 "--threshold", "3"]) == 0
+    share = spark.read.parquet(os.path.join(lake, "gold", "reports", "rep_loyal_share")).collect()[0]
+    assert (share.loyal_customers, share.ordering_customers) == (1, 2)
 
 
 def test_materialize_stops_on_duplicate_dimension_keys(spark, scratch):

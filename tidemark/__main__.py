@@ -1,11 +1,14 @@
-"""Command line: run the whole build from raw files.
+"""Command line: run the whole build from raw files, then the reports.
 
     python -m tidemark build --events E --products P --customers C --lake ROOT
                              [--format csv|parquet] [--threshold 10] [--master local[*]]
+    python -m tidemark report NAME [NAME ...] --lake ROOT [--threshold 10]
 
-Raw files are copied untransformed into bronze, staging is written to silver,
-the data checks run, and the seven marts are written to gold under ROOT. The
-check results (one row per check) are printed as JSON lines.
+``build`` copies raw files untransformed into bronze, writes staging to silver,
+runs the data checks and writes the seven marts to gold under ROOT; the check
+results (one row per check) are printed as JSON lines. ``report`` computes
+dashboard reports from the staged silver tables of a finished build, writes
+each to ``gold/reports/NAME`` and shows its first rows.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ import json
 import sys
 
 from tidemark.operators.intermediate import LOYALTY_THRESHOLD
-from tidemark.plans.build import materialize
+from tidemark.plans.build import REPORTS, STAGING, Models, materialize
 from tidemark.session import get_session
 from tidemark.sources.raw import load_bronze, read_raw_tables
 from tidemark.sources.sinks import Layout
@@ -32,9 +35,24 @@ def main(argv=None) -> int:
     b.add_argument("--format", default="csv", choices=["csv", "parquet", "orc", "json"])
     b.add_argument("--threshold", type=int, default=LOYALTY_THRESHOLD)
     b.add_argument("--master", default=None, help="only for local runs; omit under spark-submit")
+    r = sub.add_parser("report", help="dashboard reports from a finished build")
+    r.add_argument("names", nargs="+", choices=REPORTS, metavar="NAME")
+    r.add_argument("--lake", required=True)
+    r.add_argument("--threshold", type=int, default=LOYALTY_THRESHOLD)
+    r.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
     spark = get_session(args.master)
+    if args.command == "report":
+        layout = Layout(spark, args.lake)
+        m = Models(threshold=args.threshold,
+                   staged={n: layout.read("silver", n) for n in STAGING})
+        for name in args.names:
+            out = layout.write(m.report(name), "gold", f"reports/{name}")
+            print(f"== {name}")
+            out.show(20, truncate=False)  # display only; the table is in the lake
+        return 0
+
     layout = Layout(spark, args.lake)
     raw = read_raw_tables(spark, {"events": args.events, "products": args.products,
                                   "customers": args.customers}, args.format)
