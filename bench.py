@@ -24,7 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.operators import intermediate as I  # noqa: E402
 from tidemark.operators.staging import orders  # noqa: E402
 from tidemark.plans.build import Models, materialize  # noqa: E402
-from tidemark.plans.catalog import QUERIES, THRESHOLD  # noqa: E402
+from tidemark.plans.catalog import QUERIES, THRESHOLD, WRITING  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 from tidemark.sources.sinks import Layout  # noqa: E402
 from tidemark.sources.testdata import raw_tables  # noqa: E402
@@ -33,9 +33,6 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 SHUFFLE_PARTITIONS = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * CPUS))))
-# Queries that write files as part of building their DataFrame are timed by
-# full_build instead.
-WRITING = {"src_events_csv", "sink_roundtrip", "stream_ingest_events"}
 
 
 def _sf_label(path: str):

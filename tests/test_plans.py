@@ -4,14 +4,13 @@ import os
 
 import pytest
 
-from tidemark.plans.catalog import QUERIES
+from tidemark.plans.catalog import QUERIES, WRITING
 from tidemark.plans.inspect import PAIR_NODES, PYTHON_NODES, nodes, plan_text, read_schemas
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
-PLANNABLE = [n for n in QUERIES if n not in ("src_events_csv", "sink_roundtrip",
-                                              "stream_ingest_events")]
+PLANNABLE = [n for n in QUERIES if n not in WRITING]
 
 
 @pytest.fixture(scope="module")

@@ -36,41 +36,35 @@ THRESHOLD = O.THRESHOLD
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(raw_tables(spark, sf_dir), THRESHOLD)
-
-
-def _model(name: str) -> Query:
-    return lambda spark, sf_dir: models(spark, sf_dir).model(name)
-
+ModelQuery = Callable[[Models], DataFrame]
 
-def _report(name: str) -> Query:
-    return lambda spark, sf_dir: models(spark, sf_dir).report(name)
 
-
-def _raw(name: str) -> Query:
-    return lambda spark, sf_dir: raw_tables(spark, sf_dir)[name]
+def models(spark: SparkSession, sf_dir: str) -> Models:
+    return Models(raw_tables(spark, sf_dir), THRESHOLD)
 
 
-# --------------------------------------------------------------------------- operator probes
+# --------------------------------------------------------------------------- probes over raw tables
 
-def q_src_events_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_src_events_csv(m: Models) -> DataFrame:
     """S1+S4: raw events exported as CSV (as the spreadsheet exporter does),
     scanned back with the declared all-text schema, loaded into bronze Parquet."""
+    events = m.raw["events"]
+    spark = events.sparkSession
     root = os.path.join(lake_root(spark), f"landing-{uuid.uuid4().hex[:8]}")
-    write_csv(raw_tables(spark, sf_dir)["events"], os.path.join(root, "events_csv"))
+    write_csv(events, os.path.join(root, "events_csv"))
     scanned = read_raw(spark, "events", os.path.join(root, "events_csv"), "csv")
     return Layout(spark, root).write(scanned, "bronze", "events")
 
 
-def q_stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stream_ingest_events(m: Models) -> DataFrame:
     """Incremental bronze load: raw events land as CSV in two batches (orders,
     then everything else); an ``availableNow`` file stream with one checkpoint
     loads each batch once. The bronze table must equal the whole raw table."""
+    events = m.raw["events"]
+    spark = events.sparkSession
     root = os.path.join(lake_root(spark), f"stream-{uuid.uuid4().hex[:8]}")
     landing, bronze = os.path.join(root, "landing"), os.path.join(root, "bronze", "events")
     checkpoint = os.path.join(root, "checkpoints", "events")
-    events = raw_tables(spark, sf_dir)["events"]
     is_order = F.col("event_type").eqNullSafe(F.lit("order"))
     for batch, rows in (("batch-1", events.where(is_order)), ("batch-2", events.where(~is_order))):
         write_csv(rows, os.path.join(landing, batch))
@@ -79,105 +73,102 @@ def q_stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(bronze)
 
 
-def q_orders_only(spark, sf_dir):
-    return orders(models(spark, sf_dir).stg_events)
-
-
-def q_orders_with_loyalty(spark, sf_dir):
-    """Each order with its customer's loyalty flag."""
-    m = models(spark, sf_dir)
-    o = orders(m.stg_events).select("event_id", "customer_id", "channel", "net_revenue_usd")
-    return I.with_loyalty(o, m.int_loyal_customers)
-
-
-def q_op_region_fill(spark, sf_dir):
-    raw = raw_tables(spark, sf_dir)
-    ev = raw["events"].where(F.col("event_id").isNotNull()).select(
+def q_op_region_fill(m: Models) -> DataFrame:
+    ev = m.raw["events"].where(F.col("event_id").isNotNull()).select(
         F.lit("events").alias("source"), F.col("event_id").alias("row_key"),
         F.col("country").alias("raw_country"), F.col("region").alias("raw_region"),
         fill_region("country", "region", trim_values=False).alias("region"))
-    cu = raw["customers"].where(F.col("customer_id").isNotNull()).select(
+    cu = m.raw["customers"].where(F.col("customer_id").isNotNull()).select(
         F.lit("customers").alias("source"), F.col("customer_id").alias("row_key"),
         F.col("country").alias("raw_country"), F.col("region").alias("raw_region"),
         fill_region("country", "region", trim_values=True).alias("region"))
     return ev.unionByName(cu)
 
 
-def q_op_discount_code_clean(spark, sf_dir):
-    ev = raw_tables(spark, sf_dir)["events"].where(F.col("event_id").isNotNull())
+def q_op_discount_code_clean(m: Models) -> DataFrame:
+    ev = m.raw["events"].where(F.col("event_id").isNotNull())
     return ev.select("event_id", F.col("discount_code").alias("raw_discount_code"),
                      clean_discount_code("discount_code").alias("discount_code"))
 
 
-def q_op_flag_parse(spark, sf_dir):
-    ev = raw_tables(spark, sf_dir)["events"].where(F.col("event_id").isNotNull())
+def q_op_flag_parse(m: Models) -> DataFrame:
+    ev = m.raw["events"].where(F.col("event_id").isNotNull())
     return ev.select("event_id", F.col("is_refunded").alias("raw_is_refunded"),
                      parse_flag("is_refunded").alias("is_refunded"))
 
 
-def q_op_date_parts(spark, sf_dir):
-    ev = raw_tables(spark, sf_dir)["events"].where(F.col("event_id").isNotNull())
+def q_op_date_parts(m: Models) -> DataFrame:
+    ev = m.raw["events"].where(F.col("event_id").isNotNull())
     typed = ev.selectExpr("event_id", f"{typed_sql('event_date', 'timestamp_ntz')} AS event_date")
     return typed.selectExpr("event_id", "event_date",
                             *[f"{sql} AS {n}" for n, sql in date_parts_sql("event_date").items()])
 
 
-def q_op_purchase_rank(spark, sf_dir):
-    """Each customer's first and second purchase (ranks 1-2, the ranks the
-    model reads) as (customer_id, event_date, purchase_rank)."""
-    return I.purchase_ranks(models(spark, sf_dir).stg_events, 2)
-
-
-def q_op_days_to_second_purchase(spark, sf_dir):
-    return I.second_purchase(models(spark, sf_dir).stg_events)
+# --------------------------------------------------------------------------- probes over models
 
-
-_TABLE_CHECKS = {
-    "dq_not_null": Q.dq_not_null,
-    "dq_unique": Q.dq_unique,
-    "dq_accepted_values": Q.dq_accepted_values,
-    "dq_row_counts": Q.dq_row_counts,
-    "dq_schema_drift": Q.dq_schema_drift,
-}
+def q_orders_with_loyalty(m: Models) -> DataFrame:
+    """Each order with its customer's loyalty flag."""
+    o = orders(m.stg_events).select("event_id", "customer_id", "channel", "net_revenue_usd")
+    return I.with_loyalty(o, m.int_loyal_customers)
 
 
-def q_dq(name: str) -> Query:
-    """One data check over the raw and staged tables."""
-    def run(spark, sf_dir):
-        m = models(spark, sf_dir)
-        if name == "dq_orphans":
-            return Q.dq_orphans(m.stg_events, m.stg_products, m.stg_customers)
-        tables = {f"raw.{k}": v for k, v in m.raw.items()} | m.staged()
-        return _TABLE_CHECKS[name](tables)
-    return run
+def _check_tables(m: Models) -> dict[str, DataFrame]:
+    return {f"raw.{k}": v for k, v in m.raw.items()} | m.staged()
 
 
-def q_sink_roundtrip(spark, sf_dir):
+def q_sink_roundtrip(m: Models) -> DataFrame:
     """The channel mart written to the gold layer and scanned back."""
-    m = models(spark, sf_dir)
+    spark = m.stg_events.sparkSession
     layout = Layout(spark, os.path.join(lake_root(spark), f"build-{uuid.uuid4().hex[:8]}"))
     return layout.write(m.mart_channel_performance, "gold", "mart_channel_performance")
 
 
-QUERIES: dict[str, Query] = {
-    "src_events": _raw("events"),
-    "src_products": _raw("products"),
-    "src_customers": _raw("customers"),
+def _model_query(name: str) -> ModelQuery:
+    return lambda m: m.model(name)
+
+
+def _report_query(name: str) -> ModelQuery:
+    return lambda m: m.report(name)
+
+
+def _raw_query(name: str) -> ModelQuery:
+    return lambda m: m.raw[name]
+
+
+# Queries that write files while being built (timed by the full build in the bench).
+WRITING = ("src_events_csv", "stream_ingest_events", "sink_roundtrip")
+
+OVER_MODELS: dict[str, ModelQuery] = {
+    "src_events": _raw_query("events"),
+    "src_products": _raw_query("products"),
+    "src_customers": _raw_query("customers"),
     "src_events_csv": q_src_events_csv,
     "stream_ingest_events": q_stream_ingest_events,
-    **{n: _model(n) for n in STAGING},
-    "orders_only": q_orders_only,
+    **{n: _model_query(n) for n in STAGING},
+    "orders_only": lambda m: orders(m.stg_events),
     "orders_with_loyalty": q_orders_with_loyalty,
     "op_region_fill": q_op_region_fill,
     "op_discount_code_clean": q_op_discount_code_clean,
     "op_flag_parse": q_op_flag_parse,
     "op_date_parts": q_op_date_parts,
-    "op_purchase_rank": q_op_purchase_rank,
-    "op_days_to_second_purchase": q_op_days_to_second_purchase,
-    **{n: _model(n) for n in INTERMEDIATE},
-    **{n: _model(n) for n in MARTS},
-    **{n: q_dq(n) for n in ("dq_not_null", "dq_unique", "dq_accepted_values", "dq_row_counts",
-                            "dq_schema_drift", "dq_orphans")},
+    # Each customer's first and second purchase (ranks 1-2, the ranks the model reads)
+    "op_purchase_rank": lambda m: I.purchase_ranks(m.stg_events, 2),
+    "op_days_to_second_purchase": lambda m: I.second_purchase(m.stg_events),
+    **{n: _model_query(n) for n in INTERMEDIATE},
+    **{n: _model_query(n) for n in MARTS},
+    "dq_not_null": lambda m: Q.dq_not_null(_check_tables(m)),
+    "dq_unique": lambda m: Q.dq_unique(_check_tables(m)),
+    "dq_accepted_values": lambda m: Q.dq_accepted_values(_check_tables(m)),
+    "dq_row_counts": lambda m: Q.dq_row_counts(_check_tables(m)),
+    "dq_schema_drift": lambda m: Q.dq_schema_drift(_check_tables(m)),
+    "dq_orphans": lambda m: Q.dq_orphans(m.stg_events, m.stg_products, m.stg_customers),
     "sink_roundtrip": q_sink_roundtrip,
-    **{n: _report(n) for n in REPORTS},
+    **{n: _report_query(n) for n in REPORTS},
 }
+
+
+def _over_driver_tables(fn: ModelQuery) -> Query:
+    return lambda spark, sf_dir: fn(models(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {name: _over_driver_tables(fn) for name, fn in OVER_MODELS.items()}
