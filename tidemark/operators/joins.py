@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Prefix of the synthetic keys given to null keys; no real key starts with it.
+_NULL_KEY_PREFIX = "\u0000null:"
+
 
 def left_join_skipping_null_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left.join(right, key, "left")`` where rows with a null key skip the join.
+    """``left.join(right, key, "left")`` for a string key, in one pass, with
+    null keys spread out.
 
-    A null key never matches, but in a sort-merge join all null-key rows hash
-    to one reducer; here they get the right side's columns as nulls directly.
+    A null key never matches, but in a sort-merge join every null-key row
+    would hash to the same reducer. Each such row gets a synthetic key (a hash
+    of the row behind a prefix no real key has), so they spread over all
+    partitions and still match nothing; the original key column is kept.
     """
-    matched = left.where(F.col(key).isNotNull()).join(right, key, "left")
-    extra = [f for f in right.schema.fields if f.name != key]
-    unmatched = left.where(F.col(key).isNull()).select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return matched.unionByName(unmatched)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]).cast("string")
+    join_key = F.when(F.col(key).isNull(), F.concat(F.lit(_NULL_KEY_PREFIX), row_hash)) \
+        .otherwise(F.col(key))
+    salted = left.withColumn("_join_key", join_key)
+    keyed = right.withColumnRenamed(key, "_join_key")
+    return salted.join(keyed, "_join_key", "left").drop("_join_key")
