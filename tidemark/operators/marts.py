@@ -127,20 +127,35 @@ def orders_with_products(events: DataFrame, products: DataFrame) -> DataFrame:
                                  "is_refunded").join(p, "product_id")
 
 
+# Group that collects every core (non-add-on) order in the attach-rate pass;
+# the NUL prefix keeps it apart from any product name.
+_CORE_GROUP = "\u0000core"
+
+
 def mart_addon_attach_rate(events: DataFrame, products: DataFrame) -> DataFrame:
     """Per add-on (name x category): distinct buyers over the distinct buyers
-    of any core product. The core total is a scalar subquery, not a cross join."""
-    owp = orders_with_products(events, products)
-    core = owp.where(~F.col("is_addon")).agg(F.count_distinct("customer_id")).scalar()
-    addons = owp.where(F.col("is_addon")).groupBy(
-        F.col("brand_safe_name").alias("addon_name"),
-        F.col("category").alias("addon_category"),
+    of any core product.
+
+    One aggregation covers both: add-on orders group by (name, category), all
+    core orders fall into one extra group, and Spark's two-phase distinct
+    count spreads even that large group by customer. The result (one row per
+    add-on, plus the core row) is checkpointed, and the core count is read
+    from it as a scalar subquery, so orders are scanned and joined once and no
+    cross join is needed.
+    """
+    addon = F.col("is_addon")
+    counted = orders_with_products(events, products).groupBy(
+        F.when(addon, F.col("brand_safe_name")).otherwise(F.lit(_CORE_GROUP)).alias("addon_name"),
+        F.when(addon, F.col("category")).otherwise(F.lit(_CORE_GROUP)).alias("addon_category"),
     ).agg(
         F.count_distinct("customer_id").alias("customers_with_addon"),
         F.count("event_id").alias("total_addon_orders"),
         _money_total(F.sum("net_revenue_usd")).alias("total_addon_revenue_usd"),
-    )
-    with_core = addons.withColumn("total_core_customers", core)
+    ).checkpoint(eager=True)
+    is_core = F.col("addon_name").eqNullSafe(F.lit(_CORE_GROUP))
+    core = counted.where(is_core).agg(
+        F.coalesce(F.max("customers_with_addon"), F.lit(0))).scalar()
+    with_core = counted.where(~is_core).withColumn("total_core_customers", core)
     return with_core.select(
         "addon_name", "addon_category", "customers_with_addon", "total_core_customers",
         pct(F.col("customers_with_addon"), F.col("total_core_customers")).alias("attach_rate_pct"),
