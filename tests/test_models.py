@@ -1,10 +1,7 @@
 """Intermediate, mart and report semantics on micro fixtures (FIXTURES.md §2)."""
 
-import datetime as dt
 import decimal
 
-from pyspark.sql import functions as F
-
 from tests import fixtures as fx
 from tidemark.operators import extensions as E
 from tidemark.operators import intermediate as I

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.metrics import MONEY, MONEY_TOTAL, PERCENT, RATE6, exact_avg, pct, rounded_ratio
+from tidemark.functions.metrics import MONEY, MONEY_TOTAL, RATE6, exact_avg, pct, rounded_ratio
 from tidemark.operators.intermediate import LOYALTY_THRESHOLD, loyalty_rollup, order_partials
 from tidemark.operators.joins import left_join_skipping_null_keys
 from tidemark.operators.staging import orders
@@ -212,4 +212,4 @@ def display_order(name: str, df: DataFrame) -> DataFrame:
 
 __all__ = ["mart_sales_by_month", "mart_channel_performance", "mart_loyal_customers",
            "mart_discount_analysis", "mart_asp_by_country", "mart_addon_attach_rate",
-           "mart_billing_cycle_revenue", "display_order", "PERCENT"]
+           "mart_billing_cycle_revenue", "display_order"]
