@@ -111,13 +111,24 @@ LOYAL_COLUMNS = (
 )
 
 
+def loyalty_flag(threshold: int = LOYALTY_THRESHOLD) -> Column:
+    """The loyalty rule over a customer's whole-history order count."""
+    return F.coalesce(F.col("total_orders") >= F.lit(threshold), F.lit(False))
+
+
+def loyalty_flags(customer_orders: DataFrame, threshold: int = LOYALTY_THRESHOLD) -> DataFrame:
+    """(customer_id, is_loyal_customer) straight from the order summary: the
+    flag depends on the order count only, so joining the profile first (as the
+    loyal-customer model does) changes nothing while customer keys are unique."""
+    return customer_orders.select("customer_id", loyalty_flag(threshold).alias("is_loyal_customer"))
+
+
 def int_loyal_customers(customer_orders: DataFrame, customers: DataFrame,
                         threshold: int = LOYALTY_THRESHOLD) -> DataFrame:
     """Customer histories with the loyalty flag and the customer's profile.
     Driven from orders: customers who never ordered are absent; orders of
     customers without a profile keep null profile columns."""
-    flagged = customer_orders.withColumn(
-        "is_loyal_customer", F.coalesce(F.col("total_orders") >= F.lit(threshold), F.lit(False)))
+    flagged = customer_orders.withColumn("is_loyal_customer", loyalty_flag(threshold))
     profile = customers.select("customer_id", "country", "region", "segment", "age_band",
                                "acquisition_channel", "currency_preference", "signup_date")
     return flagged.join(profile, "customer_id", "left").select(*LOYAL_COLUMNS)

@@ -109,7 +109,7 @@ def q_op_date_parts(m: Models) -> DataFrame:
 def q_orders_with_loyalty(m: Models) -> DataFrame:
     """Each order with its customer's loyalty flag."""
     o = orders(m.stg_events).select("event_id", "customer_id", "channel", "net_revenue_usd")
-    return I.with_loyalty(o, m.int_loyal_customers)
+    return I.with_loyalty(o, I.loyalty_flags(m.int_customer_orders, m.threshold))
 
 
 def _check_tables(m: Models) -> dict[str, DataFrame]:
