@@ -3,7 +3,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.functions.ranking import with_global_rank
+from tidemark.functions.ranking import with_global_rank, with_global_ranks
 
 
 def _sql_rank(values, descending=True):
@@ -39,3 +39,14 @@ def test_rank_many_partitions(spark):
         assert [got[i] for i in range(500)] == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_several_ranks_small_and_distributed(spark):
+    rows = [(i, (i * 7) % 5, None if i % 4 == 0 else i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, a int, b int")
+    want_a = _sql_rank([r[1] for r in rows])
+    want_b = _sql_rank([r[2] for r in rows])
+    for limit in (0, 1000):  # 0 forces the per-column distributed path
+        got = {r.id: (r.ra, r.rb) for r in
+               with_global_ranks(df, [("a", "ra"), ("b", "rb")], single_task_rows=limit).collect()}
+        assert [got[i] for i in range(30)] == list(zip(want_a, want_b))

@@ -65,3 +65,21 @@ def with_global_rank(df: DataFrame, col: str, rank_col: str, descending: bool =
     ranks = value_ranks(df, col, descending, rank_col, single_task_values).withColumnRenamed(
         col, "_value")
     return (df.join(ranks, df[col].eqNullSafe(ranks["_value"]), "left").drop("_value"))
+
+
+def with_global_ranks(df: DataFrame, specs: list[tuple[str, str]], descending: bool = True,
+                      single_task_rows: int = SINGLE_TASK_VALUES) -> DataFrame:
+    """``df`` plus one ``rank()`` column per (column, rank column) in ``specs``.
+
+    When ``df`` itself is checked (one count) to hold at most
+    ``single_task_rows`` rows, the ranks are plain SQL ``rank()`` windows over
+    it; otherwise each column takes the distributed path above.
+    """
+    if single_task_rows > 0 and df.limit(single_task_rows + 1).count() <= single_task_rows:
+        for col, rank_col in specs:
+            w = Window.orderBy(_order(col, descending))
+            df = df.withColumn(rank_col, F.rank().over(w).cast("int"))
+        return df
+    for col, rank_col in specs:
+        df = with_global_rank(df, col, rank_col, descending)
+    return df

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ranking import with_global_rank
+from tidemark.functions.ranking import with_global_ranks
 from tidemark.functions.metrics import MONEY, MONEY_TOTAL, PERCENT, pct, rounded_ratio
 from tidemark.operators.marts import orders_with_products
 
@@ -89,10 +89,9 @@ def rep_discount_rank(discount_analysis: DataFrame) -> DataFrame:
     # (each a sort + checkpoint) do not recompute the orders pipeline.
     ranked = discount_analysis.select("discount_code", "total_orders", "total_revenue_usd",
                                       "loyal_customer_pct").checkpoint(eager=True)
-    for col, name in (("total_orders", "rank_by_orders"), ("total_revenue_usd", "rank_by_revenue"),
-                      ("loyal_customer_pct", "rank_by_loyal_pct")):
-        ranked = with_global_rank(ranked, col, name)
-    return ranked
+    return with_global_ranks(ranked, [("total_orders", "rank_by_orders"),
+                                      ("total_revenue_usd", "rank_by_revenue"),
+                                      ("loyal_customer_pct", "rank_by_loyal_pct")])
 
 
 def rep_attach_range(addon_attach: DataFrame) -> DataFrame:
