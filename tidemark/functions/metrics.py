@@ -45,7 +45,9 @@ def exact_avg(total, n, scale: int, out_type: str) -> Column:
 
     An average of a decimal keeps a fixed scale (the argument's scale for the
     unrounded models, 2 or 6 where a model rounds); computing it from the exact
-    sum and count avoids rounding twice.
+    sum and count avoids rounding twice. Pass the sum at its natural width
+    (e.g. decimal(22,4)): the quotient then keeps about 20 fractional digits
+    before the final rounding.
     """
     total, n = _col(total), _col(n)
     q = total / F.nullif(n, F.lit(0)).cast("decimal(20,0)")

@@ -195,9 +195,11 @@ def int_discount_usage(events: DataFrame, threshold: int = LOYALTY_THRESHOLD) ->
         F.sum("n_orders").alias("total_orders"),
         F.count("customer_id").alias("unique_customers"),
         F.sum("rev_sum").cast(MONEY_SUM).alias("total_revenue_usd"),
-        exact_avg(F.sum("rev_sum"), F.sum("rev_n"), 4, AVG4).alias("avg_order_value_usd"),
+        exact_avg(F.sum("rev_sum").cast(MONEY_SUM), F.sum("rev_n"), 4, AVG4)
+        .alias("avg_order_value_usd"),
         F.sum("disc_sum").cast(MONEY_SUM).alias("total_discount_local"),
-        exact_avg(F.sum("disc_sum"), F.sum("disc_n"), 4, AVG4).alias("avg_discount_local"),
+        exact_avg(F.sum("disc_sum").cast(MONEY_SUM), F.sum("disc_n"), 4, AVG4)
+        .alias("avg_discount_local"),
         F.coalesce(F.sum(F.when(loyal, F.col("n_orders"))), F.lit(0)).cast("bigint")
         .alias("loyal_customer_orders"),
         F.count_if(loyal).alias("loyal_unique_customers"),

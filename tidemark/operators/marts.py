@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import MONEY, MONEY_TOTAL, RATE6, exact_avg, pct, rounded_ratio
-from tidemark.operators.intermediate import LOYALTY_THRESHOLD, loyalty_rollup, order_partials
+from tidemark.operators.intermediate import (
+    LOYALTY_THRESHOLD, MONEY_SUM, loyalty_rollup, order_partials,
+)
 from tidemark.operators.joins import left_join_skipping_null_keys
 from tidemark.operators.staging import orders
 
@@ -36,7 +38,8 @@ def _loyal_group_metrics(cust: DataFrame, keys: list) -> DataFrame:
         customers.alias("unique_customers"),
         F.count_if(loyal).alias("loyal_customers"),
         _money_total(F.sum("rev_sum")).alias("total_revenue_usd"),
-        exact_avg(F.sum("rev_sum"), F.sum("rev_n"), 2, MONEY).alias("avg_order_value_usd"),
+        exact_avg(F.sum("rev_sum").cast(MONEY_SUM), F.sum("rev_n"), 2, MONEY)
+        .alias("avg_order_value_usd"),
         pct(F.count_if(loyal), customers).alias("loyal_customer_pct"),
         F.sum("refunds").cast("bigint").alias("total_refunds"),
         pct(F.sum("refunds"), F.sum("n_orders")).alias("refund_rate_pct"),
@@ -179,7 +182,8 @@ def mart_billing_cycle_revenue(events: DataFrame, products: DataFrame,
         customers.alias("unique_customers"),
         F.count_if(F.col("is_loyal")).alias("loyal_customers"),
         _money_total(F.sum("rev_sum")).alias("total_revenue_usd"),
-        exact_avg(F.sum("rev_sum"), F.sum("rev_n"), 2, MONEY).alias("avg_revenue_per_order_usd"),
+        exact_avg(F.sum("rev_sum").cast(MONEY_SUM), F.sum("rev_n"), 2, MONEY)
+        .alias("avg_revenue_per_order_usd"),
         rounded_ratio(F.sum("rev_sum"), customers, 2, MONEY).alias("avg_revenue_per_customer_usd"),
         F.sum("refunds").cast("bigint").alias("total_refunds"),
         pct(F.sum("refunds"), F.sum("n_orders")).alias("refund_rate_pct"),
