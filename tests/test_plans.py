@@ -55,3 +55,10 @@ def test_order_filter_reaches_the_orders_scan(spark):
 def test_attach_rate_uses_scalar_subquery_not_cross_join(spark):
     text = plan_text(QUERIES["mart_addon_attach_rate"](spark, SF))
     assert "Subquery" in text and "CartesianProduct" not in text
+
+
+def test_checkpointed_reports_do_not_rescan_orders(spark):
+    # the orders pipeline ran once, inside the eager checkpoint; the returned
+    # plans read only the small checkpointed tables
+    for name in ("mart_addon_attach_rate", "rep_region_revenue_share", "rep_discount_rank"):
+        assert "l_orderkey" not in plan_text(QUERIES[name](spark, SF)), name
