@@ -11,7 +11,8 @@ from tidemark.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[*]", 8, app_name="tidemark-tests")
+    s = get_session("local[*]", 8, app_name="tidemark-tests",
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidemark-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 

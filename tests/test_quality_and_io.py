@@ -100,7 +100,9 @@ def test_materialize_writes_silver_checks_and_gold(spark, scratch):
     ev = fx.orders_for("C1", 3, product_id="P1") + fx.orders_for("C2", 1, product_id="P1")
     raw = {"events": fx.events(spark, ev), "products": fx.products(spark, [{"product_id": "P1"}]),
            "customers": fx.customers(spark, [{"customer_id": "C1"}, {"customer_id": "C2"}])}
-    gold, checks = materialize(raw, Layout(spark, scratch), threshold=2)
+    gold, checks = materialize(raw, Layout(spark, scratch), threshold=2, register=True)
+    by_name = spark.sql("SELECT total_orders FROM gold.mart_channel_performance").collect()
+    assert [r.total_orders for r in by_name] == [4]
     assert set(gold) == set(MARTS)
     assert gold["mart_channel_performance"].collect()[0].loyal_customers == 1
     assert checks.count() == 14

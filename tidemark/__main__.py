@@ -35,6 +35,8 @@ def main(argv=None) -> int:
     b.add_argument("--format", default="csv", choices=["csv", "parquet", "orc", "json"])
     b.add_argument("--threshold", type=int, default=LOYALTY_THRESHOLD)
     b.add_argument("--master", default=None, help="only for local runs; omit under spark-submit")
+    b.add_argument("--register", action="store_true",
+                   help="also register the marts as catalog tables gold.<mart>")
     r = sub.add_parser("report", help="dashboard reports from a finished build")
     r.add_argument("names", nargs="+", choices=REPORTS, metavar="NAME")
     r.add_argument("--lake", required=True)
@@ -57,7 +59,7 @@ def main(argv=None) -> int:
     raw = read_raw_tables(spark, {"events": args.events, "products": args.products,
                                   "customers": args.customers}, args.format)
     bronze = load_bronze(raw, layout)
-    gold, checks = materialize(bronze, layout, args.threshold)
+    gold, checks = materialize(bronze, layout, args.threshold, register=args.register)
     for row in checks.collect():  # one row per check
         print(json.dumps(row.asDict()))
     print(json.dumps({"gold": sorted(gold), "lake": args.lake}))

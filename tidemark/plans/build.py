@@ -163,12 +163,13 @@ def write_concurrently(layout: Layout, frames: dict[str, DataFrame], layer: str,
 
 def materialize(raw: dict[str, DataFrame], layout: Layout,
                 threshold: int = I.LOYALTY_THRESHOLD,
-                workers: int = 4) -> tuple[dict[str, DataFrame], DataFrame]:
+                workers: int = 4, register: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Production build: staging -> silver Parquet, data checks, marts -> gold.
 
     Returns the written marts and the check results. Checks are reported, not
     blocking, except a duplicate product or customer key in silver: the marts
     join at customer/product grain and would fan rows out, so the build stops.
+    With ``register`` the gold marts are also catalog tables ``gold.<mart>``.
     """
     silver = write_concurrently(layout, Models(raw, threshold).staged(), "silver", workers)
     m = Models(raw, threshold, staged=silver)
@@ -179,4 +180,7 @@ def materialize(raw: dict[str, DataFrame], layout: Layout,
     if blocking:
         raise ValueError(f"duplicate dimension keys: {[r.asDict() for r in blocking]}")
     gold = write_concurrently(layout, {n: m.model(n) for n in MARTS}, "gold", workers)
+    if register:
+        for name in MARTS:
+            layout.register("gold", name)
     return gold, checks

@@ -45,6 +45,21 @@ class Layout:
     def read(self, layer: str, model: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, model))
 
+    def register(self, layer: str, model: str) -> str:
+        """Make a written table queryable by name as ``{layer}.{model}``.
+
+        The layer becomes a catalog database located at the layer folder and
+        the table an external Parquet table over its path (with a persistent
+        metastore this survives the session; otherwise it lasts for it).
+        """
+        name = f"{layer_name(layer, layer)}.{model}"
+        db_path = os.path.join(self.root, layer_name(layer, layer))
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer_name(layer, layer)}` "
+                       f"LOCATION '{db_path}'")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.catalog.createTable(name, path=self.path(layer, model), source="parquet")
+        return name
+
 
 def write_layer(layout: Layout, frames: dict[str, DataFrame], layer: str) -> dict[str, DataFrame]:
     return {name: layout.write(df, layer, name) for name, df in frames.items()}
