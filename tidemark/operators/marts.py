@@ -53,6 +53,8 @@ MONTH_KEYS = ["order_month", "order_year", "order_month_num", "order_quarter"]
 
 
 def mart_sales_by_month(events: DataFrame, threshold: int = LOYALTY_THRESHOLD) -> DataFrame:
+    """Per month: orders, customers, loyal customers and their share, revenue,
+    average order value, refunds and discounted orders."""
     cust = loyalty_rollup(orders(events), MONTH_KEYS,
                           order_partials("rev_sum", "rev_n", "refunds", "discounted"), threshold)
     return _loyal_group_metrics(cust, MONTH_KEYS).select(
@@ -64,6 +66,7 @@ def mart_sales_by_month(events: DataFrame, threshold: int = LOYALTY_THRESHOLD) -
 # --------------------------------------------------------------------------- M9
 
 def mart_channel_performance(events: DataFrame, threshold: int = LOYALTY_THRESHOLD) -> DataFrame:
+    """Per sales channel: the monthly metrics plus discount usage."""
     cust = loyalty_rollup(orders(events), ["channel"],
                           order_partials("rev_sum", "rev_n", "refunds", "discounted"), threshold)
     return _loyal_group_metrics(cust, ["channel"]).select(
@@ -76,6 +79,7 @@ def mart_channel_performance(events: DataFrame, threshold: int = LOYALTY_THRESHO
 # --------------------------------------------------------------------------- M10
 
 def mart_loyal_customers(loyal_customers: DataFrame) -> DataFrame:
+    """Loyal customers with their profile and rounded order metrics."""
     return loyal_customers.where(F.col("is_loyal_customer")).select(
         "customer_id", "country", "region", "segment", "age_band", "acquisition_channel",
         "currency_preference", "signup_date", "total_orders",
@@ -88,6 +92,7 @@ def mart_loyal_customers(loyal_customers: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- M11
 
 def mart_discount_analysis(discount_usage: DataFrame) -> DataFrame:
+    """The discount-code model with money columns rounded for reporting."""
     return discount_usage.select(
         "discount_code", "total_orders", "unique_customers", "loyal_unique_customers",
         "loyal_customer_orders",

@@ -62,6 +62,8 @@ def stg_events(raw: DataFrame) -> DataFrame:
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
+    """One typed product per raw row with a key: trimmed text, parsed flags,
+    the add-on flag derived from the category, prices and release date."""
     return _project(raw, "product_id", [
         ("product_id", "product_id"),
         *[(c, f"trim({c})") for c in ("product_name", "brand_safe_name", "product_name_orig",
@@ -76,6 +78,8 @@ def stg_products(raw: DataFrame) -> DataFrame:
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
+    """One typed customer profile per raw row with a key; country and region
+    are trimmed, and a missing region is derived from the country."""
     return _project(raw, "customer_id", [
         ("customer_id", "customer_id"),
         ("signup_date", typed_sql("signup_date", TS)),
