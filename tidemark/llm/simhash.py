@@ -167,14 +167,11 @@ class Forest:
         return self.change[hi - 1] == self.change[lo]
 
 
-def trie_join(tries: np.ndarray, values: np.ndarray, side: np.ndarray | None = None,
+def trie_join(tries: np.ndarray, values: np.ndarray,
               budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the links within each trie.
+    """Spanning forest of the links within each trie, as positions (child, root).
 
-    ``tries`` and ``values`` are sorted together; all values of a trie share the
-    bits above its top. Returns positions (child, root). With ``side`` only the
-    connectivity across and within the given two pieces is sought (both are in
-    the same arrays, so it needs no treatment of its own).
+    The arrays are sorted together, by trie and then by value.
     """
     n = len(values)
     forest = Forest(n)
