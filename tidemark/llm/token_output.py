@@ -29,6 +29,7 @@ of their text; an empty table gives empty files; only doc_id and text are read.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
@@ -47,7 +48,8 @@ from tidemark.llm.common import block_count, scratch_path, shuffle_partitions, s
 END_ID = 1
 BLOCK_TOKENS = 1 << 19
 PART_CHARS = 32 << 20
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
+BATCH = 20_000
 MAGIC = b"TMV1"
 HEAD = struct.Struct("<4sIQQ")
 
@@ -76,8 +78,9 @@ class LibraryWords:
         self.words: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {}
 
-    # a word of ASCII letters and marks after it is cut by any such pattern
-    core = re.compile(rb"([A-Za-z]+)([.,!#$%&*]*)")
+    # a word of letters (ASCII or Latin-1) and marks after it is cut between
+    # them by any such pattern, so both parts are encoded on their own
+    core = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,!#$%&*]*)")
 
     def _library(self, texts: list[bytes]) -> list[bytes]:
         encode = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
@@ -88,13 +91,24 @@ class LibraryWords:
         if len(self.words) + len(words) > CACHE_WORDS:
             self.words.clear()
         if len(self.cores) > CACHE_WORDS:
-            self.cores.clear()
-        cut = [(w, m.groups() if (m := self.core.fullmatch(w.lower())) else (w, b""))
-               for w in words]
-        new = list({p for _, parts in cut for p in parts}.difference(self.cores))
-        self.cores.update(zip(new, self._library(new)))
+            # the words met last survive: they are met again soonest
+            self.cores = dict(itertools.islice(self.cores.items(), CACHE_WORDS // 2, None))
+        fullmatch, cut, plain = self.core.fullmatch, [], []
+        for w in words:
+            m = fullmatch(w.lower())
+            if m:
+                cut.append((w, m[1], m[2]))
+            else:
+                plain.append(w)
         cores = self.cores
-        self.words.update((w, cores[a] + cores[b]) for w, (a, b) in cut)
+        parts = {p for _, a, b in cut for p in (a, b)}
+        parts.update(plain)
+        new = list(parts.difference(cores))
+        for lo in range(0, len(new), BATCH):
+            some = new[lo: lo + BATCH]
+            cores.update(zip(some, self._library(some)))
+        self.words.update([(w, cores[a] + cores[b]) for w, a, b in cut])
+        self.words.update([(w, cores[w]) for w in plain])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
