@@ -7,7 +7,8 @@ positions are hashed, 3 of 7 positions, and any two equal windows, wherever they
 start, have an equal anchor at one and the same place inside them.
 
 1. Anchors: hashes of all documents go to blocks by hash (packed arrays, one row
-   per block and batch). A hash in two documents makes its positions survive.
+   per block and batch). A hash in two documents makes its positions survive;
+   they go back, packed by shards of doc_ids, and become one row per document.
 2. Extension: the windows around surviving positions, and only these, are hashed
    with 128 bits over whole words and sent to blocks by hash; the smallest
    doc_id of each window decides. A window of a larger doc_id is removed.
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (U64, ByteHashes, Words, block_count, flat, ranges, rolling,
+from tidemark.llm.common import (U64, ByteHashes, Words, block_count, flat, mix, ranges, rolling,
                                  shuffle_partitions, slices, written)
 
 WINDOW = 13
@@ -48,7 +49,9 @@ NO_ID = np.iinfo(np.int64).max
 # block: hashes of one block (kind 0), or decided positions of a document (kind 1)
 PACKED = "block long, kind int, doc_id long, ids binary, positions binary, high binary, low binary"
 NAMES = ["block", "kind", "doc_id", "ids", "positions", "high", "low"]
+SHARDED = "shard long, ids binary, positions binary"
 DECIDED = "doc_id long, positions binary"
+HELD = 1 << 20  # decided positions that a task holds
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -75,7 +78,7 @@ def _blobs(groups: np.ndarray, *arrays: np.ndarray):
         yield (int(groups[a]), *(x[a:b].tobytes() for x in arrays))
 
 
-def _emit(rows: list[tuple], schema=None) -> pa.RecordBatch:
+def _emit(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(),
              pa.binary())
     return pa.RecordBatch.from_arrays(
@@ -148,15 +151,10 @@ def _anchors(blocks: int):
     return run
 
 
-def _blocks(decide):
-    """Rows sorted by (block, kind): pass decided rows on, decide each block's hashes."""
-    def out(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows],
-                                                                  pa.binary())],
-            names=["doc_id", "positions"])
-
-    def flush(held):
+def _blocks(decide, shards: int):
+    """Rows sorted by (block, kind): decide each block's hashes, and send all
+    decided positions on by shards of doc_ids."""
+    def decided(held):
         ids, position = (np.concatenate([np.frombuffer(h[k], t) for h in held])
                          for k, t in ((0, np.int64), (1, "<u4")))
         hashes = tuple(np.concatenate([np.frombuffer(h[k], "<u8") for h in held])
@@ -167,32 +165,69 @@ def _blocks(decide):
         new = np.ones(len(ids), bool)
         new[1:] = np.any([h[1:] != h[:-1] for h in hashes], axis=0)
         group = np.cumsum(new) - 1
-        chosen = np.flatnonzero(decide(ids, group, np.flatnonzero(new)))
-        chosen = chosen[np.argsort(ids[chosen], kind="stable")]
-        return [(None if i == NO_ID else i, b)
-                for i, b in _blobs(ids[chosen], position[chosen].astype("<u4"))]
+        chosen = decide(ids, group, np.flatnonzero(new))
+        return ids[chosen], position[chosen]
+
+    def sharded(found):
+        ids, position = (np.concatenate(x) for x in zip(*found))
+        shard = (mix(ids.astype(U64)) % U64(shards)).astype(np.int64)
+        by = np.argsort(shard, kind="stable")
+        rows = list(_blobs(shard[by], ids[by], position[by].astype("<u4")))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((), (), ()),
+                                            (pa.int64(), pa.binary(), pa.binary()))],
+            names=["shard", "ids", "positions"])
 
     def run(batches):
-        held, current = [], None
+        held, current, found, n = [], None, [], 0
         for batch in batches:
-            blocks, kinds, ids = (batch.column(i).to_pylist() for i in range(3))
-            done = []
+            blocks, kinds = (batch.column(i).to_pylist() for i in range(2))
+            ids = _ids(batch.column(2))
             for r, (block, kind) in enumerate(zip(blocks, kinds)):
                 if kind == 1:
-                    done.append((ids[r], batch.column(4)[r].as_py()))
+                    position = np.frombuffer(batch.column(4)[r].as_py(), "<u4")
+                    found.append((np.full(len(position), ids[r]), position))
+                    n += len(position)
                     continue
                 if block != current:
                     if held:
-                        done += flush(held)
+                        found.append(decided(held))
+                        n += len(found[-1][0])
                     held, current = [], block
                 held.append(tuple(batch.column(k)[r].as_py() for k in (3, 4, 5, 6)))
-            if done:
-                yield out(done)
-        if held and (done := flush(held)):
-            yield out(done)
+                if n > HELD:
+                    yield sharded(found)
+                    found, n = [], 0
+        if held:
+            found.append(decided(held))
+        if found:
+            yield sharded(found)
     return run
 
 
+def _gather(batches):
+    """Rows sorted by shard -> one row per document with its decided positions."""
+    def documents(held):
+        ids = np.concatenate([np.frombuffer(i, np.int64) for i, _ in held])
+        position = np.concatenate([np.frombuffer(p, "<u4") for _, p in held])
+        order = np.lexsort((position, ids))
+        rows = list(_blobs(ids[order], position[order]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([None if i == NO_ID else i for i, _ in rows], pa.int64()),
+             pa.array([p for _, p in rows], pa.binary())], names=["doc_id", "positions"])
+
+    held, current = [], None
+    for batch in batches:
+        for r, shard in enumerate(batch.column(0).to_pylist()):
+            if shard != current:
+                if held:
+                    yield documents(held)
+                held, current = [], shard
+            held.append((batch.column(1)[r].as_py(), batch.column(2)[r].as_py()))
+    if held:
+        yield documents(held)
+
+
 def _survive(ids, group, first):
     larger = ids > ids[first][group]
     return np.bincount(group, larger, len(first)).astype(bool)[group]
@@ -202,9 +237,8 @@ def _remove(ids, group, first):
     return ids > ids[first][group]
 
 
-def _positions(blobs: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(blobs), "<u4")).astype(np.int64) if blobs \
-        else np.zeros(0, np.int64)
+def _positions(blob: bytes | None) -> np.ndarray:
+    return np.unique(np.frombuffer(blob or b"", "<u4")).astype(np.int64)
 
 
 def _windows(blocks: int):
@@ -283,21 +317,23 @@ def _kept_text(batches):
 
 def _marked(rows: DataFrame, decided: DataFrame, keep_all: bool) -> DataFrame:
     """(doc_id, text, marks): each row with the decided positions of its doc_id."""
-    marks = decided.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_list("positions").alias("marks"))
+    marks = decided.select(F.col("doc_id").alias("_id"), F.col("positions").alias("marks"))
     return (rows.join(marks.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")),
                       "left" if keep_all else "inner").select("doc_id", "text", "marks"))
 
 
 def _decide(packed: DataFrame, blocks: int, decide, name: str) -> DataFrame:
+    """(doc_id, positions), one row per document with decided positions."""
     parts = min(blocks, max(shuffle_partitions(packed.sparkSession), blocks // 8))
-    return written(packed.repartition(parts, "block").sortWithinPartitions("block", "kind")
-                   .mapInArrow(_blocks(decide), DECIDED), name)
+    sharded = (packed.repartition(parts, "block").sortWithinPartitions("block", "kind")
+               .mapInArrow(_blocks(decide, parts), SHARDED))
+    return written(sharded.repartition(parts, "shard").sortWithinPartitions("shard")
+                   .mapInArrow(_gather, DECIDED), name)
 
 
 def removed_windows(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, positions): starts of windows to remove, as packed unsigned
-    32-bit integers; several rows of a doc_id belong together."""
+    32-bit integers, one row per document that has some."""
     rows = _rows(docs)
     blocks = block_count(docs, block_chars, 4 * shuffle_partitions(docs.sparkSession))
     anchors = _decide(rows.mapInArrow(_anchors(blocks), PACKED), blocks, _survive, "anchors")
