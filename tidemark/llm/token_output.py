@@ -28,8 +28,8 @@ of their text; an empty table gives empty files; only doc_id and text are read.
 
 from __future__ import annotations
 
+import array
 import functools
-import itertools
 import json
 import os
 import re
@@ -42,14 +42,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import text_list
+from tidemark.llm.bpe import byte_symbols, text_list
 from tidemark.llm.common import block_count, scratch_path, shuffle_partitions, slices
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 19
 PART_CHARS = 32 << 20
-CACHE_WORDS = 900_000
-BATCH = 20_000
+CACHE_WORDS = 700_000
 MAGIC = b"TMV1"
 HEAD = struct.Struct("<4sIQQ")
 
@@ -60,66 +59,61 @@ FILE = "part long, block long, before long, n_tokens long, image binary"
 
 # --------------------------------------------------------------------------- ids by the library
 
-class LibraryWords:
-    """Ids from the tokenizers library. Where the file drops white space
-    between words, each distinct word is encoded once and kept in a bounded
-    cache; otherwise whole texts are encoded."""
+class LibraryWords(dict):
+    """Ids from the tokenizers library, by word where the file drops white
+    space between words: word -> ids as little-endian unsigned 32-bit bytes,
+    looked up when a word is first met. The common shape, letters (ASCII or
+    Latin-1) and marks after them, is cut by the file's pattern between the two
+    and nowhere else, so both go straight to the library's model; any other word
+    takes the library's whole way. Other files have their whole texts encoded."""
+
+    shape = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,!#$%&*]*)")
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.by_word = (split.get("behavior"), split.get("invert")) == ("Removed", True)
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    # a word of letters (ASCII or Latin-1) and marks after it is cut between
-    # them by any such pattern, so both parts are encoded on their own
-    core = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,!#$%&*]*)")
-
-    def _library(self, texts: list[bytes]) -> list[bytes]:
-        encode = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in encode([t.decode() for t in texts], add_special_tokens=False)]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.cores) > CACHE_WORDS:
-            # the words met last survive: they are met again soonest
-            self.cores = dict(itertools.islice(self.cores.items(), CACHE_WORDS // 2, None))
-        fullmatch, cut, plain = self.core.fullmatch, [], []
-        for w in words:
-            m = fullmatch(w.lower())
-            if m:
-                cut.append((w, m[1], m[2]))
-            else:
-                plain.append(w)
-        cores = self.cores
-        parts = {p for _, a, b in cut for p in (a, b)}
-        parts.update(plain)
-        new = list(parts.difference(cores))
-        for lo in range(0, len(new), BATCH):
-            some = new[lo: lo + BATCH]
-            cores.update(zip(some, self._library(some)))
-        self.words.update([(w, cores[a] + cores[b]) for w, a, b in cut])
-        self.words.update([(w, cores[w]) for w in plain])
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.by_word = (steps[0].get("behavior"), steps[0].get("invert")) == ("Removed", True)
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.parts: dict[bytes, bytes] = {}
+
+    def _part(self, part: bytes) -> bytes:
+        got = self.parts.get(part)
+        if got is None:
+            tokens = self.model.tokenize(part.decode("latin-1").translate(self.symbols))
+            got = self.parts[part] = array.array("I", [t.id for t in tokens]).tobytes()
+        return got
+
+    def __missing__(self, word: bytes) -> bytes:
+        m = self.shape.fullmatch(word.lower())
+        if m:
+            ids = self._part(m[1])
+            if m[2]:
+                ids += self._part(m[2])
+        else:
+            ids = self._whole(word)
+        self[word] = ids
+        return ids
+
+    def _whole(self, text: bytes) -> bytes:
+        got = self.library.encode(text.decode(), add_special_tokens=False).ids
+        return np.array(got, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
         if not self.by_word:
-            return self._library(texts)
-        cut = [t.split() for t in texts]
-        seen = set().union(*cut)
-        new = seen.difference(self.words)
-        if new:
-            self._learn(seen if len(self.words) + len(new) > CACHE_WORDS else new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+            return [self._whole(t) for t in texts]
+        return [b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
 @functools.lru_cache(maxsize=2)
