@@ -8,6 +8,7 @@ megabyte; a text is never cut, a longer one makes a longer slice.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,11 +37,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Writes in here remove their shuffle files when they end, instead of
+    leaving them until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: the lineage ends
     there, so a lost executor costs tasks of the current step only."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
