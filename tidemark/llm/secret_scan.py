@@ -9,7 +9,7 @@ version. A second commit therefore scans only new contents, and a changed rule
 scans each content once more.
 
 All of it is DataFrame expressions. Java regular expressions give strings but
-no positions, so each rule is matched as ``(.*?)(rule)``: the first group is the
+no positions, so each rule is matched as ``\\G(.*?)(rule)``: the first group is the
 text skipped since the last match, and running sums of the lengths of both
 groups are the starts (in code points) of leftmost non-overlapping matches. A
 cheap substring test keeps blobs without a rule's fixed parts away from it.
@@ -72,7 +72,9 @@ LEDGER = "blob string, rule string, rule_version int, " \
 
 def _spans(text: Column, rule: Rule) -> Column:
     """array<struct<start, end>> of a rule's kept matches, in order."""
-    anywhere = F.lit(f"(?s)(.*?)({rule.pattern})")
+    # \G: go on where the last match ended, and nowhere else, so that the text
+    # after the last match is walked once
+    anywhere = F.lit(rf"(?s)\G(.*?)({rule.pattern})")
     skipped = F.regexp_extract_all(text, anywhere, F.lit(1))
     matched = F.regexp_extract_all(text, anywhere, F.lit(2))
     if rule.grouped:
