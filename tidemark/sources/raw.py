@@ -3,24 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.schemas import RAW_SCHEMAS
 
+# The exporter's CSV: a header, and quotes inside a quoted cell doubled.
+CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
+
 
 def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "csv",
              options: dict | None = None) -> DataFrame:
     """Scan one raw table with its declared all-string schema.
 
-    CSV is read with a header and the declared schema (no inference); a blank
-    cell and an empty quoted cell both become null. Parquet / ORC / a catalog
-    table are read as stored and projected onto the declared columns.
+    CSV columns are taken by the names in the file's header, in any order; a
+    missing or extra column raises, and so does a later file of the path with
+    another header. Quotes inside a cell are doubled; pass
+    ``{"multiLine": True}`` where cells hold line feeds (such files are not
+    split). A blank cell and an empty quoted cell both become null. Parquet /
+    ORC / a catalog table are read as stored and projected onto the declared
+    columns.
     """
     schema = RAW_SCHEMAS[name]
     if fmt == "csv":
-        reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-        for key, value in (options or {}).items():
-            reader = reader.option(key, value)
-        return reader.csv(path)
+        reader = spark.read.options(**CSV_FORMAT, **(options or {}))
+        found = reader.csv(path).columns
+        if sorted(found) != sorted(schema.names):
+            raise ValueError(
+                f"{name}: header has no {sorted(set(schema.names) - set(found))}, "
+                f"declares nothing as {sorted(set(found) - set(schema.names))}")
+        in_file_order = T.StructType([schema[c] for c in found])
+        return (reader.option("mode", "FAILFAST").option("enforceSchema", False)
+                .schema(in_file_order).csv(path).select(*schema.names))
     if fmt == "table":
         df = spark.table(path)
     else:
@@ -35,7 +48,7 @@ def read_raw_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv"
 
 # Writing CSV like a spreadsheet export: values kept byte for byte (Spark's
 # writer trims whitespace by default), header row, empty text as "".
-CSV_EXPORT_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False,
+CSV_EXPORT_OPTIONS = {**CSV_FORMAT, "ignoreLeadingWhiteSpace": False,
                       "ignoreTrailingWhiteSpace": False}
 
 

@@ -11,28 +11,24 @@ before each rebuild of silver and gold.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.schemas import RAW_SCHEMAS
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.raw import CSV_FORMAT
 
 
 def ingest_raw_stream(spark: SparkSession, name: str, landing_dir: str, bronze_dir: str,
-                      checkpoint_dir: str | None = None, fmt: str = "csv",
+                      checkpoint_dir: str, fmt: str = "csv",
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start an ``availableNow`` stream loading new raw ``name`` files into bronze."""
     reader = spark.readStream.schema(RAW_SCHEMAS[name])
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
+        # a file whose header differs from the declared columns fails the load
+        reader = reader.options(**CSV_FORMAT, mode="FAILFAST", enforceSchema=False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.format(fmt).load(landing_dir)
-    if checkpoint_dir is None:
-        base = ensure_checkpoint_dir(spark)
-        checkpoint_dir = os.path.join(base.rsplit("/", 1)[0], f"ingest-{name}")
     return (stream.writeStream.format("parquet")
             .option("path", bronze_dir)
             .option("checkpointLocation", checkpoint_dir)
