@@ -22,18 +22,16 @@ def _sql_rank(values, descending=True):
 def test_rank_matches_sql_rank(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
     for descending in (True, False):
-        for limit in (0, 1000):  # 0 forces the distributed path
-            got = {r.id: r.rk for r in
-                   with_global_rank(df.repartition(5), "v", "rk", descending, limit).collect()}
-            want = _sql_rank(values, descending)
-            assert [got[i] for i in range(len(values))] == want
+        got = {r.id: r.rk for r in
+               with_global_rank(df.repartition(5), "v", "rk", descending).collect()}
+        assert [got[i] for i in range(len(values))] == _sql_rank(values, descending)
 
 
 def test_rank_many_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     try:
         df = spark.range(0, 500).selectExpr("id", "cast(id % 37 as int) AS v")
-        got = {r.id: r.rk for r in with_global_rank(df, "v", "rk", single_task_values=0).collect()}
+        got = {r.id: r.rk for r in with_global_rank(df, "v", "rk").collect()}
         vals = [i % 37 for i in range(500)]
         want = _sql_rank(vals)
         assert [got[i] for i in range(500)] == want
@@ -41,12 +39,11 @@ def test_rank_many_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_several_ranks_small_and_distributed(spark):
+def test_several_ranks(spark):
     rows = [(i, (i * 7) % 5, None if i % 4 == 0 else i % 3) for i in range(30)]
     df = spark.createDataFrame(rows, "id int, a int, b int")
     want_a = _sql_rank([r[1] for r in rows])
     want_b = _sql_rank([r[2] for r in rows])
-    for limit in (0, 1000):  # 0 forces the per-column distributed path
-        got = {r.id: (r.ra, r.rb) for r in
-               with_global_ranks(df, [("a", "ra"), ("b", "rb")], single_task_rows=limit).collect()}
-        assert [got[i] for i in range(30)] == list(zip(want_a, want_b))
+    got = {r.id: (r.ra, r.rb) for r in
+           with_global_ranks(df, [("a", "ra"), ("b", "rb")]).collect()}
+    assert [got[i] for i in range(30)] == list(zip(want_a, want_b))

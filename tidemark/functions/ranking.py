@@ -15,9 +15,6 @@ rank is computed as "1 + number of rows ordered before this value":
 
 rank = offset of the partition + rows before the value in its partition + 1,
 joined back on the value (null-safe, nulls ordered last as in ``rank()``).
-
-When the number of distinct values is checked to be small, step 2-4 collapse
-into one sorted window over the per-value counts.
 """
 
 from __future__ import annotations
@@ -30,20 +27,10 @@ def _order(col: str, descending: bool):
     return F.desc_nulls_last(col) if descending else F.asc_nulls_last(col)
 
 
-# At most this many distinct values are ranked inside one task; the number is
-# checked at run time (like a broadcast threshold) before that path is taken.
-SINGLE_TASK_VALUES = 1_000_000
-
-
 def value_ranks(df: DataFrame, col: str, descending: bool = True,
-                rank_col: str = "rank", single_task_values: int = SINGLE_TASK_VALUES) -> DataFrame:
+                rank_col: str = "rank") -> DataFrame:
     """One row per distinct value of ``col`` with its SQL ``rank()``."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy(_order(col, descending)).rowsBetween(Window.unboundedPreceding, -1)
-    if single_task_values > 0 and counts.limit(single_task_values + 1).count() <= single_task_values:
-        # checked: few distinct values, one small sorted task is cheapest
-        return counts.select(col, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) + F.lit(1))
-                             .cast("int").alias(rank_col))
     ordered = (counts.orderBy(_order(col, descending))
                .withColumn("_part", F.spark_partition_id())
                .checkpoint(eager=True))
@@ -56,30 +43,19 @@ def value_ranks(df: DataFrame, col: str, descending: bool = True,
     return (ordered.join(F.broadcast(offsets), "_part")
             .select(col, (F.col("_offset")
                           + F.coalesce(F.sum("_rows").over(before_values), F.lit(0))
-                          + F.lit(1)).cast("int").alias(rank_col)))
+                          + F.lit(1)).cast("bigint").alias(rank_col)))
 
 
-def with_global_rank(df: DataFrame, col: str, rank_col: str, descending: bool = True,
-                     single_task_values: int = SINGLE_TASK_VALUES) -> DataFrame:
+def with_global_rank(df: DataFrame, col: str, rank_col: str,
+                     descending: bool = True) -> DataFrame:
     """``df`` plus ``rank_col`` = rank() over (order by col [desc] nulls last)."""
-    ranks = value_ranks(df, col, descending, rank_col, single_task_values).withColumnRenamed(
-        col, "_value")
+    ranks = value_ranks(df, col, descending, rank_col).withColumnRenamed(col, "_value")
     return (df.join(ranks, df[col].eqNullSafe(ranks["_value"]), "left").drop("_value"))
 
 
-def with_global_ranks(df: DataFrame, specs: list[tuple[str, str]], descending: bool = True,
-                      single_task_rows: int = SINGLE_TASK_VALUES) -> DataFrame:
-    """``df`` plus one ``rank()`` column per (column, rank column) in ``specs``.
-
-    When ``df`` itself is checked (one count) to hold at most
-    ``single_task_rows`` rows, the ranks are plain SQL ``rank()`` windows over
-    it; otherwise each column takes the distributed path above.
-    """
-    if single_task_rows > 0 and df.limit(single_task_rows + 1).count() <= single_task_rows:
-        for col, rank_col in specs:
-            w = Window.orderBy(_order(col, descending))
-            df = df.withColumn(rank_col, F.rank().over(w).cast("int"))
-        return df
+def with_global_ranks(df: DataFrame, specs: list[tuple[str, str]],
+                      descending: bool = True) -> DataFrame:
+    """``df`` plus one ``rank()`` column per (column, rank column) in ``specs``."""
     for col, rank_col in specs:
         df = with_global_rank(df, col, rank_col, descending)
     return df

@@ -63,6 +63,26 @@ def purchase_ranks(events: DataFrame, max_rank: int = 2) -> DataFrame:
             .where(F.col("purchase_rank") <= max_rank))
 
 
+def all_purchase_ranks(events: DataFrame) -> DataFrame:
+    """Every order's rank among its customer's orders by event_date, nulls last
+    (customer_id, event_date, purchase_rank); orders without a customer are
+    ranked as one group.
+
+    Orders are counted per (customer, date) first, with map-side partials; the
+    window runs over these counts, and each date's consecutive ranks are then
+    written out, so a customer's orders never meet in one task.
+    """
+    dates = orders(events).groupBy("customer_id", "event_date").agg(
+        F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy("customer_id").orderBy(F.asc_nulls_last("event_date"))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    earlier = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    return (dates.withColumn("_before", earlier)
+            .select("customer_id", "event_date",
+                    F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n")))
+                    .alias("purchase_rank")))
+
+
 def second_purchase(events: DataFrame) -> DataFrame:
     """Per customer with two or more orders: first and second purchase dates
     and the calendar days between them."""
@@ -144,7 +164,7 @@ def with_loyalty(order_rows: DataFrame, loyal_customers: DataFrame) -> DataFrame
     nothing at order grain.
     """
     flags = loyal_customers.select("customer_id", "is_loyal_customer")
-    return (left_join_skipping_null_keys(order_rows, flags, "customer_id")
+    return (left_join_skipping_null_keys(order_rows, flags, "customer_id", salt="event_id")
             .withColumn("is_loyal_customer", F.coalesce(F.col("is_loyal_customer"), F.lit(False))))
 
 

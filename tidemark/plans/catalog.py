@@ -151,8 +151,8 @@ OVER_MODELS: dict[str, ModelQuery] = {
     "op_discount_code_clean": q_op_discount_code_clean,
     "op_flag_parse": q_op_flag_parse,
     "op_date_parts": q_op_date_parts,
-    # Each customer's first and second purchase (ranks 1-2, the ranks the model reads)
-    "op_purchase_rank": lambda m: I.purchase_ranks(m.stg_events, 2),
+    # Every order's rank among its customer's orders
+    "op_purchase_rank": lambda m: I.all_purchase_ranks(m.stg_events),
     "op_days_to_second_purchase": lambda m: I.second_purchase(m.stg_events),
     **{n: _model_query(n) for n in INTERMEDIATE},
     **{n: _model_query(n) for n in MARTS},
