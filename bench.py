@@ -53,7 +53,9 @@ def literal_channel(spark, sf_dir):
     """The reference's literal plan for the channel mart: every order joined to
     the loyalty table, then two different distinct counts per channel."""
     m = Models(raw_tables(spark, sf_dir), THRESHOLD)
-    o = I.with_loyalty(orders(m.stg_events), I.loyalty_flags(m.int_customer_orders, THRESHOLD))
+    columns = orders(m.stg_events).select("event_id", "channel", "customer_id",
+                                          "net_revenue_usd")
+    o = I.with_loyalty(columns, I.loyalty_flags(m.int_customer_orders, THRESHOLD))
     return o.groupBy("channel").agg(
         F.count("event_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),

@@ -195,7 +195,7 @@ def test_left_join_skipping_null_keys(spark):
     from tidemark.operators.joins import left_join_skipping_null_keys
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, k string")
     right = spark.createDataFrame([("a", 10)], "k string, v int")
-    got = sorted((r.id, r.k, r.v) for r in left_join_skipping_null_keys(left, right, "k").collect())
+    got = sorted((r.id, r.k, r.v) for r in left_join_skipping_null_keys(left, right, "k", salt="id").collect())
     assert got == [(1, "a", 10), (2, None, None), (3, "z", None)]
 
 

@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 _NULL_KEY_PREFIX = "\u0000null:"
 
 
-def left_join_skipping_null_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def left_join_skipping_null_keys(left: DataFrame, right: DataFrame, key: str,
+                                 salt: str) -> DataFrame:
     """``left.join(right, key, "left")`` for a string key, in one pass, with
     null keys spread out.
 
     A null key never matches, but in a sort-merge join every null-key row
     would hash to the same reducer. Each such row gets a synthetic key (a hash
-    of the row behind a prefix no real key has), so they spread over all
-    partitions and still match nothing; the original key column is kept.
+    of its ``salt`` column behind a prefix no real key has), so they spread over
+    all partitions and still match nothing; the original key column is kept.
     """
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]).cast("string")
+    row_hash = F.xxhash64(F.col(salt)).cast("string")
     join_key = F.when(F.col(key).isNull(), F.concat(F.lit(_NULL_KEY_PREFIX), row_hash)) \
         .otherwise(F.col(key))
     salted = left.withColumn("_join_key", join_key)

@@ -178,7 +178,9 @@ def mart_billing_cycle_revenue(events: DataFrame, products: DataFrame,
     customer's loyalty taken from all their orders (known product or not)."""
     p = products.select("product_id", "billing_cycle", "category",
                         F.lit(True).alias("in_catalogue"))
-    rows = left_join_skipping_null_keys(orders(events), p, "product_id")
+    o = orders(events).select("event_id", "customer_id", "product_id", "net_revenue_usd",
+                              "is_refunded")
+    rows = left_join_skipping_null_keys(o, p, "product_id", salt="event_id")
     keys = ["in_catalogue", "billing_cycle", "category"]
     cust = loyalty_rollup(rows, keys, order_partials("rev_sum", "rev_n", "refunds"), threshold)
     customers = F.count("customer_id")
