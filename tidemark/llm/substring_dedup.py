@@ -21,15 +21,17 @@ share reaches a block once per batch. The number of blocks follows the size of
 the table, so a block stays bounded; nothing is collected or broadcast.
 
 Defined results: a null text has no words; texts of fewer than 13 words are kept
-whole; windows of rows with the same doc_id (repeated rows) do not remove each
-other; a null doc_id counts as larger than all, so its repeated windows are
-removed; kept text of no words is empty; an empty table gives an empty result;
-only doc_id and text are read.
+whole; windows of rows with the same doc_id do not remove each other, and rows of
+one doc_id with different texts are judged one by one (positions carry the crc32
+of their text); a row without a doc_id has no smaller one: it is kept whole and
+removes nothing; kept text of no words is empty; an empty table gives an empty
+result; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 BLOCK_CHARS = 4 << 20
-NO_ID = np.iinfo(np.int64).max
+PLACE = "<u8"  # crc32 of the text, then the word's position, 32 bits each
 
 # block: hashes of one block (kind 0), or decided positions of a document (kind 1)
 PACKED = "block long, kind int, doc_id long, ids binary, positions binary, high binary, low binary"
@@ -56,7 +58,13 @@ RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
 def _ids(column: pa.Array) -> np.ndarray:
-    return column.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _marks(words: Words) -> np.ndarray:
+    """The crc32 of each text, in the high half of a place."""
+    raw, at = words.data.tobytes(), words.offsets.tolist()
+    return np.array([zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])], U64) << U64(32)
 
 
 def word_codes(words: Words) -> np.ndarray:
@@ -110,10 +118,9 @@ def _packed(hashes: tuple[np.ndarray, ...], ids: np.ndarray, doc: np.ndarray,
     d = np.flatnonzero(decided)
     d = d[np.argsort(doc[d], kind="stable")]
     owner = dict(zip(doc[d].tolist(), ids[d].tolist()))
-    for at, blob in _blobs(doc[d], position[d].astype("<u4")):
+    for at, blob in _blobs(doc[d], position[d].astype(PLACE)):
         doc_id = owner[at]
-        rows.append((hash((doc_id, at)) % blocks, 1, None if doc_id == NO_ID else doc_id, None,
-                     blob, None, None))
+        rows.append((hash((doc_id, at)) % blocks, 1, doc_id, None, blob, None, None))
     again = np.zeros(len(ids), bool)  # repeated rows
     again[1:] = ~new[1:] & (ids[1:] == ids[:-1]) & (position[1:] == position[:-1])
     own = np.flatnonzero(~larger & ~again)
@@ -121,7 +128,7 @@ def _packed(hashes: tuple[np.ndarray, ...], ids: np.ndarray, doc: np.ndarray,
     by = np.argsort(block, kind="stable")
     own, block = own[by], block[by]
     sent = [h[own].astype("<u8") for h in hashes]
-    for b, i, p, *h in _blobs(block, ids[own], position[own].astype("<u4"), *sent):
+    for b, i, p, *h in _blobs(block, ids[own], position[own].astype(PLACE), *sent):
         rows.append((b, 0, None, i, p, h[0], h[1] if len(h) > 1 else None))
     return rows
 
@@ -133,18 +140,21 @@ def _anchors(blocks: int):
     def run(batches):
         for batch in batches:
             ids = _ids(batch.column(0))
+            named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             found = []
             for lo, hi in slices(batch.column(1)):
                 words = Words(*flat(batch.column(1).slice(lo, hi - lo)))
                 # an anchor lies in some window: texts of fewer words have none
-                n = np.where(words.counts >= WINDOW, words.counts - ANCHOR + 1, 0)
+                n = np.where((words.counts >= WINDOW) & named[lo:hi],
+                             words.counts - ANCHOR + 1, 0)
                 at = ranges(words.first[:-1], n)
                 doc = np.repeat(np.arange(hi - lo), n)
                 place = at - words.first[doc]
                 on = covered[place % PERIOD]
                 if on.any():
                     code = rolling(word_codes(words), ANCHOR, 1)
-                    found.append((code[at[on]], doc[on] + lo, place[on]))
+                    found.append((code[at[on]], doc[on] + lo,
+                                  place[on].astype(U64) | _marks(words)[doc[on]]))
             if found:
                 code, doc, place = (np.concatenate(x) for x in zip(*found))
                 yield _emit(_packed((code,), ids[doc], doc, place, blocks, False))
@@ -156,7 +166,7 @@ def _blocks(decide, shards: int):
     decided positions on by shards of doc_ids."""
     def decided(held):
         ids, position = (np.concatenate([np.frombuffer(h[k], t) for h in held])
-                         for k, t in ((0, np.int64), (1, "<u4")))
+                         for k, t in ((0, np.int64), (1, PLACE)))
         hashes = tuple(np.concatenate([np.frombuffer(h[k], "<u8") for h in held])
                        for k in (2, 3) if held[0][k] is not None)
         order = np.lexsort((ids, *reversed(hashes)))
@@ -172,7 +182,7 @@ def _blocks(decide, shards: int):
         ids, position = (np.concatenate(x) for x in zip(*found))
         shard = (mix(ids.astype(U64)) % U64(shards)).astype(np.int64)
         by = np.argsort(shard, kind="stable")
-        rows = list(_blobs(shard[by], ids[by], position[by].astype("<u4")))
+        rows = list(_blobs(shard[by], ids[by], position[by].astype(PLACE)))
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((), (), ()),
                                             (pa.int64(), pa.binary(), pa.binary()))],
@@ -185,7 +195,7 @@ def _blocks(decide, shards: int):
             ids = _ids(batch.column(2))
             for r, (block, kind) in enumerate(zip(blocks, kinds)):
                 if kind == 1:
-                    position = np.frombuffer(batch.column(4)[r].as_py(), "<u4")
+                    position = np.frombuffer(batch.column(4)[r].as_py(), PLACE)
                     found.append((np.full(len(position), ids[r]), position))
                     n += len(position)
                     continue
@@ -209,11 +219,11 @@ def _gather(batches):
     """Rows sorted by shard -> one row per document with its decided positions."""
     def documents(held):
         ids = np.concatenate([np.frombuffer(i, np.int64) for i, _ in held])
-        position = np.concatenate([np.frombuffer(p, "<u4") for _, p in held])
+        position = np.concatenate([np.frombuffer(p, PLACE) for _, p in held])
         order = np.lexsort((position, ids))
         rows = list(_blobs(ids[order], position[order]))
         return pa.RecordBatch.from_arrays(
-            [pa.array([None if i == NO_ID else i for i, _ in rows], pa.int64()),
+            [pa.array([i for i, _ in rows], pa.int64()),
              pa.array([p for _, p in rows], pa.binary())], names=["doc_id", "positions"])
 
     held, current = [], None
@@ -237,8 +247,11 @@ def _remove(ids, group, first):
     return ids > ids[first][group]
 
 
-def _positions(blob: bytes | None) -> np.ndarray:
-    return np.unique(np.frombuffer(blob or b"", "<u4")).astype(np.int64)
+def _positions(blob: bytes | None, mark: int) -> np.ndarray:
+    """Decided positions of the text of this mark."""
+    place = np.frombuffer(blob or b"", PLACE)
+    own = place[place >> U64(32) == U64(mark >> 32)]
+    return np.unique(own & U64(0xFFFFFFFF)).astype(np.int64)
 
 
 def _windows(blocks: int):
@@ -251,9 +264,10 @@ def _windows(blocks: int):
             found = []
             for lo, hi in slices(batch.column(1)):
                 words = Words(*flat(batch.column(1).slice(lo, hi - lo)))
+                text_mark = _marks(words)
                 doc, at = [], []
                 for d in range(hi - lo):
-                    anchors = _positions(marks[lo + d].as_py())
+                    anchors = _positions(marks[lo + d].as_py(), int(text_mark[d]))
                     if len(anchors):
                         windows = np.unique((anchors[:, None] + shift).ravel())
                         last = int(words.counts[d]) - WINDOW
@@ -264,7 +278,8 @@ def _windows(blocks: int):
                     doc, at = np.concatenate(doc), np.concatenate(at)
                     code, place = word_codes(words), at + words.first[doc]
                     found.append((rolling(code, WINDOW, 2)[place],
-                                  rolling(code, WINDOW, 3)[place], doc + lo, at))
+                                  rolling(code, WINDOW, 3)[place], doc + lo,
+                                  at.astype(U64) | text_mark[doc]))
             if found:
                 high, low, doc, at = (np.concatenate(x) for x in zip(*found))
                 if len(doc):
@@ -288,7 +303,8 @@ def _kept(batches):
         for d, (a, b) in enumerate(zip(at, at[1:])):
             words = raw[a:b].split()
             removed = 0
-            windows = _positions(marks[d].as_py())
+            blob = marks[d].as_py()
+            windows = _positions(blob, zlib.crc32(raw[a:b]) << 32 if blob else 0)
             n_words.append(len(words))
             if len(windows):
                 gone = removed_words(windows, len(words))
@@ -305,7 +321,8 @@ def _kept_text(batches):
     for batch in batches:
         texts = []
         for text, marks in zip(batch.column(1).to_pylist(), batch.column(2)):
-            windows = _positions(marks.as_py())
+            blob = marks.as_py()
+            windows = _positions(blob, zlib.crc32(text.encode()) << 32 if blob and text else 0)
             if len(windows):
                 words = text.encode().split()
                 gone = removed_words(windows, len(words))
@@ -318,7 +335,7 @@ def _kept_text(batches):
 def _marked(rows: DataFrame, decided: DataFrame, keep_all: bool) -> DataFrame:
     """(doc_id, text, marks): each row with the decided positions of its doc_id."""
     marks = decided.select(F.col("doc_id").alias("_id"), F.col("positions").alias("marks"))
-    return (rows.join(marks.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")),
+    return (rows.join(marks.hint("merge"), F.col("doc_id") == F.col("_id"),
                       "left" if keep_all else "inner").select("doc_id", "text", "marks"))
 
 
@@ -332,8 +349,8 @@ def _decide(packed: DataFrame, blocks: int, decide, name: str) -> DataFrame:
 
 
 def removed_windows(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, positions): starts of windows to remove, as packed unsigned
-    32-bit integers, one row per document that has some."""
+    """(doc_id, positions): starts of windows to remove, as packed places,
+    one row per document that has some."""
     rows = _rows(docs)
     blocks = block_count(docs, block_chars, 4 * shuffle_partitions(docs.sparkSession))
     anchors = _decide(rows.mapInArrow(_anchors(blocks), PACKED), blocks, _survive, "anchors")
