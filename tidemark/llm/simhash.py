@@ -37,6 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import U64, flat, shuffle_partitions, written
 
@@ -384,9 +385,9 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(small.distinct(), "small-star")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
-                    max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
+def _members(docs: DataFrame, shingle: int, max_bucket: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) of every document; a component is named
+    by its root fingerprint and by its smallest doc_id."""
     prints = written(fingerprints(docs, shingle), "simhash-prints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
     tree = components(links(distinct, max_bucket))
@@ -397,24 +398,60 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
     smallest = written(rooted.groupBy(F.col("root").alias("_root"))
                        .agg(F.min("rep").alias("component_id")), "simhash-smallest")
     named = written(rooted.join(smallest.hint("merge"), F.col("root") == F.col("_root"))
-                    .select(F.col("fp").alias("_fp"), "component_id"), "simhash-named")
+                    .select(F.col("fp").alias("_fp"), "root", "component_id"), "simhash-named")
     return (prints.join(named.hint("merge"), F.col("fp") == F.col("_fp"))
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    "component_id"))
+            .select("doc_id", "fp", "root", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
+                    max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document."""
+    return _members(docs, shingle, max_bucket).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+    """``docs`` with the fingerprint as column ``_tm_fp``."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = flat(batch.column(at))
+            raw, ends = data.tobytes().lower(), offsets.tolist()
+            fp = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(ends, ends[1:])], U64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))],
+                                             names=[*batch.schema.names, "_tm_fp"])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields,
+                                              T.StructField("_tm_fp", T.LongType())]))
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE,
                     max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """``docs`` with the document of the smallest doc_id of each component; of
-    repeated rows of it one stays; rows without a doc_id stay if their
-    component has no other, one per fingerprint."""
-    kept = (near_duplicates(docs, shingle, max_bucket)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_rows")))
-    kept = written(kept, "simhash-kept")
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-    once = joined.where("_rows = 1").select(*docs.columns)
-    if kept.where("_rows > 1").isEmpty():
+    """``docs`` with one document of each component: the one of the smallest
+    doc_id, or one without a doc_id where there is no other.
+
+    A doc_id on one row only is decided by a join on doc_id. Rows that share a
+    doc_id (or have none) are told apart by their fingerprints, and repeated
+    rows are thinned to one.
+    """
+    members = written(_members(docs, shingle, max_bucket), "simhash-members")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp"))
+    kept = written(members.groupBy("root").agg(best.alias("best"))
+                   .select(F.col("best.doc_id").alias("_kept_id"), F.col("best.fp").alias("_fp")),
+                   "simhash-kept")
+    ids = (members.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")))
+    kept = written(kept.join(ids.hint("merge"), F.col("_kept_id").eqNullSafe(F.col("_id")))
+                   .select("_kept_id", "_fp", "_rows"), "simhash-kept-rows")
+    columns = docs.columns
+    once = docs.join(kept.where("_rows = 1"), F.col("doc_id").eqNullSafe(F.col("_kept_id"))) \
+        .select(*columns)
+    shared = kept.where("_rows > 1")
+    if shared.isEmpty():
         return once
-    return once.unionByName(joined.where("_rows > 1").dropDuplicates(["doc_id", "text"])
-                            .select(*docs.columns))
+    rows = docs.join(shared.select("_kept_id").distinct(),
+                     F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    repeated = (_with_fingerprint(rows, shingle)
+                .join(shared, F.col("doc_id").eqNullSafe(F.col("_kept_id"))
+                      & (F.col("_tm_fp") == F.col("_fp")), "left_semi")
+                .dropDuplicates(["doc_id", "_tm_fp"]))
+    return once.unionByName(repeated.select(*columns))
