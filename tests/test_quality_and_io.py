@@ -145,6 +145,24 @@ def test_command_line_build_from_csv(spark, scratch, capsys):
     assert (share.loyal_customers, share.ordering_customers) == (1, 2)
 
 
+def test_failing_checks_and_repeated_events(spark, scratch):
+    import pytest
+    from tidemark.__main__ import main
+    parts = {"products": fx.products(spark, [{"product_id": "P1"}]),
+             "customers": fx.customers(spark, [{"customer_id": "C1"}])}
+    unknown = fx.events(spark, [{"event_id": "E1", "event_type": "gift", "customer_id": "C1",
+                                 "product_id": "P1"}])
+    paths = {n: os.path.join(scratch, "in", n) for n in ("events", "products", "customers")}
+    for name, df in {"events": unknown, **parts}.items():
+        write_csv(df, paths[name])
+    call = ["build", *[x for n, p in paths.items() for x in (f"--{n}", p)],
+            "--lake", os.path.join(scratch, "lake")]
+    assert main(call) == 1 and main([*call, "--warn"]) == 0
+    twice = fx.events(spark, [{"event_id": "E1"}, {"event_id": "E1"}])
+    with pytest.raises(ValueError, match="event ids"):
+        materialize({"events": twice, **parts}, Layout(spark, os.path.join(scratch, "again")))
+
+
 def test_materialize_stops_on_duplicate_dimension_keys(spark, scratch):
     import pytest
     raw = {"events": fx.events(spark, fx.orders_for("C1", 2, product_id="P1")),

@@ -2,13 +2,16 @@
 
     python -m tidemark build --events E --products P --customers C --lake ROOT
                              [--format csv|parquet] [--threshold 10] [--master local[*]]
-    python -m tidemark report NAME [NAME ...] --lake ROOT [--threshold 10]
+                             [--no-register] [--warn]
+    python -m tidemark report NAME [NAME ...] --lake ROOT
 
 ``build`` copies raw files untransformed into bronze, writes staging to silver,
 runs the data checks and writes the seven marts to gold under ROOT; the check
-results (one row per check) are printed as JSON lines. ``report`` computes
-dashboard reports from the staged silver tables of a finished build, writes
-each to ``gold/reports/NAME`` and shows its first rows.
+results (one row per check) are printed as JSON lines, and a failing check makes
+the exit code 1 unless ``--warn`` is given. The marts become catalog tables
+``gold.<mart>`` unless ``--no-register`` is given. ``report`` computes dashboard
+reports from the staged silver tables of a finished build with that build's
+loyalty threshold, writes each to ``gold/reports/NAME`` and shows its first rows.
 """
 
 from __future__ import annotations
@@ -35,19 +38,24 @@ def main(argv=None) -> int:
     b.add_argument("--format", default="csv", choices=["csv", "parquet", "orc", "json"])
     b.add_argument("--threshold", type=int, default=LOYALTY_THRESHOLD)
     b.add_argument("--master", default=None, help="only for local runs; omit under spark-submit")
-    b.add_argument("--register", action="store_true",
-                   help="also register the marts as catalog tables gold.<mart>")
+    b.add_argument("--register", action=argparse.BooleanOptionalAction, default=True,
+                   help="register the marts as catalog tables gold.<mart>")
+    b.add_argument("--warn", action="store_true", help="failing checks do not fail the run")
     r = sub.add_parser("report", help="dashboard reports from a finished build")
     r.add_argument("names", nargs="+", choices=REPORTS, metavar="NAME")
     r.add_argument("--lake", required=True)
-    r.add_argument("--threshold", type=int, default=LOYALTY_THRESHOLD)
+    r.add_argument("--threshold", type=int, default=None,
+                   help="must be the build's, which is the default")
     r.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
     spark = get_session(args.master)
     if args.command == "report":
         layout = Layout(spark, args.lake)
-        m = Models(threshold=args.threshold,
+        threshold = layout.read("silver", "build_settings").first()["threshold"]
+        if args.threshold not in (None, threshold):
+            parser.error(f"the build has threshold {threshold}")
+        m = Models(threshold=threshold,
                    staged={n: layout.read("silver", n) for n in STAGING})
         for name in args.names:
             out = layout.write(m.report(name), "gold", f"reports/{name}")
@@ -60,10 +68,11 @@ def main(argv=None) -> int:
                                   "customers": args.customers}, args.format)
     bronze = load_bronze(raw, layout)
     gold, checks = materialize(bronze, layout, args.threshold, register=args.register)
-    for row in checks.collect():  # one row per check
+    rows = checks.collect()  # one row per check
+    for row in rows:
         print(json.dumps(row.asDict()))
     print(json.dumps({"gold": sorted(gold), "lake": args.lake}))
-    return 0
+    return 0 if args.warn or not any(row["failures"] for row in rows) else 1
 
 
 if __name__ == "__main__":

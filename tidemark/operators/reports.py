@@ -94,6 +94,19 @@ def rep_discount_rank(discount_analysis: DataFrame) -> DataFrame:
                                       ("loyal_customer_pct", "rank_by_loyal_pct")])
 
 
+def rep_channel_rank(channel_performance: DataFrame) -> DataFrame:
+    """Sales channels ranked by revenue, loyal customers, refund rate and
+    discount use (SQL ``rank()``, highest first)."""
+    # One row per channel, checkpointed once for the four rankings.
+    ranked = channel_performance.select("channel", "total_revenue_usd", "loyal_customers",
+                                        "refund_rate_pct", "discount_usage_pct") \
+        .checkpoint(eager=True)
+    return with_global_ranks(ranked, [("total_revenue_usd", "rank_by_revenue"),
+                                      ("loyal_customers", "rank_by_loyal_customers"),
+                                      ("refund_rate_pct", "rank_by_refund_rate"),
+                                      ("discount_usage_pct", "rank_by_discount_usage")])
+
+
 def rep_attach_range(addon_attach: DataFrame) -> DataFrame:
     """Range of add-on attach rates."""
     return addon_attach.agg(

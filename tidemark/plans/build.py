@@ -104,6 +104,7 @@ class Models:
         builders = {
             "rep_loyal_share": lambda: R.rep_loyal_share(self.int_loyal_customers),
             "rep_peak_month": lambda: R.rep_peak_month(self.mart_sales_by_month),
+            "rep_channel_rank": lambda: R.rep_channel_rank(self.mart_channel_performance),
             "rep_region_revenue_share": lambda: R.rep_region_revenue_share(self.mart_asp_by_country),
             "rep_country_pricing": lambda: R.rep_country_pricing(self.mart_asp_by_country),
             "rep_loyal_by_segment": lambda: R.rep_loyal_by_segment(self.mart_loyal_customers),
@@ -128,7 +129,8 @@ class Models:
         return Q.run_checks(self.raw, self.staged())
 
 
-REPORTS = ("rep_loyal_share", "rep_peak_month", "rep_region_revenue_share", "rep_country_pricing",
+REPORTS = ("rep_loyal_share", "rep_peak_month", "rep_channel_rank", "rep_region_revenue_share",
+           "rep_country_pricing",
            "rep_loyal_by_segment", "rep_loyal_by_age_band", "rep_loyal_by_acquisition",
            "rep_discount_rank", "rep_attach_range", "rep_billing_cycle",
            "ext_primary_channel_mode", "ext_loyal_revenue_share")
@@ -167,18 +169,21 @@ def materialize(raw: dict[str, DataFrame], layout: Layout,
     """Production build: staging -> silver Parquet, data checks, marts -> gold.
 
     Returns the written marts and the check results. Checks are reported, not
-    blocking, except a duplicate product or customer key in silver: the marts
-    join at customer/product grain and would fan rows out, so the build stops.
-    With ``register`` the gold marts are also catalog tables ``gold.<mart>``.
+    blocking, except duplicate keys in silver, where the build stops: the marts
+    join at customer/product grain and would fan rows out, and a repeated
+    event_id would count its revenue twice. With ``register`` the gold marts are
+    also catalog tables ``gold.<mart>``. The threshold is kept with the build.
     """
     silver = write_concurrently(layout, Models(raw, threshold).staged(), "silver", workers)
     m = Models(raw, threshold, staged=silver)
     checks = layout.write(m.checks(), "silver", "data_checks")
     # at most one row per check (14 rows), safe to bring to the driver
     blocking = (checks.where("check_name = 'unique' AND failures > 0 AND "
-                             "model IN ('stg_products', 'stg_customers')").collect())
+                             "model IN ('stg_events', 'stg_products', 'stg_customers')").collect())
     if blocking:
-        raise ValueError(f"duplicate dimension keys: {[r.asDict() for r in blocking]}")
+        raise ValueError(f"duplicate dimension keys or event ids: {[r.asDict() for r in blocking]}")
+    layout.write(layout.spark.range(1).selectExpr(f"{int(threshold)} AS threshold"), "silver",
+                 "build_settings")
     gold = write_concurrently(layout, {n: m.model(n) for n in MARTS}, "gold", workers)
     if register:
         for name in MARTS:

@@ -52,13 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is. Only local runs (tests, bench) without it get a fresh scratch folder.
+    is; it raises where that is unset. Only local runs (tests, bench) without it
+    get a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -44,7 +44,7 @@ AGE_BANDS = ("18–24", "25–34", "35–44", "45–54", "55+")
 ACQUISITION_CHANNELS = ("Organic", "Paid Search", "Email", "Social", "Referral", "Affiliate")
 # Key rules: orders of every 97th customer key carry no customer, line items of
 # every 50th part key point at a product that does not exist, and every 41st
-# customer has no profile row.
+# customer's profile carries an id that no order has.
 NULL_CUSTOMER_MOD = 97
 MISSING_PRODUCT_MOD = 50
 NO_PROFILE_MOD = 41
@@ -52,10 +52,6 @@ NO_PROFILE_MOD = 41
 
 TABLES = ("lineitem", "orders", "part", "customer", "nation")
 
-# Input scans kept per session, keyed by path and modification time, so the
-# queries of one session share one file listing and schema per input file.
-_SCANS_ATTR = "_tidemark_input_scans"
-
 
 def _sql(v) -> str:
     return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -67,12 +63,7 @@ def _pick(values, index_sql: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
-    scans = spark.__dict__.setdefault(_SCANS_ATTR, {})
-    if key not in scans:
-        scans[key] = spark.read.parquet(path)
-    return scans[key]
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
@@ -179,10 +170,11 @@ def raw_products(t: dict[str, DataFrame]) -> DataFrame:
 
 def raw_customers(t: dict[str, DataFrame]) -> DataFrame:
     c, n = t["customer"], t["nation"]
-    joined = c.join(n, c.c_nationkey == n.n_nationkey).where(f"c_custkey % {NO_PROFILE_MOD} <> 0")
+    joined = c.join(n, c.c_nationkey == n.n_nationkey)
     idx = "n_nationkey % 11"
     return joined.selectExpr(
-        "concat('CUST', cast(c_custkey AS string)) AS customer_id",
+        f"concat(CASE WHEN c_custkey % {NO_PROFILE_MOD} = 0 THEN 'NOORDER' ELSE 'CUST' END, "
+        "cast(c_custkey AS string)) AS customer_id",
         "concat('2023-', lpad(cast(c_custkey % 12 + 1 AS string), 2, '0'), '-01 00:00:00') AS signup_date",
         f"concat(' ', {_pick(COUNTRIES, idx)}, ' ') AS country",
         "cast(cast(n_nationkey AS decimal(10,4)) AS string) AS country_latitude",
