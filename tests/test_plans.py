@@ -57,6 +57,37 @@ def test_attach_rate_uses_scalar_subquery_not_cross_join(spark):
     assert "Subquery" in text and "CartesianProduct" not in text
 
 
+def test_hot_customer_is_split_in_the_order_level_join(spark):
+    """One customer with half of the orders: adaptive execution splits its partition."""
+    from pyspark.sql import functions as F
+
+    from tidemark.plans.catalog import OVER_MODELS, models
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                # a partition is split by its map tasks, so there must be several
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        m = models(spark, SF)
+        events = m.stg_events.withColumn("customer_id", F.when(
+            F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0, "C-HOT").otherwise(F.col("customer_id")))
+        m.__dict__["stg_events"] = events
+        out = OVER_MODELS["orders_with_loyalty"](m)
+        assert out.count() == events.where("event_type = 'order'").count()
+        rows = out.select("event_id", "is_loyal_customer")
+        rows.collect()
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in text
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_checkpointed_reports_do_not_rescan_orders(spark):
     # the orders pipeline ran once, inside the eager checkpoint; the returned
     # plans read only the small checkpointed tables

@@ -1,13 +1,17 @@
 """Data checks on clean/broken fixtures; sinks, CSV source and streaming ingest."""
 
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests import fixtures as fx
 from tidemark.operators import quality as Q
 from tidemark.operators import staging as S
-from tidemark.plans.build import MARTS, Models, materialize
+from tidemark.plans.build import (
+    INTERMEDIATE, MARTS, STAGING, Models, materialize, stored_models,
+)
 from tidemark.sources.raw import read_raw, write_csv
 from tidemark.sources.sinks import Layout, layer_name
 from tidemark.streaming import ingest_raw_stream
@@ -107,6 +111,24 @@ def test_materialize_writes_silver_checks_and_gold(spark, scratch):
     assert gold["mart_channel_performance"].collect()[0].loyal_customers == 1
     assert checks.count() == 14
     assert os.path.isdir(os.path.join(scratch, "silver", "stg_events"))
+    names = {t.name for t in spark.catalog.listTables("silver")}
+    assert names >= {*STAGING, *INTERMEDIATE}
+    assert {t.name for t in spark.catalog.listTables("gold")} >= set(MARTS)
+    summary = spark.sql("SELECT customer_id, total_orders FROM silver.int_customer_orders")
+    assert {tuple(r) for r in summary.collect()} == {("C1", 3), ("C2", 1)}
+
+
+def test_reports_read_the_written_tables(spark, scratch):
+    ev = fx.orders_for("C1", 3, product_id="P1") + fx.orders_for("C2", 1, product_id="P1")
+    raw = {"events": fx.events(spark, ev), "products": fx.products(spark, [{"product_id": "P1"}]),
+           "customers": fx.customers(spark, [{"customer_id": "C1"}, {"customer_id": "C2"}])}
+    layout = Layout(spark, scratch)
+    materialize(raw, layout, threshold=2)
+    m = stored_models(layout)
+    assert m.threshold == 2
+    mart = m.mart_sales_by_month.withColumn("total_orders", F.lit(99).cast("bigint"))
+    m = Models(threshold=2, stored={"mart_sales_by_month": mart})
+    assert m.report("rep_peak_month").first().total_orders == 99
 
 
 def test_streaming_ingest_is_incremental(spark, scratch):
@@ -145,8 +167,35 @@ def test_command_line_build_from_csv(spark, scratch, capsys):
     assert (share.loyal_customers, share.ordering_customers) == (1, 2)
 
 
+def test_command_line_shows_report_order(spark, scratch, capsys):
+    from tidemark.__main__ import main
+    rows = [{"event_id": f"E{i}", "customer_id": "C1", "product_id": "P1", "channel": channel,
+             "net_revenue_usd": usd}
+            for i, (channel, usd) in enumerate([("Amazon", "5.00"), ("Website", "70.00"),
+                                                ("Store", "20.00")])]
+    paths = {n: os.path.join(scratch, "in", n) for n in ("events", "products", "customers")}
+    for name, df in (("events", fx.events(spark, rows)),
+                     ("products", fx.products(spark, [{"product_id": "P1"}])),
+                     ("customers", fx.customers(spark, [{"customer_id": "C1"}]))):
+        write_csv(df, paths[name])
+    lake = os.path.join(scratch, "lake")
+    call = ["build", *[x for n, p in paths.items() for x in (f"--{n}", p)], "--lake", lake]
+    assert main([*call, "--warn"]) == 0
+    assert '"added"' not in capsys.readouterr().out
+    main(["report", "mart_channel_performance", "--lake", lake])
+    out = capsys.readouterr().out
+    assert out.index("Website") < out.index("Store") < out.index("Amazon")
+    # a column that the file does not declare is reported, then the build stops
+    write_csv(fx.products(spark, [{"product_id": "P1"}]).withColumnRenamed("vendor", "maker"),
+              paths["products"])
+    with pytest.raises(ValueError, match="vendor"):
+        main(call)
+    drift = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert {(r["column_name"], r["status"]) for r in drift} == {("maker", "added"),
+                                                               ("vendor", "missing")}
+
+
 def test_failing_checks_and_repeated_events(spark, scratch):
-    import pytest
     from tidemark.__main__ import main
     parts = {"products": fx.products(spark, [{"product_id": "P1"}]),
              "customers": fx.customers(spark, [{"customer_id": "C1"}])}
@@ -164,7 +213,6 @@ def test_failing_checks_and_repeated_events(spark, scratch):
 
 
 def test_materialize_stops_on_duplicate_dimension_keys(spark, scratch):
-    import pytest
     raw = {"events": fx.events(spark, fx.orders_for("C1", 2, product_id="P1")),
            "products": fx.products(spark, [{"product_id": "P1"}, {"product_id": "P1"}]),
            "customers": fx.customers(spark, [{"customer_id": "C1"}])}

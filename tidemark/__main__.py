@@ -5,13 +5,17 @@
                              [--no-register] [--warn]
     python -m tidemark report NAME [NAME ...] --lake ROOT
 
-``build`` copies raw files untransformed into bronze, writes staging to silver,
-runs the data checks and writes the seven marts to gold under ROOT; the check
-results (one row per check) are printed as JSON lines, and a failing check makes
-the exit code 1 unless ``--warn`` is given. The marts become catalog tables
-``gold.<mart>`` unless ``--no-register`` is given. ``report`` computes dashboard
-reports from the staged silver tables of a finished build with that build's
-loyalty threshold, writes each to ``gold/reports/NAME`` and shows its first rows.
+``build`` prints the columns by which the files differ from the declared ones
+(and stops there where a declared one is missing or a CSV has another one),
+copies raw files untransformed into bronze, writes staging and the intermediate
+models to silver, runs the data checks and writes the seven marts to gold under
+ROOT; the check results (one row per check) are printed as JSON lines, and a
+failing check makes the exit code 1 unless ``--warn`` is given. The models become
+catalog tables ``silver.<model>`` and ``gold.<mart>`` unless ``--no-register`` is
+given. ``report`` computes dashboard reports from the written tables of a finished
+build with that build's loyalty threshold, writes each to ``gold/reports/NAME``
+and shows its first rows; the name of a mart or an intermediate model shows that
+table's first rows. Rows are shown in report order.
 """
 
 from __future__ import annotations
@@ -21,9 +25,11 @@ import json
 import sys
 
 from tidemark.operators.intermediate import LOYALTY_THRESHOLD
-from tidemark.plans.build import REPORTS, STAGING, Models, materialize
+from tidemark.operators.marts import display_order
+from tidemark.operators.quality import dq_schema_drift
+from tidemark.plans.build import INTERMEDIATE, MARTS, REPORTS, materialize, stored_models
 from tidemark.session import get_session
-from tidemark.sources.raw import load_bronze, read_raw_tables
+from tidemark.sources.raw import load_bronze, read_found, read_raw_tables
 from tidemark.sources.sinks import Layout
 
 
@@ -39,10 +45,10 @@ def main(argv=None) -> int:
     b.add_argument("--threshold", type=int, default=LOYALTY_THRESHOLD)
     b.add_argument("--master", default=None, help="only for local runs; omit under spark-submit")
     b.add_argument("--register", action=argparse.BooleanOptionalAction, default=True,
-                   help="register the marts as catalog tables gold.<mart>")
+                   help="register the tables as silver.<model> and gold.<mart>")
     b.add_argument("--warn", action="store_true", help="failing checks do not fail the run")
     r = sub.add_parser("report", help="dashboard reports from a finished build")
-    r.add_argument("names", nargs="+", choices=REPORTS, metavar="NAME")
+    r.add_argument("names", nargs="+", choices=REPORTS + MARTS + INTERMEDIATE, metavar="NAME")
     r.add_argument("--lake", required=True)
     r.add_argument("--threshold", type=int, default=None,
                    help="must be the build's, which is the default")
@@ -52,20 +58,23 @@ def main(argv=None) -> int:
     spark = get_session(args.master)
     if args.command == "report":
         layout = Layout(spark, args.lake)
-        threshold = layout.read("silver", "build_settings").first()["threshold"]
-        if args.threshold not in (None, threshold):
-            parser.error(f"the build has threshold {threshold}")
-        m = Models(threshold=threshold,
-                   staged={n: layout.read("silver", n) for n in STAGING})
+        m = stored_models(layout)
+        if args.threshold not in (None, m.threshold):
+            parser.error(f"the build has threshold {m.threshold}")
         for name in args.names:
-            out = layout.write(m.report(name), "gold", f"reports/{name}")
+            out = (layout.write(m.report(name), "gold", f"reports/{name}") if name in REPORTS
+                   else m.model(name))
             print(f"== {name}")
-            out.show(20, truncate=False)  # display only; the table is in the lake
+            # display only; the table is in the lake
+            display_order(name, out).show(20, truncate=False)
         return 0
 
     layout = Layout(spark, args.lake)
-    raw = read_raw_tables(spark, {"events": args.events, "products": args.products,
-                                  "customers": args.customers}, args.format)
+    paths = {"events": args.events, "products": args.products, "customers": args.customers}
+    found = {f"raw.{n}": read_found(spark, p, args.format) for n, p in paths.items()}
+    for row in dq_schema_drift(found).where("status <> 'ok'").collect():  # one row per column
+        print(json.dumps(row.asDict()))
+    raw = read_raw_tables(spark, paths, args.format)
     bronze = load_bronze(raw, layout)
     gold, checks = materialize(bronze, layout, args.threshold, register=args.register)
     rows = checks.collect()  # one row per check

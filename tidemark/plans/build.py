@@ -2,9 +2,11 @@
 
 ``Models`` wires every model lazily over one set of staging frames, so a
 caller can pull any single model and Catalyst sees (and prunes) the whole
-chain. ``materialize`` runs the production build: staging is written once to
-the silver layer (cutting lineage and sharing one scan of the typed events
-across all marts), the marts are computed from silver and written to gold.
+chain; stored tables take the place of the models of their names.
+``materialize`` runs the production build: staging and the intermediate models
+are written once to the silver layer (cutting lineage, and sharing the typed
+events and the customer summary), the marts are computed from silver and
+written to gold.
 """
 
 from __future__ import annotations
@@ -31,27 +33,29 @@ MARTS = ("mart_sales_by_month", "mart_channel_performance", "mart_loyal_customer
 
 
 class Models:
-    """Every model of the build over one set of raw (or staged) tables."""
+    """Every model of the build over one set of raw tables. ``stored`` names
+    tables that are written already and are used in place of their models."""
 
     def __init__(self, raw: dict[str, DataFrame] | None = None,
                  threshold: int = I.LOYALTY_THRESHOLD,
-                 staged: dict[str, DataFrame] | None = None):
+                 stored: dict[str, DataFrame] | None = None):
         self.raw = raw or {}
         self.threshold = threshold
-        self._staged = staged or {}
+        # a cached property that has its value already is not computed
+        self.__dict__.update(stored or {})
 
     # staging
     @cached_property
     def stg_events(self) -> DataFrame:
-        return self._staged["stg_events"] if "stg_events" in self._staged else S.stg_events(self.raw["events"])
+        return S.stg_events(self.raw["events"])
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return self._staged["stg_products"] if "stg_products" in self._staged else S.stg_products(self.raw["products"])
+        return S.stg_products(self.raw["products"])
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return self._staged["stg_customers"] if "stg_customers" in self._staged else S.stg_customers(self.raw["customers"])
+        return S.stg_customers(self.raw["customers"])
 
     # intermediate
     @cached_property
@@ -166,16 +170,18 @@ def write_concurrently(layout: Layout, frames: dict[str, DataFrame], layer: str,
 def materialize(raw: dict[str, DataFrame], layout: Layout,
                 threshold: int = I.LOYALTY_THRESHOLD,
                 workers: int = 4, register: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Production build: staging -> silver Parquet, data checks, marts -> gold.
+    """Production build: staging -> silver Parquet, data checks, intermediate
+    models -> silver, marts -> gold.
 
     Returns the written marts and the check results. Checks are reported, not
     blocking, except duplicate keys in silver, where the build stops: the marts
     join at customer/product grain and would fan rows out, and a repeated
-    event_id would count its revenue twice. With ``register`` the gold marts are
-    also catalog tables ``gold.<mart>``. The threshold is kept with the build.
+    event_id would count its revenue twice. With ``register`` all models are
+    also catalog tables, ``silver.<model>`` and ``gold.<mart>``. The threshold is
+    kept with the build.
     """
     silver = write_concurrently(layout, Models(raw, threshold).staged(), "silver", workers)
-    m = Models(raw, threshold, staged=silver)
+    m = Models(raw, threshold, stored=silver)
     checks = layout.write(m.checks(), "silver", "data_checks")
     # at most one row per check (14 rows), safe to bring to the driver
     blocking = (checks.where("check_name = 'unique' AND failures > 0 AND "
@@ -184,8 +190,25 @@ def materialize(raw: dict[str, DataFrame], layout: Layout,
         raise ValueError(f"duplicate dimension keys or event ids: {[r.asDict() for r in blocking]}")
     layout.write(layout.spark.range(1).selectExpr(f"{int(threshold)} AS threshold"), "silver",
                  "build_settings")
+    # the customer summary first: the loyal customers are made from it
+    summary = layout.write(m.int_customer_orders, "silver", "int_customer_orders")
+    silver["int_customer_orders"] = summary
+    m = Models(raw, threshold, stored=silver)
+    rest = {n: m.model(n) for n in INTERMEDIATE if n not in silver}
+    silver |= write_concurrently(layout, rest, "silver", workers)
+    m = Models(raw, threshold, stored=silver)
     gold = write_concurrently(layout, {n: m.model(n) for n in MARTS}, "gold", workers)
     if register:
-        for name in MARTS:
-            layout.register("gold", name)
+        for layer, names in (("silver", STAGING + INTERMEDIATE), ("gold", MARTS)):
+            for name in names:
+                layout.register(layer, name)
     return gold, checks
+
+
+def stored_models(layout: Layout) -> Models:
+    """The models of a finished build, each read from its written table, with
+    the build's threshold."""
+    threshold = layout.read("silver", "build_settings").first()["threshold"]
+    tables = {n: layout.read("silver", n) for n in STAGING + INTERMEDIATE}
+    return Models(threshold=threshold,
+                  stored=tables | {n: layout.read("gold", n) for n in MARTS})

@@ -24,7 +24,7 @@ from tidemark.operators.staging import orders
 from tidemark.plans import oracle as O
 from tidemark.plans.build import INTERMEDIATE, MARTS, REPORTS, STAGING, Models
 from tidemark.session import lake_root
-from tidemark.sources.raw import read_raw, write_csv
+from tidemark.sources.raw import read_found, read_raw, write_csv
 from tidemark.sources.sinks import Layout
 from tidemark.sources.testdata import raw_tables
 from tidemark.streaming import ingest_raw_stream
@@ -107,9 +107,35 @@ def q_op_date_parts(m: Models) -> DataFrame:
 # --------------------------------------------------------------------------- probes over models
 
 def q_orders_with_loyalty(m: Models) -> DataFrame:
-    """Each order with its customer's loyalty flag."""
+    """Each order with its customer's loyalty flag.
+
+    The flags are written first: adaptive execution splits a hot customer only
+    where the join shuffles the other side itself, which it does for a table
+    and not for an aggregate (or its checkpoint) by the same key.
+    """
     o = orders(m.stg_events).select("event_id", "customer_id", "channel", "net_revenue_usd")
-    return I.with_loyalty(o, I.loyalty_flags(m.int_customer_orders, m.threshold))
+    spark = o.sparkSession
+    layout = Layout(spark, os.path.join(lake_root(spark), f"flags-{uuid.uuid4().hex[:8]}"))
+    flags = layout.write(I.loyalty_flags(m.int_customer_orders, m.threshold), "silver", "flags")
+    return I.with_loyalty(o, flags)
+
+
+def q_dq_schema_drift_csv(m: Models) -> DataFrame:
+    """Drift of CSV files whose header differs from the declared columns:
+    products without ``vendor`` and with an undeclared ``maker``."""
+    spark = m.raw["products"].sparkSession
+    root = os.path.join(lake_root(spark), f"drift-{uuid.uuid4().hex[:8]}")
+    found = {}
+    for name, df in m.raw.items():
+        df = df.withColumnRenamed("vendor", "maker") if name == "products" else df
+        write_csv(df, os.path.join(root, name))
+        found[f"raw.{name}"] = read_found(spark, os.path.join(root, name))
+    return Q.dq_schema_drift(found)
+
+
+def q_mart_channel_performance_default(m: Models) -> DataFrame:
+    """M9 with the library's default loyalty threshold."""
+    return Models(m.raw).mart_channel_performance
 
 
 def _check_tables(m: Models) -> dict[str, DataFrame]:
@@ -136,7 +162,7 @@ def _raw_query(name: str) -> ModelQuery:
 
 
 # Queries that write files while being built (timed by the full build in the bench).
-WRITING = ("src_events_csv", "stream_ingest_events", "sink_roundtrip")
+WRITING = ("src_events_csv", "stream_ingest_events", "sink_roundtrip", "dq_schema_drift_csv")
 
 OVER_MODELS: dict[str, ModelQuery] = {
     "src_events": _raw_query("events"),
@@ -156,11 +182,13 @@ OVER_MODELS: dict[str, ModelQuery] = {
     "op_days_to_second_purchase": lambda m: I.second_purchase(m.stg_events),
     **{n: _model_query(n) for n in INTERMEDIATE},
     **{n: _model_query(n) for n in MARTS},
+    "mart_channel_performance_default": q_mart_channel_performance_default,
     "dq_not_null": lambda m: Q.dq_not_null(_check_tables(m)),
     "dq_unique": lambda m: Q.dq_unique(_check_tables(m)),
     "dq_accepted_values": lambda m: Q.dq_accepted_values(_check_tables(m)),
     "dq_row_counts": lambda m: Q.dq_row_counts(_check_tables(m)),
     "dq_schema_drift": lambda m: Q.dq_schema_drift(_check_tables(m)),
+    "dq_schema_drift_csv": q_dq_schema_drift_csv,
     "dq_orphans": lambda m: Q.dq_orphans(m.stg_events, m.stg_products, m.stg_customers),
     "sink_roundtrip": q_sink_roundtrip,
     **{n: _report_query(n) for n in REPORTS},

@@ -11,6 +11,16 @@ from tidemark.schemas import RAW_SCHEMAS
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
 
+def read_found(spark: SparkSession, path: str, fmt: str = "csv",
+               options: dict | None = None) -> DataFrame:
+    """Scan a raw table with the columns it has, undeclared ones too (CSV: all
+    strings, by the names in the header)."""
+    if fmt == "table":
+        return spark.table(path)
+    csv = CSV_FORMAT if fmt == "csv" else {}
+    return spark.read.format(fmt).options(**csv, **(options or {})).load(path)
+
+
 def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "csv",
              options: dict | None = None) -> DataFrame:
     """Scan one raw table with its declared all-string schema.
@@ -26,7 +36,7 @@ def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "csv",
     schema = RAW_SCHEMAS[name]
     if fmt == "csv":
         reader = spark.read.options(**CSV_FORMAT, **(options or {}))
-        found = reader.csv(path).columns
+        found = read_found(spark, path, "csv", options).columns
         if sorted(found) != sorted(schema.names):
             raise ValueError(
                 f"{name}: header has no {sorted(set(schema.names) - set(found))}, "
@@ -34,10 +44,7 @@ def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "csv",
         in_file_order = T.StructType([schema[c] for c in found])
         return (reader.option("mode", "FAILFAST").option("enforceSchema", False)
                 .schema(in_file_order).csv(path).select(*schema.names))
-    if fmt == "table":
-        df = spark.table(path)
-    else:
-        df = spark.read.format(fmt).options(**(options or {})).load(path)
+    df = read_found(spark, path, fmt, options)
     return df.select(*[df[f.name].cast("string").alias(f.name) for f in schema.fields])
 
 
