@@ -16,8 +16,8 @@ neighbours in some item (hashes; no run with a window can be lost), so the
 per-word loop sees little of a clean text. The loop itself compares words.
 
 The automaton is built from at most about ``SHARD_CHARS`` of items, so what is
-sent to the tasks is bounded: a larger benchmark is cut into shards by a hash of
-the item, each shard is one pass over the documents, and the passes' findings
+sent to the tasks is bounded: the distinct items of a larger benchmark are cut into
+shards by a hash of the item, each shard is one pass over the documents, and the passes' findings
 are joined row by row as the documents flow through, with the rows written in
 between. Documents are never shuffled.
 
@@ -221,14 +221,14 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 # --------------------------------------------------------------------------- Spark
 
 def automata(benchmark: DataFrame, window: int = WINDOW, shard_chars: int = SHARD_CHARS):
-    """The automaton of each shard of the items; one shard's items are on the
-    driver at a time."""
-    shards = max(1, -(-text_bytes(benchmark) // shard_chars))
+    """The automaton of each shard of the distinct items; one shard's items are
+    on the driver at a time."""
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                            "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-                            .alias("shard"))
+                            F.coalesce("text", F.lit("")).alias("text")).distinct()
+    shards = max(1, -(-text_bytes(rows) // shard_chars))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards)))
     for shard in range(shards):
-        items = sorted((r["item"], r["text"] or "")
+        items = sorted((r["item"], r["text"])
                        for r in rows.where(F.col("shard") == shard).collect())
         yield Automaton([(i, item_words(text)) for i, text in items], window)
 
