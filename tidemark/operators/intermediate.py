@@ -37,6 +37,7 @@ CHANNEL_COLUMNS = (
 NO_DISCOUNT_LABEL = "No Discount"
 # ---------------------------------------------------------------------------
 
+RANKS_PER_ROW = 4096  # of one customer and date that one row writes out
 MONEY_SUM = "decimal(22,4)"
 AVG4 = "decimal(16,4)"
 
@@ -68,19 +69,49 @@ def all_purchase_ranks(events: DataFrame) -> DataFrame:
     (customer_id, event_date, purchase_rank); orders without a customer are
     ranked as one group.
 
-    Orders are counted per (customer, date) first, with map-side partials; the
-    window runs over these counts, and each date's consecutive ranks are then
-    written out, so a customer's orders never meet in one task.
+    Orders are counted per (customer, date) first, with map-side partials. The
+    counts are sorted by range partitions and checkpointed, as in
+    ``functions.ranking``; a window adds them up inside each partition, and the
+    customer that a partition begins with gets what earlier partitions hold of
+    it. Each date's consecutive ranks are then written out in dealt pieces of
+    ``RANKS_PER_ROW``, so a customer's orders never meet in one task.
     """
     dates = orders(events).groupBy("customer_id", "event_date").agg(
         F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy("customer_id").orderBy(F.asc_nulls_last("event_date"))
+    ordered = (dates.orderBy(F.asc_nulls_last("customer_id"), F.asc_nulls_last("event_date"))
+               .withColumn("_part", F.spark_partition_id())
+               .checkpoint(eager=True))
+    before = (Window.partitionBy("_part", "customer_id").orderBy(F.asc_nulls_last("event_date"))
               .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = _orders_in_earlier_parts(ordered)
     earlier = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    return (dates.withColumn("_before", earlier)
+    same = (F.col("_part") == F.col("_at")) & F.col("customer_id").eqNullSafe(F.col("_customer"))
+    counted = (ordered.withColumn("_before", earlier)
+               .join(F.broadcast(offsets), same, "left")
+               .withColumn("_first", F.col("_before") + F.coalesce("_offset", F.lit(0)) + 1)
+               .withColumn("_last", F.col("_first") + F.col("_n") - 1))
+    pieces = counted.select("customer_id", "event_date", "_last", F.explode(
+        F.sequence("_first", "_last", F.lit(RANKS_PER_ROW).cast("bigint"))).alias("_from"))
+    return (pieces.repartition("customer_id", "event_date", "_from")
             .select("customer_id", "event_date",
-                    F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n")))
-                    .alias("purchase_rank")))
+                    F.explode(F.sequence("_from", F.least(
+                        "_last", F.col("_from") + (RANKS_PER_ROW - 1)))).alias("purchase_rank")))
+
+
+def _orders_in_earlier_parts(ordered: DataFrame) -> DataFrame:
+    """(_at, _customer, _offset) for each partition's first customer: its orders
+    in earlier partitions. At most a few rows per partition."""
+    key = F.struct(F.col("customer_id").isNull(), F.col("customer_id"))
+    firsts = ordered.groupBy("_part").agg(F.min(key).alias("_key"))
+    firsts = firsts.select(F.col("_key.customer_id").alias("_customer")).distinct()
+    per_part = (ordered.join(F.broadcast(firsts),
+                             F.col("customer_id").eqNullSafe(F.col("_customer")))
+                .groupBy("_customer", F.col("_part").alias("_at"))
+                .agg(F.sum("_n").alias("_part_rows")))
+    parts = (Window.partitionBy("_customer").orderBy("_at")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    return per_part.select("_at", "_customer", F.coalesce(
+        F.sum("_part_rows").over(parts), F.lit(0)).alias("_offset"))
 
 
 def second_purchase(events: DataFrame) -> DataFrame:
