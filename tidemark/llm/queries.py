@@ -8,8 +8,9 @@ import string
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (bpe, decontaminate, exact_dedup, langid, quality, secret_scan, simhash,
-                          substring_dedup, token_output, toxicity)
+from tidemark.llm import (bpe, centroids, decontaminate, exact_dedup, hard_negatives, langid,
+                          quality, secret_scan, simhash, substring_dedup, token_output, toxicity,
+                          url_filter)
 from tidemark.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -60,10 +61,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_docs(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.page_verdicts(read_table(spark, sf_dir, "pages"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_digests(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_substring_dedup, op3_exact_dedup, op4_quality_classifier,
     op5_decontamination, op6_simhash_near_dedup, op7_language_id, op8_token_output,
-    op9_secret_scan, op10_bpe)}
+    op9_secret_scan, op10_bpe, op11_url_filter, op12_hard_negatives, op13_centroids)}
 
 
 _LOWER = (f"translate(coalesce(text, ''), '{string.ascii_uppercase}', "
@@ -137,4 +150,7 @@ ORACLE_SQL = {
     "op3_exact_dedup": _OP3,
     "op5_decontamination": _OP5,
     "op9_secret_scan": secret_scan.ORACLE_SQL,
+    "op11_url_filter": url_filter.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op13_centroids": centroids.ORACLE_SQL,
 }
