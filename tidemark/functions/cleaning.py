@@ -49,13 +49,19 @@ def blank_to_null_sql(c: str) -> str:
     return f"nullif(trim({_ident(c)}), '')"
 
 
-def typed_sql(c: str, data_type: str) -> str:
-    """Strict cast of raw text: blank becomes null, anything unparsable fails.
+def typed_sql(c: str, data_type: str, lenient: bool = False) -> str:
+    """Cast of raw text: blank becomes null, anything unparsable fails, or with
+    ``lenient`` becomes null.
 
     ANSI casts raise on bad input, like the warehouse's cast does; blank cells
     are null first because non-CSV sources can carry ''.
     """
-    return f"CAST({blank_to_null_sql(c)} AS {data_type})"
+    return f"{'TRY_CAST' if lenient else 'CAST'}({blank_to_null_sql(c)} AS {data_type})"
+
+
+def unparsable_sql(c: str, data_type: str) -> str:
+    """Whether a lenient cast would lose a cell's text."""
+    return f"({blank_to_null_sql(c)} IS NOT NULL AND {typed_sql(c, data_type, True)} IS NULL)"
 
 
 def parse_flag_sql(c: str) -> str:

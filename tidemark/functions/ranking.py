@@ -1,61 +1,98 @@
-"""Distributed global rank (SQL ``rank()`` over the whole table) without an
-unpartitioned window.
-
-An unpartitioned ``Window.orderBy`` moves every row into one task. Here the
-rank is computed as "1 + number of rows ordered before this value":
-
-1. count rows per distinct value (partial aggregation);
-2. sort the distinct values (range partitioning puts equal values in one
-   partition and partitions in order) and checkpoint, which freezes the
-   partition each value landed in;
-3. total the rows per partition (one row per partition) and turn the totals
-   into offsets (a window over one row per partition: bounded by the
-   partition count, not by the data, so broadcasting it is safe);
-4. inside each partition, a running sum of the preceding values' rows.
-
-rank = offset of the partition + rows before the value in its partition + 1,
-joined back on the value (null-safe, nulls ordered last as in ``rank()``).
+"""Distributed global ranks and row positions without an unpartitioned window.
+
+An unpartitioned ``Window.orderBy`` moves every row into one task. Here a rank
+(SQL ``rank()`` over the whole table) is "1 + number of rows ordered before this
+value", and all ranks of a table come from one sort:
+
+1. the measures are stacked to (measure, value, rows) and counted per distinct
+   value, with partial aggregation, so a value on very many rows is one row;
+2. the values are sorted (range partitioning keeps equal ones together and
+   partitions in order) and checkpointed, which freezes the partition that each
+   landed in;
+3. rows are totalled per partition and measure, and a window over those turns
+   them into offsets (bounded by partitions times measures, not by the data, so
+   broadcasting them is safe);
+4. inside each partition, a running sum gives the preceding values' rows.
+
+rank = offset + rows before the value in its partition + 1, joined back on the
+value (null-safe, nulls ordered last as in ``rank()``). Row positions use the
+same offsets, with a row number inside each partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order(col: str, descending: bool):
+def _order(col, descending: bool) -> Column:
     return F.desc_nulls_last(col) if descending else F.asc_nulls_last(col)
 
 
-def value_ranks(df: DataFrame, col: str, descending: bool = True,
-                rank_col: str = "rank") -> DataFrame:
-    """One row per distinct value of ``col`` with its SQL ``rank()``."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-    ordered = (counts.orderBy(_order(col, descending))
-               .withColumn("_part", F.spark_partition_id())
-               .checkpoint(eager=True))
-    per_part = ordered.groupBy("_part").agg(F.sum("_rows").alias("_part_rows"))
-    before_parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "_part", F.coalesce(F.sum("_part_rows").over(before_parts), F.lit(0)).alias("_offset"))
-    before_values = (Window.partitionBy("_part").orderBy(_order(col, descending))
-                     .rowsBetween(Window.unboundedPreceding, -1))
-    return (ordered.join(F.broadcast(offsets), "_part")
-            .select(col, (F.col("_offset")
-                          + F.coalesce(F.sum("_rows").over(before_values), F.lit(0))
-                          + F.lit(1)).cast("bigint").alias(rank_col)))
+def _offsets(ordered: DataFrame, rows: Column, by: list[str]) -> DataFrame:
+    """Rows in earlier partitions, per partition (and ``by``)."""
+    per_part = ordered.groupBy("_part", *by).agg(rows.alias("_part_rows"))
+    before = (Window.partitionBy(*by) if by else Window).orderBy("_part") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    return per_part.select(*by, "_part", F.coalesce(
+        F.sum("_part_rows").over(before), F.lit(0)).alias("_offset"))
 
 
-def with_global_rank(df: DataFrame, col: str, rank_col: str,
-                     descending: bool = True) -> DataFrame:
-    """``df`` plus ``rank_col`` = rank() over (order by col [desc] nulls last)."""
-    ranks = value_ranks(df, col, descending, rank_col).withColumnRenamed(col, "_value")
-    return (df.join(ranks, df[col].eqNullSafe(ranks["_value"]), "left").drop("_value"))
+def _frozen(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` in order, with the partition each row landed in, checkpointed."""
+    return df.orderBy(*order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def value_ranks(df: DataFrame, columns: list[str], descending: bool = True) -> DataFrame:
+    """(_measure, one column per measure, _rank): one row per distinct value of
+    each measure, in that measure's column, with its SQL ``rank()``."""
+    names = [f"_v{i}" for i in range(len(columns))]
+    types = dict(df.dtypes)
+    counts = reduce(DataFrame.unionByName, [
+        df.groupBy(F.col(c).alias(f"_v{i}")).agg(F.count(F.lit(1)).alias("_rows")).select(
+            F.lit(i).alias("_measure"), "_rows",
+            *[F.col(n) if n == f"_v{i}" else F.lit(None).cast(types[columns[j]]).alias(n)
+              for j, n in enumerate(names)])
+        for i, c in enumerate(columns)])
+    order = [_order(n, descending) for n in names]
+    ordered = _frozen(counts, F.asc("_measure"), *order)
+    offsets = _offsets(ordered, F.sum("_rows"), ["_measure"])
+    before = (Window.partitionBy("_part", "_measure").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (ordered.join(F.broadcast(offsets), ["_measure", "_part"])
+            .select("_measure", *names,
+                    (F.col("_offset") + F.coalesce(F.sum("_rows").over(before), F.lit(0))
+                     + F.lit(1)).cast("bigint").alias("_rank")))
 
 
 def with_global_ranks(df: DataFrame, specs: list[tuple[str, str]],
                       descending: bool = True) -> DataFrame:
-    """``df`` plus one ``rank()`` column per (column, rank column) in ``specs``."""
-    for col, rank_col in specs:
-        df = with_global_rank(df, col, rank_col, descending)
+    """``df`` plus one ``rank()`` column per (column, rank column) in ``specs``,
+    nulls last, all from one sort. ``df`` is read once per measure and once
+    more for the result: give a stored or checkpointed one."""
+    ranks = value_ranks(df, [c for c, _ in specs], descending)
+    for i, (column, name) in enumerate(specs):
+        own = ranks.where(F.col("_measure") == i).select(F.col(f"_v{i}").alias("_value"),
+                                                         F.col("_rank").alias(name))
+        df = df.join(own, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
     return df
+
+
+def with_global_rank(df: DataFrame, col: str, rank_col: str,
+                     descending: bool = True) -> DataFrame:
+    """``df`` plus ``rank_col`` = rank() over (order by col [desc] nulls last)."""
+    return with_global_ranks(df, [(col, rank_col)], descending)
+
+
+def with_positions(df: DataFrame, order: list[Column], position: str = "position") -> DataFrame:
+    """``df`` plus the place of each row, from 1, in the given order; rows that it
+    leaves equal come in the order of all columns. The rows of the result are
+    in order, and stay findable by position however they are stored."""
+    ties = [F.asc_nulls_last(c) for c in df.columns]
+    ordered = _frozen(df, *order, *ties)
+    offsets = _offsets(ordered, F.count(F.lit(1)), [])
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order, *ties))
+    return (ordered.join(F.broadcast(offsets), "_part")
+            .select(*df.columns, (F.col("_offset") + place).cast("bigint").alias(position)))

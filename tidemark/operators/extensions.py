@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import PERCENT
-from tidemark.operators.intermediate import LOYALTY_THRESHOLD, loyalty_rollup, order_partials
+from tidemark.operators.intermediate import (
+    LOYALTY_THRESHOLD, channel_modes, customer_partials, loyalty_rollup, order_partials,
+)
 from tidemark.operators.marts import MONTH_KEYS
 from tidemark.operators.staging import orders
 
 
 def ext_primary_channel_mode(events: DataFrame) -> DataFrame:
     """The customer's most frequent channel (lowest name on a tie) next to
-    the model's alphabetical-max 'primary_channel'. ``mode`` keeps a per-group
-    map of channel counts, merged map-side, so a hot customer stays cheap."""
-    return orders(events).groupBy("customer_id").agg(
-        F.max("channel").alias("primary_channel"),
-        F.mode("channel", deterministic=True).alias("most_frequent_channel"))
+    the model's alphabetical-max 'primary_channel', from the customer partials."""
+    return channel_modes(customer_partials(events))
 
 
 def ext_loyal_revenue_share(events: DataFrame, threshold: int = LOYALTY_THRESHOLD) -> DataFrame:

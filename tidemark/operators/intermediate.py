@@ -130,25 +130,74 @@ def second_purchase(events: DataFrame) -> DataFrame:
                     .alias("days_to_second_purchase")))
 
 
-def int_customer_orders(events: DataFrame) -> DataFrame:
-    """One row per customer (null customers form one group) with order count,
-    revenue, average order value, first/last purchase, lifespan in days,
-    refund count, alphabetically last channel and days to second purchase."""
-    o = orders(events)
-    first, last = F.min("event_date"), F.max("event_date")
-    summary = o.groupBy("customer_id").agg(
-        F.count("event_id").alias("total_orders"),
-        F.sum("net_revenue_usd").cast(MONEY_SUM).alias("total_revenue_usd"),
-        avg4("net_revenue_usd").alias("avg_order_value_usd"),
+PARTIAL_KEYS = ("customer_id", "channel", "order_day")
+
+
+def customer_partials(events: DataFrame) -> DataFrame:
+    """Orders added up per customer, channel and day: the mergeable state from
+    which every customer model is made.
+
+    Partials of disjoint sets of events can be appended to each other or merged
+    (``merged_partials``) with the same result, and a customer has at most one row
+    per channel and day, however many orders that holds. All buffers are of
+    fixed width, so this is a hash aggregation with map-side partials: no order
+    is sorted or shuffled as a row.
+    """
+    return (orders(events)
+            .groupBy("customer_id", "channel", F.col("event_date").cast("date").alias("order_day"))
+            .agg(F.count("event_id").alias("n_orders"), F.count(F.lit(1)).alias("n_rows"),
+                 F.sum("net_revenue_usd").cast(MONEY_SUM).alias("rev_sum"),
+                 F.count("net_revenue_usd").alias("rev_n"),
+                 F.count_if(F.col("is_refunded")).alias("refunds"),
+                 F.min("event_date").alias("first_date"), F.max("event_date").alias("last_date")))
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """One row per customer, channel and day of appended partials."""
+    return partials.groupBy(*PARTIAL_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("n_orders", "n_rows")],
+        F.sum("rev_sum").cast(MONEY_SUM).alias("rev_sum"),
+        *[F.sum(c).alias(c) for c in ("rev_n", "refunds")],
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+
+
+def customer_summary(partials: DataFrame) -> DataFrame:
+    """``int_customer_orders`` from partials. The second purchase falls on the
+    first day by which two orders were placed, undated ones last."""
+    by_day = Window.partitionBy("customer_id").orderBy(F.asc_nulls_last("order_day"))
+    rows = partials.withColumn("_placed", F.sum("n_rows").over(by_day))
+    first, last = F.min("first_date"), F.max("last_date")
+    second_day = F.min(F.when(F.col("_placed") >= 2, F.col("order_day")))
+    return rows.groupBy("customer_id").agg(
+        F.sum("n_orders").alias("total_orders"),
+        F.sum("rev_sum").cast(MONEY_SUM).alias("total_revenue_usd"),
+        exact_avg(F.sum("rev_sum").cast(MONEY_SUM), F.sum("rev_n"), 4, AVG4)
+        .alias("avg_order_value_usd"),
         first.alias("first_purchase_date"),
         last.alias("last_purchase_date"),
         F.datediff(last.cast("date"), first.cast("date")).alias("customer_lifespan_days"),
-        F.sum(F.when(F.col("is_refunded"), F.lit(1)).otherwise(F.lit(0))).cast("bigint")
-        .alias("total_refunds"),
+        F.sum("refunds").cast("bigint").alias("total_refunds"),
         F.max("channel").alias("primary_channel"),
-    )
-    second = second_purchase(events).select("customer_id", "days_to_second_purchase")
-    return summary.join(second, "customer_id", "left")
+        F.when(F.col("customer_id").isNotNull(), F.datediff(second_day, F.min("order_day")))
+        .alias("days_to_second_purchase"))
+
+
+def channel_modes(partials: DataFrame) -> DataFrame:
+    """Per customer the alphabetically last channel and the one with most orders
+    (the lowest name on a tie), over one row per customer and channel."""
+    per_channel = partials.groupBy("customer_id", "channel").agg(F.sum("n_rows").alias("_n"))
+    best = F.min(F.when(F.col("channel").isNotNull(), F.struct(-F.col("_n"), F.col("channel"))))
+    return per_channel.groupBy("customer_id").agg(
+        F.max("channel").alias("primary_channel"),
+        best.getField("channel").alias("most_frequent_channel"))
+
+
+def int_customer_orders(events: DataFrame) -> DataFrame:
+    """One row per customer (null customers form one group) with order count,
+    revenue, average order value, first/last purchase, lifespan in days,
+    refund count, alphabetically last channel and days to second purchase,
+    from one scan of the events."""
+    return customer_summary(customer_partials(events))
 
 
 # --------------------------------------------------------------------------- M5

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import MONEY, MONEY_TOTAL, RATE6, exact_avg, pct, rounded_ratio
+from tidemark.functions.ranking import with_positions
 from tidemark.operators.intermediate import (
     LOYALTY_THRESHOLD, MONEY_SUM, loyalty_rollup, order_partials,
 )
@@ -212,15 +213,24 @@ DISPLAY_ORDER = {
 }
 
 
+def _report_keys(name: str) -> list:
+    return [F.desc_nulls_first(c) if desc else F.asc_nulls_last(c)
+            for c, desc in DISPLAY_ORDER.get(name, [])]
+
+
 def display_order(name: str, df: DataFrame) -> DataFrame:
     """The model's report order, for presentation (adds a global sort)."""
-    keys = DISPLAY_ORDER.get(name)
-    if not keys:
-        return df
-    return df.orderBy(*[F.desc_nulls_first(c) if desc else F.asc_nulls_last(c)
-                        for c, desc in keys])
+    keys = _report_keys(name)
+    return df.orderBy(*keys) if keys else df
+
+
+def report_order(name: str, df: DataFrame) -> DataFrame:
+    """The model in report order with each row's place in ``position``, so that
+    the order survives being stored; rows with equal keys come in the order of
+    all columns."""
+    return with_positions(df, _report_keys(name))
 
 
 __all__ = ["mart_sales_by_month", "mart_channel_performance", "mart_loyal_customers",
            "mart_discount_analysis", "mart_asp_by_country", "mart_addon_attach_rate",
-           "mart_billing_cycle_revenue", "display_order"]
+           "mart_billing_cycle_revenue", "display_order", "report_order"]

@@ -1,12 +1,16 @@
 """Data checks: not-null, unique, accepted values, row counts, schema drift and
 orphan foreign keys. Each returns a DataFrame of findings; zero failures =
-pass. All checks on one table share one aggregate pass."""
+pass. All checks on one table share one aggregate pass.
+
+``violations`` lists what fails, row by row; ``audited`` gathers the counts while
+a table is being written, so that a build can be checked before it is published.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.schemas import RAW_COLUMNS
@@ -157,3 +161,81 @@ def run_checks(raw: dict[str, DataFrame], stg: dict[str, DataFrame]) -> DataFram
     one grouping per uniqueness test."""
     tables = {f"raw.{k}": v for k, v in raw.items()} | stg
     return _union([*_single_pass_checks(tables), dq_unique(tables)])
+
+
+# --------------------------------------------------------------------------- audit of staged tables
+
+# Business key of each checked table, by which its rows are named.
+ROW_KEYS = {"raw.products": "product_id", "raw.customers": "customer_id",
+            "stg_events": "event_id", "stg_products": "product_id",
+            "stg_customers": "customer_id"}
+VIOLATION_COLUMNS = "check_name string, model string, column_name string, row_key string, " \
+                    "bad_value string, n_rows bigint"
+
+
+def _row_rules(model: str) -> list[tuple[str, str, str]]:
+    """(check, column, SQL condition that a failing row meets) of a table."""
+    rules = [("not_null", c, f"`{c}` IS NULL") for c in NOT_NULL_CHECKS.get(model, [])]
+    for (m, c), accepted in ACCEPTED_VALUES.items():
+        if m == model:
+            values = ", ".join(f"'{v}'" for v in accepted)
+            rules.append(("accepted_values", c, f"`{c}` IS NOT NULL AND `{c}` NOT IN ({values})"))
+    return rules
+
+
+def row_violations(model: str, df: DataFrame) -> DataFrame:
+    """Rows that fail a not-null or accepted-values check, counted by row key
+    and offending value: one scan, and only failing rows are grouped."""
+    key = ROW_KEYS[model]
+    failed = ", ".join(f"IF({cond}, named_struct('check_name', '{check}', 'column_name', '{c}', "
+                       f"'bad_value', CAST(`{c}` AS string)), NULL)"
+                       for check, c, cond in _row_rules(model))
+    rows = df.selectExpr(f"CAST(`{key}` AS string) AS row_key",
+                         f"inline(filter(array({failed}), x -> x IS NOT NULL))")
+    return rows.groupBy("check_name", F.lit(model).alias("model"), "column_name", "row_key",
+                        "bad_value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def key_violations(model: str, df: DataFrame) -> DataFrame:
+    """Keys on more than one row with their number of rows. Rows are counted per
+    key with map-side partials, so a key on very many rows makes no hot task."""
+    frames = []
+    for c in UNIQUE_CHECKS.get(model, []):
+        keys = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n_rows"))
+        frames.append(keys.where("n_rows > 1").select(
+            F.lit("unique").alias("check_name"), F.lit(model).alias("model"),
+            F.lit(c).alias("column_name"), F.col(c).cast("string").alias("row_key"),
+            F.col(c).cast("string").alias("bad_value"), "n_rows"))
+    return _union(frames)
+
+
+def violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """What the data checks find in the given tables: one row per check, table,
+    column, row key and offending value, with the number of such rows."""
+    frames = [row_violations(m, df) for m, df in tables.items() if _row_rules(m)]
+    frames += [key_violations(m, df) for m, df in tables.items() if m in UNIQUE_CHECKS]
+    return _union(frames)
+
+
+def audited(model: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with an observation of its rows and of the rows that fail each
+    not-null and accepted-values check, filled when ``df`` has been written."""
+    seen = Observation()
+    counts = [F.expr(f"count_if({cond})").alias(f"{check}:{c}")
+              for check, c, cond in _row_rules(model)]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def check_results(found: DataFrame, models: list[str]) -> DataFrame:
+    """The pass/fail checks of the given tables from their violations, in the
+    form of ``run_checks``: null rows, repeated keys, distinct unaccepted values."""
+    wanted = [(check, m, c) for m in models for check, c, _ in _row_rules(m)]
+    wanted += [("unique", m, c) for m in models for c in UNIQUE_CHECKS.get(m, [])]
+    checks = found.sparkSession.createDataFrame(
+        wanted, "check_name string, model string, column_name string")
+    failures = found.groupBy("check_name", "model", "column_name").agg(
+        F.sum("n_rows").alias("_rows"), F.count_distinct("bad_value").alias("_values"))
+    counted = F.when(F.col("check_name") == "not_null", F.col("_rows")).otherwise(F.col("_values"))
+    return (checks.join(failures, ["check_name", "model", "column_name"], "left")
+            .select("check_name", "model", "column_name",
+                    F.coalesce(counted, F.lit(0)).cast("bigint").alias("failures")))

@@ -3,16 +3,16 @@
 ``Models`` wires every model lazily over one set of staging frames, so a
 caller can pull any single model and Catalyst sees (and prunes) the whole
 chain; stored tables take the place of the models of their names.
-``materialize`` runs the production build: staging and the intermediate models
-are written once to the silver layer (cutting lineage, and sharing the typed
-events and the customer summary), the marts are computed from silver and
-written to gold.
+``materialize`` runs the production build: staging is written once to the silver
+layer (cutting lineage, and sharing the typed events), audited, and the
+intermediate models and the marts are computed from it; everything is published
+as one release, or nothing is.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
@@ -22,7 +22,8 @@ from tidemark.operators import marts as M
 from tidemark.operators import quality as Q
 from tidemark.operators import reports as R
 from tidemark.operators import staging as S
-from tidemark.sources.sinks import Layout
+from tidemark.schemas import RAW_SCHEMAS
+from tidemark.sources.sinks import Build, Layout, Release
 
 STAGING = ("stg_events", "stg_products", "stg_customers")
 INTERMEDIATE = ("int_customer_orders", "int_loyal_customers", "int_product_performance",
@@ -38,24 +39,25 @@ class Models:
 
     def __init__(self, raw: dict[str, DataFrame] | None = None,
                  threshold: int = I.LOYALTY_THRESHOLD,
-                 stored: dict[str, DataFrame] | None = None):
+                 stored: dict[str, DataFrame] | None = None, lenient: bool = False):
         self.raw = raw or {}
         self.threshold = threshold
+        self.lenient = lenient
         # a cached property that has its value already is not computed
         self.__dict__.update(stored or {})
 
     # staging
     @cached_property
     def stg_events(self) -> DataFrame:
-        return S.stg_events(self.raw["events"])
+        return S.stg_events(self.raw["events"], self.lenient)
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return S.stg_products(self.raw["products"])
+        return S.stg_products(self.raw["products"], self.lenient)
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return S.stg_customers(self.raw["customers"])
+        return S.stg_customers(self.raw["customers"], self.lenient)
 
     # intermediate
     @cached_property
@@ -152,63 +154,134 @@ def build(raw: dict[str, DataFrame], threshold: int = I.LOYALTY_THRESHOLD,
     return out
 
 
-def write_concurrently(layout: Layout, frames: dict[str, DataFrame], layer: str,
+def write_concurrently(build: Build, frames: dict[str, DataFrame], layer: str,
                        workers: int = 4) -> dict[str, DataFrame]:
-    """Write independent tables as concurrent Spark jobs.
+    """Write independent tables of a build as concurrent Spark jobs.
 
     The marts' late stages are small (a few tasks after aggregation), so
     submitting the jobs together keeps the executors busy instead of running
-    one nearly idle job after another. Each write is its own atomic job.
+    one nearly idle job after another.
     """
     if workers <= 1 or len(frames) <= 1:
-        return {n: layout.write(df, layer, n) for n, df in frames.items()}
+        return {n: build.write(df, layer, n) for n, df in frames.items()}
     with ThreadPoolExecutor(max_workers=min(workers, len(frames))) as pool:
-        futures = {n: pool.submit(layout.write, df, layer, n) for n, df in frames.items()}
+        futures = {n: pool.submit(build.write, df, layer, n) for n, df in frames.items()}
         return {n: f.result() for n, f in futures.items()}
 
 
+AUDIT = ("silver.quarantine", "silver.data_checks", "silver.rejects")
+
+
+class ChecksFailed(ValueError):
+    """Blocking data checks failed: only the audit tables were published."""
+
+
+def stage(build: Build, m: Models, workers: int = 4) -> tuple[dict[str, DataFrame], dict]:
+    """Write the staged tables and return them with what was observed on the way:
+    per table its rows and the failing rows of each not-null and accepted-values check."""
+    watched = {n: Q.audited(n, df) for n, df in m.staged().items()}
+    tables = write_concurrently(build, {n: df for n, (df, _) in watched.items()}, "silver", workers)
+    return tables, {n: seen.get for n, (_, seen) in watched.items()}
+
+
+def staging_views(layout: Layout) -> dict[str, DataFrame]:
+    """The staging models as persistent catalog views over the bronze tables
+    (registered by name), in place of written tables."""
+    db = layout.database("silver")
+    for name in RAW_SCHEMAS:
+        source = layout.register("bronze", name)
+        layout.spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`stg_{name}` AS "
+                         f"{S.staging_sql(name, source)}")
+    return {n: layout.spark.table(f"`{db}`.`{n}`") for n in STAGING}
+
+
+def audit(build: Build, raw: dict[str, DataFrame], staged: dict[str, DataFrame],
+          seen: dict[str, dict] | None = None) -> DataFrame:
+    """Write what violates the checks as ``silver.quarantine`` and the 14 check
+    results as ``silver.data_checks``, and return the results.
+
+    Row checks scan only the tables where the observation saw a failing row (all
+    where nothing was observed); keys are counted in one grouping per table.
+    """
+    tables = {m: df for m, df in {**{f"raw.{k}": v for k, v in raw.items()}, **staged}.items()
+              if m in Q.ROW_KEYS}
+    found = [Q.key_violations(m, df) for m, df in tables.items()]
+    for m, df in tables.items():
+        counts = (seen or {}).get(m)
+        if counts is None or any(n for name, n in counts.items() if name != "rows"):
+            found.append(Q.row_violations(m, df))
+    quarantine = build.write(reduce(DataFrame.unionByName, found), "silver", "quarantine")
+    return build.write(Q.check_results(quarantine, list(tables)), "silver", "data_checks")
+
+
 def materialize(raw: dict[str, DataFrame], layout: Layout,
                 threshold: int = I.LOYALTY_THRESHOLD,
-                workers: int = 4, register: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Production build: staging -> silver Parquet, data checks, intermediate
-    models -> silver, marts -> gold.
-
-    Returns the written marts and the check results. Checks are reported, not
-    blocking, except duplicate keys in silver, where the build stops: the marts
-    join at customer/product grain and would fan rows out, and a repeated
-    event_id would count its revenue twice. With ``register`` all models are
-    also catalog tables, ``silver.<model>`` and ``gold.<mart>``. The threshold is
-    kept with the build.
+                workers: int = 4, register: bool = False, lenient: bool = False,
+                staging: str = "table",
+                blocking: tuple[str, ...] = ("unique",)) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Production build: write, audit, publish.
+
+    Staging is written to new versions of the silver tables, the data checks run
+    over those, and only then the intermediate models and the marts are built
+    and all of them published as one release; readers keep the release before
+    until then. A failing check of a staged table named in ``blocking`` (by
+    default repeated keys: the marts join at customer and product grain, and a
+    repeated event_id would count its revenue twice) stops the build with
+    ``ChecksFailed``: then only the check results and the violating rows
+    (``silver.quarantine``) are published. Other failures are reported.
+
+    With ``lenient`` text that cannot be cast becomes null and is listed in
+    ``silver.rejects``; else it fails the build. With ``staging="view"`` the staged
+    tables are catalog views over the bronze tables, which must have been
+    loaded. With ``register`` all models are also catalog tables, by the
+    layers' schema names. The threshold is kept with the release.
+
+    Returns the written marts and the check results.
     """
-    silver = write_concurrently(layout, Models(raw, threshold).staged(), "silver", workers)
-    m = Models(raw, threshold, stored=silver)
-    checks = layout.write(m.checks(), "silver", "data_checks")
+    build = layout.begin()
+    if staging == "view":
+        if lenient:
+            raise ValueError("views are strict; build tables to be lenient")
+        silver, seen = staging_views(layout), None
+    else:
+        silver, seen = stage(build, Models(raw, threshold, lenient=lenient), workers)
+    if lenient:
+        build.write(S.rejects(raw), "silver", "rejects")
+    checks = audit(build, raw, silver, seen)
     # at most one row per check (14 rows), safe to bring to the driver
-    blocking = (checks.where("check_name = 'unique' AND failures > 0 AND "
-                             "model IN ('stg_events', 'stg_products', 'stg_customers')").collect())
-    if blocking:
-        raise ValueError(f"duplicate dimension keys or event ids: {[r.asDict() for r in blocking]}")
-    layout.write(layout.spark.range(1).selectExpr(f"{int(threshold)} AS threshold"), "silver",
-                 "build_settings")
+    failed = [r.asDict() for r in checks.where("failures > 0").collect()
+              if r["check_name"] in blocking and r["model"] in STAGING]
+    if failed:
+        build.publish(only=AUDIT)
+        raise ChecksFailed(f"blocking checks, e.g. duplicate dimension keys or event ids: {failed}")
     # the customer summary first: the loyal customers are made from it
-    summary = layout.write(m.int_customer_orders, "silver", "int_customer_orders")
-    silver["int_customer_orders"] = summary
+    m = Models(raw, threshold, stored=silver)
+    silver = silver | {"int_customer_orders": build.write(m.int_customer_orders, "silver",
+                                                          "int_customer_orders")}
     m = Models(raw, threshold, stored=silver)
     rest = {n: m.model(n) for n in INTERMEDIATE if n not in silver}
-    silver |= write_concurrently(layout, rest, "silver", workers)
+    silver |= write_concurrently(build, rest, "silver", workers)
     m = Models(raw, threshold, stored=silver)
-    gold = write_concurrently(layout, {n: m.model(n) for n in MARTS}, "gold", workers)
+    gold = write_concurrently(build, {n: m.model(n) for n in MARTS}, "gold", workers)
+    release = build.publish(threshold=int(threshold), staging=staging)
     if register:
-        for layer, names in (("silver", STAGING + INTERMEDIATE), ("gold", MARTS)):
+        written = INTERMEDIATE if staging == "view" else STAGING + INTERMEDIATE
+        for layer, names in (("silver", written), ("gold", MARTS)):
             for name in names:
-                layout.register(layer, name)
+                layout.register(layer, name, release)
     return gold, checks
 
 
-def stored_models(layout: Layout) -> Models:
-    """The models of a finished build, each read from its written table, with
-    the build's threshold."""
-    threshold = layout.read("silver", "build_settings").first()["threshold"]
-    tables = {n: layout.read("silver", n) for n in STAGING + INTERMEDIATE}
-    return Models(threshold=threshold,
-                  stored=tables | {n: layout.read("gold", n) for n in MARTS})
+def stored_models(layout: Layout, release: Release | None = None) -> Models:
+    """The models of a finished build, each read from its table in one release
+    (the current one by default), with the build's threshold."""
+    release = release or layout.release()
+    if "threshold" not in release.settings:
+        raise LookupError("the lake has no finished build")
+    views = release.settings.get("staging") == "view"
+    tables = {n: layout.read("silver", n, release)
+              for n in (INTERMEDIATE if views else STAGING + INTERMEDIATE)}
+    if views:
+        tables |= staging_views(layout)
+    return Models(threshold=release.settings["threshold"],
+                  stored=tables | {n: layout.read("gold", n, release) for n in MARTS})

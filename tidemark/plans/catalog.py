@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +19,20 @@ from pyspark.sql import functions as F
 from tidemark.functions.cleaning import (
     clean_discount_code, date_parts_sql, fill_region, parse_flag, typed_sql,
 )
+from tidemark.operators import distinct as D
 from tidemark.operators import intermediate as I
 from tidemark.operators import quality as Q
-from tidemark.operators.staging import orders
+from tidemark.operators.marts import report_order
+from tidemark.operators.staging import orders, rejects, stg_events
 from tidemark.plans import oracle as O
-from tidemark.plans.build import INTERMEDIATE, MARTS, REPORTS, STAGING, Models
+from tidemark.plans.build import (
+    INTERMEDIATE, MARTS, REPORTS, STAGING, ChecksFailed, Models, materialize, staging_views,
+)
 from tidemark.session import lake_root
-from tidemark.sources.raw import read_found, read_raw, write_csv
+from tidemark.sources.raw import load_bronze, read_found, read_raw, write_csv
 from tidemark.sources.sinks import Layout
 from tidemark.sources.testdata import raw_tables
-from tidemark.streaming import ingest_raw_stream
+from tidemark.streaming import follow_events, ingest_raw_stream, refresh_customers
 
 # Loyalty threshold on the driver's data (FIXTURES.md §3); the library
 # default stays at the reference's value.
@@ -161,14 +166,133 @@ def _raw_query(name: str) -> ModelQuery:
     return lambda m: m.raw[name]
 
 
+def _new_layout(spark: SparkSession, name: str, schemas: dict | None = None) -> Layout:
+    return Layout(spark, os.path.join(lake_root(spark), f"{name}-{uuid.uuid4().hex[:8]}"), schemas)
+
+
+def _csv_back(m: Models, name: str) -> DataFrame:
+    """A raw table exported as CSV and read back, cells with line feeds included."""
+    spark = m.raw[name].sparkSession
+    path = os.path.join(_new_layout(spark, "landing").root, f"{name}_csv")
+    df = m.raw[name]
+    text = {"products": "product_name", "customers": "segment"}[name]
+    write_csv(df.withColumn(text, F.concat(text, F.lit('\n"'), text, F.lit('",'))), path)
+    return read_raw(spark, name, path, "csv", {"multiLine": True})
+
+
+def in_text(df: DataFrame, name: str, *kept: str) -> DataFrame:
+    """(mart, row) and ``kept`` columns: each row of a table as one text, its
+    other columns by name."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("~"))
+             for c in sorted(df.columns) if c not in kept]
+    return df.select(F.lit(name).alias("mart"), F.concat_ws("|", *cells).alias("row"), *kept)
+
+
+def q_gold_by_name(m: Models) -> DataFrame:
+    """The production build into layers of other names, and all rows of
+    the seven marts read back by table name, as text."""
+    spark = m.stg_events.sparkSession
+    layout = _new_layout(spark, "named", {"silver": " tidemark_clean ",
+                                          "gold": "tidemark_reporting"})
+    materialize(m.raw, layout, m.threshold, register=True)
+    return reduce(DataFrame.unionByName, [
+        in_text(spark.table(f"tidemark_reporting.{n}"), n) for n in MARTS])
+
+
+def q_silver_views(m: Models) -> DataFrame:
+    """Staging as catalog views over loaded bronze, read by name in another
+    session: the typed products."""
+    spark = m.stg_events.sparkSession
+    layout = _new_layout(spark, "views", {"bronze": "tidemark_raw", "silver": "tidemark_views"})
+    load_bronze(m.raw, layout)
+    staging_views(layout)
+    return spark.newSession().table("tidemark_views.stg_products")
+
+
+def q_report_order(m: Models) -> DataFrame:
+    """O1, O2: the seven marts in report order with row positions, stored, as text."""
+    layout = _new_layout(m.stg_events.sparkSession, "ordered")
+    build = layout.begin()
+    for n in MARTS:
+        build.write(report_order(n, m.model(n)), "gold", n)
+    release = build.publish()
+    return reduce(DataFrame.unionByName, [
+        in_text(layout.read("gold", n, release), n, "position") for n in MARTS])
+
+
+def broken_events(events: DataFrame) -> DataFrame:
+    """Raw events with planted faults: of the line items of quantity 11 the type
+    is capitalised, and those of quantity 7 are there three times."""
+    quantity = F.col("quantity")
+    times = F.when(quantity == "7", 3).otherwise(1)
+    kind = F.when(quantity == "11", F.upper("event_type")).otherwise(F.col("event_type"))
+    return (events.withColumn("event_type", kind)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy"))
+
+
+def q_dq_violations(m: Models) -> DataFrame:
+    """Write, audit, publish over raw events with planted faults. The
+    repeated keys stop the build; what it publishes is the quarantine."""
+    layout = _new_layout(m.stg_events.sparkSession, "audited")
+    raw = {**m.raw, "events": broken_events(m.raw["events"])}
+    try:
+        materialize(raw, layout, m.threshold)
+    except ChecksFailed:
+        pass
+    return layout.read("silver", "quarantine")
+
+
+def badly_typed_events(events: DataFrame) -> DataFrame:
+    """Raw events with cells that cannot be cast, planted by quantity."""
+    q = F.col("quantity")
+    return events.withColumns({
+        "quantity": F.when(q == "13", "13 pcs").when(q == "50", "99999999999").otherwise(q),
+        "event_date": F.when(q == "8", F.concat(F.lit("~"), "event_date"))
+        .otherwise(F.col("event_date")),
+        "net_revenue_usd": F.when(q == "21", F.translate("net_revenue_usd", ".", ","))
+        .otherwise(F.col("net_revenue_usd")),
+        "unit_price_local": F.when(q == "30", "N/A").otherwise(F.col("unit_price_local")),
+        "latitude": F.when(q == "40", "1234567.0").otherwise(F.col("latitude"))})
+
+
+def q_dq_rejects(m: Models) -> DataFrame:
+    """the cells that a lenient build turns into null."""
+    return rejects({**m.raw, "events": badly_typed_events(m.raw["events"])})
+
+
+def q_inc_customer_orders(m: Models) -> DataFrame:
+    """M4 kept up to date: raw events land as CSV in two batches, each applied
+    once by a stream, and the summary is made from the stored partials."""
+    events = m.raw["events"]
+    spark = events.sparkSession
+    layout = _new_layout(spark, "followed")
+    landing = os.path.join(layout.root, "landing")
+    half = F.coalesce(F.crc32("event_id") % 2, F.lit(0))
+    for batch in (0, 1):
+        write_csv(events.where(half == batch), os.path.join(landing, f"batch-{batch}"))
+        follow_events(spark, os.path.join(landing, "*"), layout,
+                      os.path.join(layout.root, "checkpoint")).awaitTermination()
+    return refresh_customers(layout, m.stg_customers, m.threshold)["int_customer_orders"]
+
+
+def _bitmaps(m: Models) -> DataFrame:
+    layout = _new_layout(m.stg_events.sparkSession, "bitmaps")
+    return layout.write(D.customer_bitmaps(m.stg_events, m.stg_products, m.threshold),
+                        "silver", "customer_bitmaps")
+
+
 # Queries that write files while being built (timed by the full build in the bench).
-WRITING = ("src_events_csv", "stream_ingest_events", "sink_roundtrip", "dq_schema_drift_csv")
+WRITING = ("src_events_csv", "stream_ingest_events", "sink_roundtrip", "dq_schema_drift_csv",
+           "src_products_csv", "src_customers_csv", "gold_by_name", "silver_views",
+           "report_order", "dq_violations", "inc_customer_orders")
 
 OVER_MODELS: dict[str, ModelQuery] = {
     "src_events": _raw_query("events"),
     "src_products": _raw_query("products"),
     "src_customers": _raw_query("customers"),
     "src_events_csv": q_src_events_csv,
+    "src_products_csv": lambda m: _csv_back(m, "products"),
+    "src_customers_csv": lambda m: _csv_back(m, "customers"),
     "stream_ingest_events": q_stream_ingest_events,
     **{n: _model_query(n) for n in STAGING},
     "orders_only": lambda m: orders(m.stg_events),
@@ -190,7 +314,19 @@ OVER_MODELS: dict[str, ModelQuery] = {
     "dq_schema_drift": lambda m: Q.dq_schema_drift(_check_tables(m)),
     "dq_schema_drift_csv": q_dq_schema_drift_csv,
     "dq_orphans": lambda m: Q.dq_orphans(m.stg_events, m.stg_products, m.stg_customers),
+    "dq_violations": q_dq_violations,
+    "dq_rejects": q_dq_rejects,
+    # typed events of the same raw rows, with nulls for what was rejected
+    "stg_events_lenient": lambda m: stg_events(badly_typed_events(m.raw["events"]), lenient=True),
     "sink_roundtrip": q_sink_roundtrip,
+    "gold_by_name": q_gold_by_name,
+    "silver_views": q_silver_views,
+    "report_order": q_report_order,
+    "inc_customer_orders": q_inc_customer_orders,
+    # Distinct customers at every level from one table of bitmaps
+    "bm_every_level": lambda m: D.every_level(_bitmaps(m)),
+    "bm_billing_cycle_revenue": lambda m: D.billing_cycle_revenue(_bitmaps(m)),
+    "bm_billing_cycle": lambda m: D.billing_cycles(_bitmaps(m)),
     **{n: _report_query(n) for n in REPORTS},
 }
 

@@ -64,9 +64,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def load_bronze(raw: dict[str, DataFrame], layout) -> dict[str, DataFrame]:
-    """Copy raw tables untransformed into the bronze layer (Parquet) and
-    return DataFrames over the written copies."""
-    out = {}
-    for name, df in raw.items():
-        out[name] = layout.write(df, "bronze", name)
+    """Copy raw tables untransformed into the bronze layer (Parquet), published
+    together, and return DataFrames over the written copies."""
+    build = layout.begin()
+    out = {name: build.write(df, "bronze", name) for name, df in raw.items()}
+    build.publish()
     return out
