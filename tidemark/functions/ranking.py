@@ -7,8 +7,7 @@ value", and all ranks of a table come from one sort:
 1. the measures are stacked to (measure, value, rows) and counted per distinct
    value, with partial aggregation, so a value on very many rows is one row;
 2. the values are sorted (range partitioning keeps equal ones together and
-   partitions in order) and checkpointed, which freezes the partition that each
-   landed in;
+   partitions in order) and written down with the partition that each landed in;
 3. rows are totalled per partition and measure, and a window over those turns
    them into offsets (bounded by partitions times measures, not by the data, so
    broadcasting them is safe);
@@ -26,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import written
+
 
 def _order(col, descending: bool) -> Column:
     return F.desc_nulls_last(col) if descending else F.asc_nulls_last(col)
@@ -41,8 +42,8 @@ def _offsets(ordered: DataFrame, rows: Column, by: list[str]) -> DataFrame:
 
 
 def _frozen(df: DataFrame, *order: Column) -> DataFrame:
-    """``df`` in order, with the partition each row landed in, checkpointed."""
-    return df.orderBy(*order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+    """``df`` in order, with the partition each row landed in, written down."""
+    return written(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), "ordered")
 
 
 def value_ranks(df: DataFrame, columns: list[str], descending: bool = True) -> DataFrame:
@@ -50,12 +51,14 @@ def value_ranks(df: DataFrame, columns: list[str], descending: bool = True) -> D
     each measure, in that measure's column, with its SQL ``rank()``."""
     names = [f"_v{i}" for i in range(len(columns))]
     types = dict(df.dtypes)
-    counts = reduce(DataFrame.unionByName, [
-        df.groupBy(F.col(c).alias(f"_v{i}")).agg(F.count(F.lit(1)).alias("_rows")).select(
-            F.lit(i).alias("_measure"), "_rows",
-            *[F.col(n) if n == f"_v{i}" else F.lit(None).cast(types[columns[j]]).alias(n)
-              for j, n in enumerate(names)])
-        for i, c in enumerate(columns)])
+
+    def one(i):
+        cells = [F.col(f"`{c}`") if j == i else F.lit(None).cast(types[c])
+                 for j, c in enumerate(columns)]
+        return F.struct(F.lit(i).alias("_measure"), *[x.alias(n) for x, n in zip(cells, names)])
+
+    counts = (df.select(F.inline(F.array(*map(one, range(len(columns))))))
+              .groupBy("_measure", *names).agg(F.count(F.lit(1)).alias("_rows")))
     order = [_order(n, descending) for n in names]
     ordered = _frozen(counts, F.asc("_measure"), *order)
     offsets = _offsets(ordered, F.sum("_rows"), ["_measure"])
@@ -70,8 +73,8 @@ def value_ranks(df: DataFrame, columns: list[str], descending: bool = True) -> D
 def with_global_ranks(df: DataFrame, specs: list[tuple[str, str]],
                       descending: bool = True) -> DataFrame:
     """``df`` plus one ``rank()`` column per (column, rank column) in ``specs``,
-    nulls last, all from one sort. ``df`` is read once per measure and once
-    more for the result: give a stored or checkpointed one."""
+    nulls last, all from one sort. ``df`` is read twice, for the ranks and for
+    the result: give a stored one."""
     ranks = value_ranks(df, [c for c, _ in specs], descending)
     for i, (column, name) in enumerate(specs):
         own = ranks.where(F.col("_measure") == i).select(F.col(f"_v{i}").alias("_value"),

@@ -15,7 +15,7 @@ product of the dimensions, and it is made from one scan of the orders:
    with map-side partials; a hot customer or group is one row per map task;
 2. a customer's whole history (its orders in one dimension) gives the loyalty
    flag by a window over those rows;
-3. they are checkpointed, customers are numbered by range partitions with
+3. they are written down, customers are numbered by range partitions with
    offsets, and rows are merged into bitmaps per (group, bucket).
 """
 
@@ -31,6 +31,7 @@ from tidemark.functions.ranking import with_positions
 from tidemark.operators.intermediate import LOYALTY_THRESHOLD, MONEY_SUM
 from tidemark.operators.joins import left_join_skipping_null_keys
 from tidemark.operators.staging import orders
+from tidemark.session import written
 
 # Keys of each dimension, from fine to coarse where they nest.
 DIMENSIONS = {
@@ -67,7 +68,7 @@ def customer_bitmaps(events: DataFrame, products: DataFrame,
     """(dimension, k1, k2, k3, bucket, customers, loyal, sums): the bitmap table.
 
     Orders without a customer are in the sums, on rows without a bucket. The
-    groups per customer are checkpointed, as they are read twice.
+    groups per customer are written down, as they are read twice.
     """
     p = products.select("product_id", "billing_cycle", "category",
                         F.lit(True).alias("in_catalogue"))
@@ -86,9 +87,9 @@ def customer_bitmaps(events: DataFrame, products: DataFrame,
     # every order is in the channel dimension exactly once
     history = F.sum(F.when(F.col("dimension") == "channel", F.col("n_orders"))).over(
         Window.partitionBy("customer_id"))
-    flagged = per_customer.withColumn(
-        "is_loyal", F.col("customer_id").isNotNull() & (history >= F.lit(threshold))) \
-        .checkpoint(eager=True)
+    flagged = written(per_customer.withColumn(
+        "is_loyal", F.col("customer_id").isNotNull() & (history >= F.lit(threshold))),
+        "customer-groups")
     numbers = customer_numbers(flagged)
     numbered = left_join_skipping_null_keys(flagged, numbers, "customer_id", salt="k1")
     place = F.bitmap_bit_position("number")
@@ -108,8 +109,11 @@ def rolled_up(bitmaps: DataFrame, dimension: str, by: list[str] | None = None) -
     own = DIMENSIONS[dimension]
     by = list(own) if by is None else by
     rows = bitmaps.where(F.col("dimension") == dimension)
-    rows = rows.select(*[F.col(KEYS[own.index(k)]).alias(k) for k in by],
-                       "bucket", "customers", "loyal", *SUMS)
+    return _united(rows.select(*[F.col(KEYS[own.index(k)]).alias(k) for k in by],
+                               "bucket", "customers", "loyal", *SUMS), by)
+
+
+def _united(rows: DataFrame, by: list[str]) -> DataFrame:
     per_bucket = rows.groupBy(*by, "bucket").agg(
         F.bitmap_or_agg("customers").alias("customers"), F.bitmap_or_agg("loyal").alias("loyal"),
         *[F.sum(c).alias(c) for c in SUMS])
@@ -165,16 +169,16 @@ LEVELS = (
 
 
 def every_level(bitmaps: DataFrame) -> DataFrame:
-    """(level, key, totals): the same figures at every level, from one table.
-    Give a stored table: it is read once per level."""
-    out = None
-    for level, dimension, by in LEVELS:
-        part = rolled_up(bitmaps, dimension, list(by)).select(
-            F.lit(level).alias("level"),
-            F.concat_ws("/", *[F.col(k) for k in by]).alias("key") if by
-            else F.lit("").alias("key"),
-            "total_orders", "unique_customers", "loyal_customers",
-            F.round("rev_sum", 2).cast(MONEY_TOTAL).alias("total_revenue_usd"),
-            F.col("refunds").alias("total_refunds"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(level, key, totals): the same figures at every level, from one table and
+    in one pass: each group is expanded to the levels that it belongs to."""
+    def of(level, dimension, by):
+        keys = [F.col(KEYS[DIMENSIONS[dimension].index(k)]) for k in by]
+        key = F.concat_ws("/", *keys) if keys else F.lit("")
+        return F.when(F.col("dimension") == dimension,
+                      F.struct(F.lit(level).alias("level"), key.alias("key")))
+    levels = F.filter(F.array(*[of(*x) for x in LEVELS]), lambda x: x.isNotNull())
+    rows = bitmaps.select(F.inline(levels), "bucket", "customers", "loyal", *SUMS)
+    return _united(rows, ["level", "key"]).select(
+        "level", "key", "total_orders", "unique_customers", "loyal_customers",
+        F.round("rev_sum", 2).cast(MONEY_TOTAL).alias("total_revenue_usd"),
+        F.col("refunds").alias("total_refunds"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import PERCENT
 from tidemark.operators.intermediate import (
-    LOYALTY_THRESHOLD, channel_modes, customer_partials, loyalty_rollup, order_partials,
+    LOYALTY_THRESHOLD, channel_modes, loyalty_rollup, order_partials,
 )
 from tidemark.operators.marts import MONTH_KEYS
 from tidemark.operators.staging import orders
@@ -15,8 +15,10 @@ from tidemark.operators.staging import orders
 
 def ext_primary_channel_mode(events: DataFrame) -> DataFrame:
     """The customer's most frequent channel (lowest name on a tie) next to
-    the model's alphabetical-max 'primary_channel', from the customer partials."""
-    return channel_modes(customer_partials(events))
+    the model's alphabetical-max 'primary_channel', from order counts per
+    customer and channel."""
+    return channel_modes(orders(events).groupBy("customer_id", "channel").agg(
+        F.count(F.lit(1)).alias("n_rows")))
 
 
 def ext_loyal_revenue_share(events: DataFrame, threshold: int = LOYALTY_THRESHOLD) -> DataFrame:

@@ -184,7 +184,7 @@ def customer_summary(partials: DataFrame) -> DataFrame:
 
 def channel_modes(partials: DataFrame) -> DataFrame:
     """Per customer the alphabetically last channel and the one with most orders
-    (the lowest name on a tie), over one row per customer and channel."""
+    (the lowest name on a tie), from rows of (customer_id, channel, n_rows)."""
     per_channel = partials.groupBy("customer_id", "channel").agg(F.sum("n_rows").alias("_n"))
     best = F.min(F.when(F.col("channel").isNotNull(), F.struct(-F.col("_n"), F.col("channel"))))
     return per_channel.groupBy("customer_id").agg(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.ranking import with_global_ranks
 from tidemark.functions.metrics import MONEY, MONEY_TOTAL, PERCENT, pct, rounded_ratio
 from tidemark.operators.marts import orders_with_products
+from tidemark.session import written
 
 
 def _share_pct(part, whole):
@@ -85,10 +86,10 @@ def rep_loyal_by_acquisition(mart_loyal: DataFrame) -> DataFrame:
 def rep_discount_rank(discount_analysis: DataFrame) -> DataFrame:
     """Discount codes ranked by use, revenue and loyal conversion
     (SQL ``rank()``, highest first), computed without a single-task window."""
-    # The aggregated code table is checkpointed once, so the three rankings
-    # (each a sort + checkpoint) do not recompute the orders pipeline.
-    ranked = discount_analysis.select("discount_code", "total_orders", "total_revenue_usd",
-                                      "loyal_customer_pct").checkpoint(eager=True)
+    # The aggregated code table is written once, so that ranking does not
+    # recompute the orders pipeline.
+    ranked = written(discount_analysis.select("discount_code", "total_orders",
+                                              "total_revenue_usd", "loyal_customer_pct"), "codes")
     return with_global_ranks(ranked, [("total_orders", "rank_by_orders"),
                                       ("total_revenue_usd", "rank_by_revenue"),
                                       ("loyal_customer_pct", "rank_by_loyal_pct")])
@@ -97,10 +98,10 @@ def rep_discount_rank(discount_analysis: DataFrame) -> DataFrame:
 def rep_channel_rank(channel_performance: DataFrame) -> DataFrame:
     """Sales channels ranked by revenue, loyal customers, refund rate and
     discount use (SQL ``rank()``, highest first)."""
-    # One row per channel, checkpointed once for the four rankings.
-    ranked = channel_performance.select("channel", "total_revenue_usd", "loyal_customers",
-                                        "refund_rate_pct", "discount_usage_pct") \
-        .checkpoint(eager=True)
+    # One row per channel, written once for the four rankings.
+    ranked = written(channel_performance.select("channel", "total_revenue_usd", "loyal_customers",
+                                                "refund_rate_pct", "discount_usage_pct"),
+                     "channels")
     return with_global_ranks(ranked, [("total_revenue_usd", "rank_by_revenue"),
                                       ("loyal_customers", "rank_by_loyal_customers"),
                                       ("refund_rate_pct", "rank_by_refund_rate"),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the models rely on: wall-clock timestamps in UTC, strict (ANSI) casts,
 # and adaptive execution so join strategy, partition counts and skewed
@@ -66,6 +69,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch_roots: set[str] = set()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a written intermediate table, beside the checkpoints.
+
+    All of an application's lie in one folder of its own, which is removed when
+    the driver's Python ends; until then lazy results may read them.
+    """
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    root = f"{base.rstrip('/')}/tidemark-{sc.applicationId}"
+    if root not in _scratch_roots:
+        _scratch_roots.add(root)
+        atexit.register(_remove_scratch, sc, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove_scratch(sc, root: str) -> None:
+    if sc._jsc is None:  # the session is stopped already
+        return
+    with contextlib.suppress(Exception):  # nothing to be done about it at exit
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: the lineage ends there,
+    what it holds is fixed (partition ids too), and a lost executor costs tasks
+    of the current step only. Unlike a checkpoint it is computed once."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package from the folder it was loaded
     from, also when the driver was started elsewhere."""

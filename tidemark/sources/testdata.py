@@ -16,6 +16,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.schemas import RAW_EVENTS_COLUMNS
 
@@ -62,8 +63,19 @@ def _pick(values, index_sql: str) -> str:
     return f"try_element_at(array({', '.join(_sql(v) for v in values)}), cast({index_sql} AS int) + 1)"
 
 
+_schemas: dict[tuple, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Scan of a driver table. Its schema is inferred (a Spark job) once for a
+    path, its length and its time of change; the data is never cached."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(file)
+    key = (path, status.getLen(), status.getModificationTime())
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
