@@ -1,23 +1,26 @@
 """Secret scans with an incremental blob ledger (operator 9, native).
 
 Every historical version of a file is addressed by the digest of its content.
-The ledger is a table of (blob, rule, rule_version, spans), one row per blob and
-rule version already scanned, found or not. A scan takes the distinct blobs of
-the given versions, drops the pairs that the ledger has, scans the rest, appends
-the new rows, and joins the findings of all current rules back to every path and
-version. A second commit therefore scans only new contents, and a changed rule
-scans each content once more.
+The ledger is a table of (blob, rule, rule_version, matches), one row per blob
+and rule version already scanned, found or not, in folders by rule and version.
+A scan takes the distinct blobs of the given versions, drops the pairs that the
+ledger has, scans the rest, appends the new rows, and joins the findings of all
+current rules back to every path and version. A second commit therefore scans
+only new contents, and a changed rule scans each content once more.
 
 All of it is DataFrame expressions. Java regular expressions give strings but
-no positions, so each rule is matched as ``\\G(.*?)(rule)``: the first group is the
-text skipped since the last match, and running sums of the lengths of both
-groups are the starts (in code points) of leftmost non-overlapping matches. A
-cheap substring test keeps blobs without a rule's fixed parts away from it.
+no positions, so the ledger keeps lengths: a text is split at a rule's matches
+into the pieces between them, and each match is a row of (length of the piece
+before it, its own length, its value's length). Starts, in code points, are
+running sums of those: matches are exploded and a window adds them up per blob
+and rule, so a text with very many matches costs in proportion. A cheap
+substring test keeps blobs without a rule's fixed parts away from it.
 
 Contents are picked per digest by the smallest path key and only joined by
-digests, so a blob on a third of all paths is scanned once; what is joined back
-to all paths is one short row per blob, and adaptive execution may split the
-partition of a hot digest.
+digests, so a blob on a third of all paths is scanned once; where several rows
+have that key, one is taken after partial aggregation. What is joined back to
+all paths is one short row per blob with findings, and adaptive execution may
+split the partition of a hot digest.
 
 Defined results: a null content counts as empty and has no findings; repeated
 rows keep their own row in the result; an empty table gives an empty result and
@@ -27,8 +30,9 @@ appends nothing; other columns are not read.
 from __future__ import annotations
 
 import dataclasses
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import scratch_path
@@ -66,37 +70,22 @@ RULES = (
 )
 # ---
 
-LEDGER = "blob string, rule string, rule_version int, " \
-         "spans array<struct<start:bigint,end:bigint>>"
-
-
-def _spans(text: Column, rule: Rule) -> Column:
-    """array<struct<start, end>> of a rule's kept matches, in order."""
-    # \G: go on where the last match ended, and nowhere else, so that the text
-    # after the last match is walked once
-    anywhere = F.lit(rf"(?s)\G(.*?)({rule.pattern})")
-    skipped = F.regexp_extract_all(text, anywhere, F.lit(1))
-    matched = F.regexp_extract_all(text, anywhere, F.lit(2))
-    if rule.grouped:
-        value = F.regexp_extract_all(text, anywhere, F.lit(4))
-    else:
-        value = matched
-    rows = F.arrays_zip(F.transform(skipped, F.length).alias("skip"),
-                        F.transform(matched, F.length).alias("size"),
-                        F.transform(value, F.length).alias("value"))
-    zero = F.lit(0).cast("bigint")
-    state = F.struct(zero.alias("at"),
-                     F.array().cast("array<struct<start:bigint,end:bigint>>").alias("found"))
-
-    def step(acc, x):
-        start = acc["at"] + x["skip"]
-        end = start + x["size"]
-        one = F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"),
-                        F.when(x["value"] >= rule.least, F.concat(acc["found"], one))
-                        .otherwise(acc["found"]).alias("found"))
-
-    return F.aggregate(rows, state, step, lambda acc: acc["found"])
+MATCHES = "array<struct<skip:int,size:int,value:int>>"
+LEDGER = f"blob string, matches {MATCHES}, rule string, rule_version int"
+
+
+def _matches(text: Column, rule: Rule) -> Column:
+    """Lengths of a rule's matches, in order, dropped ones too: the code points
+    skipped since the match before, its own and its value's."""
+    pattern = F.lit(rule.pattern)
+    between = F.split(text, rule.pattern, -1)
+    matched = F.regexp_extract_all(text, pattern, F.lit(0))
+    # a match matches the same way when it stands alone
+    value = (lambda m: F.regexp_extract(m, rule.pattern, 2)) if rule.grouped else (lambda m: m)
+    return F.zip_with(
+        F.slice(between, F.lit(1), F.size(matched)), matched,
+        lambda skip, m: F.struct(F.length(skip).alias("skip"), F.length(m).alias("size"),
+                                 F.length(value(m)).alias("value")))
 
 
 def _hint(text: Column, rule: Rule) -> Column:
@@ -107,82 +96,102 @@ def _hint(text: Column, rule: Rule) -> Column:
     return seen & F.rlike(text, F.lit(rule.probe)) if rule.probe else seen
 
 
-def rule_spans(text: Column, rule: Rule) -> Column:
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return F.when(_hint(text, rule), _spans(text, rule)).otherwise(empty)
+def rule_matches(text: Column, rule: Rule) -> Column:
+    return F.when(_hint(text, rule), _matches(text, rule)).otherwise(F.array().cast(MATCHES))
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger's rows; a folder without a ledger has none."""
+def read_ledger(spark: SparkSession, path: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """The ledger's rows of these rules' versions; a folder without a ledger has none."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(LEDGER).parquet(path) if there \
-        else spark.createDataFrame([], LEDGER)
+    if not there:
+        return spark.createDataFrame([], LEDGER)
+    wanted = [(F.col("rule") == r.kind) & (F.col("rule_version") == r.version) for r in rules]
+    return spark.read.schema(LEDGER).parquet(path).where(reduce(lambda a, b: a | b, wanted))
 
 
 def blob_id(content: Column) -> Column:
     return F.sha2(F.coalesce(content, F.lit("")).cast("binary"), 256)
 
 
+def _unseen(rows: DataFrame, seen: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(_blob, _pairs, _text): each blob for which the ledger lacks some rule,
+    once, with the rules it has."""
+    known = (seen.groupBy("blob").agg(F.collect_set("rule").alias("_pairs"))
+             .withColumnRenamed("blob", "_known"))
+    # one key per blob to fetch it by, with the number of its rows that have that key
+    keyed = rows.groupBy("_blob", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    one = keyed.groupBy("_blob").agg(F.min(F.struct("_key", "_n")).alias("_one"))
+    new = (one.join(known, F.col("_blob") == F.col("_known"), "left")
+           .where(F.coalesce(F.size("_pairs"), F.lit(0)) < len(rules))
+           .select(F.col("_blob").alias("_new"), "_one._n", F.col("_one._key").alias("_new_key"),
+                   "_pairs"))
+    fetched = (rows.join(new, F.col("_key").eqNullSafe(F.col("_new_key"))
+                         & (F.col("_blob") == F.col("_new")))
+               .select("_blob", "_pairs", "_n", F.coalesce("_content", F.lit("")).alias("_text")))
+    single = fetched.where("_n = 1").drop("_n")
+    several = fetched.where("_n > 1").groupBy("_blob").agg(
+        F.first("_pairs").alias("_pairs"), F.first("_text").alias("_text"))
+    return single.unionByName(several)
+
+
+def _located(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, spans): blobs with findings, their spans as <start, kind, end> in
+    order, where ``kind`` is the rule's place in ``rules``."""
+    place = reduce(lambda c, i: c.when(F.col("rule") == rules[i].kind, i),
+                   range(1, len(rules)), F.when(F.col("rule") == rules[0].kind, 0))
+    least = F.element_at(F.array(*[F.lit(r.least) for r in rules]), F.col("kind") + 1)
+    # two scans at once may both have scanned a blob: one row counts
+    rows = (ledger.where(F.size("matches") > 0).withColumn("kind", place)
+            .groupBy("blob", "kind").agg(F.first("matches").alias("matches"))
+            .select("blob", "kind", F.posexplode("matches").alias("at", "match")))
+    so_far = Window.partitionBy("blob", "kind").orderBy("at") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum((F.col("match.skip") + F.col("match.size")).cast("bigint")).over(so_far)
+    spans = (rows.withColumn("end", end).where(F.col("match.value") >= least)
+             .select("blob", F.struct((F.col("end") - F.col("match.size")).alias("start"), "kind",
+                                      "end").alias("span")))
+    return spans.groupBy("blob").agg(F.array_sort(F.collect_list("span")).alias("spans"))
+
+
 def scan(versions: DataFrame, ledger: str, key: str, content: str,
          rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Scan what the ledger has not seen, append it, and return (key, blob,
-    kind, spans): a row per row of ``versions`` and rule."""
+    spans): a row per row of ``versions``, with all spans of the rules (null
+    where there are none) as <start, kind, end>, ``kind`` being the rule's place."""
     spark = versions.sparkSession
     rows = versions.select(F.col(key).alias("_key"), F.col(content).alias("_content"),
                            blob_id(F.col(content)).alias("_blob"))
-    seen = read_ledger(spark, ledger)
-    wanted = {(r.kind, r.version) for r in rules}
-    # blobs for which the ledger lacks some wanted pair, each with one key to fetch it by
-    known = (seen.where(F.concat_ws(":", "rule", "rule_version").isin(
-        [f"{k}:{v}" for k, v in wanted]))
-        .groupBy("blob").agg(F.collect_set(F.concat_ws(":", "rule", "rule_version"))
-                             .alias("_pairs"))
-        .withColumnRenamed("blob", "_known"))
-    one = rows.groupBy("_blob").agg(F.min(F.struct("_key")).alias("_one"))
-    new = (one.join(known, F.col("_blob") == F.col("_known"), "left")
-           .where(F.coalesce(F.size("_pairs"), F.lit(0)) < len(wanted))
-           .select(F.col("_blob").alias("_new"), F.col("_one._key").alias("_new_key"), "_pairs"))
-    fetched = (rows.join(new, F.col("_key").eqNullSafe(F.col("_new_key"))
-                         & (F.col("_blob") == F.col("_new")))
-               .select("_blob", "_pairs", F.coalesce("_content", F.lit("")).alias("_text")))
+    unseen = _unseen(rows, read_ledger(spark, ledger, rules), rules)
     pairs = F.array(*[
-        F.when(F.coalesce(~F.array_contains("_pairs", f"{r.kind}:{r.version}"), F.lit(True)),
-               F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("rule_version"),
-                        rule_spans(F.col("_text"), r).alias("spans")))
+        F.when(F.coalesce(~F.array_contains("_pairs", r.kind), F.lit(True)),
+               F.struct(rule_matches(F.col("_text"), r).alias("matches"),
+                        F.lit(r.kind).alias("rule"), F.lit(r.version).alias("rule_version")))
         for r in rules])
-    found = (fetched.select(F.col("_blob").alias("blob"), F.inline_outer(F.filter(
-        pairs, lambda x: x.isNotNull())))
-        .select("blob", "rule", "rule_version", "spans"))
-    found.write.mode("append").parquet(ledger)
-    # repeated rows of one key fetch a blob more than once: one ledger row counts
-    current = (spark.read.schema(LEDGER).parquet(ledger)
-               .where(F.concat_ws(":", "rule", "rule_version")
-                      .isin([f"{k}:{v}" for k, v in wanted]))
-               .groupBy("blob").pivot("rule", [r.kind for r in rules])
-               .agg(F.first("spans")))
-    current = current.withColumnRenamed("blob", "_found")
+    found = unseen.select(F.col("_blob").alias("blob"),
+                          F.inline(F.filter(pairs, lambda x: x.isNotNull())))
+    found.write.mode("append").partitionBy("rule", "rule_version").parquet(ledger)
+    located = _located(read_ledger(spark, ledger, rules), rules)
+    located = located.withColumnRenamed("blob", "_found")
     return (versions.select(F.col(key).alias("key"), blob_id(F.col(content)).alias("blob"))
-            .join(current.hint("merge"), F.col("blob") == F.col("_found"), "left").drop("_found"))
+            .join(located.hint("merge"), F.col("blob") == F.col("_found"), "left").drop("_found"))
 
 
 def secret_digests(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     """Per document the number of spans of each base kind, the digest of the
     base spans and all spans (``kind:start:end`` by start, then kind as listed)."""
-    spark = docs.sparkSession
     kinds = [r.kind for r in RULES]
-    found = scan(docs, ledger or scratch_path(spark, "secret-ledger"), "doc_id", "text")
-
-    def tag(place: int):
-        return lambda s: F.struct(s["start"].alias("start"), F.lit(place).alias("kind"),
-                                  s["end"].alias("end"))
-
-    tagged = F.array_sort(F.concat(*[F.transform(k, tag(i)) for i, k in enumerate(kinds)]))
+    found = scan(docs, ledger or scratch_path(docs.sparkSession, "secret-ledger"), "doc_id", "text")
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
     names = F.array(*map(F.lit, kinds))
-    text = F.array_join(F.transform(tagged, lambda s: F.concat_ws(
+    text = F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
+
+    def count(i: int) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == i)).cast("long")
+
     return (found.select(F.col("key").alias("doc_id"),
-                         *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
+                         *[count(i).alias(f"n_{k}") for i, k in enumerate(kinds)],
                          text.alias("spans"))
             .select("doc_id", *[f"n_{k}" for k in kinds],
                     F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"), "spans"))
