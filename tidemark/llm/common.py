@@ -9,17 +9,17 @@ megabyte; a text is never cut, a longer one makes a longer slice.
 from __future__ import annotations
 
 import contextlib
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_folder
 
 SLICE_BYTES = 1 << 20
 U64 = np.uint64
@@ -32,9 +32,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --------------------------------------------------------------------------- shared scratch tables
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder for a written table under the cluster's shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
+    """A new folder for a written table beside the cluster's shared checkpoints,
+    removed with all others of the application when the driver ends."""
+    return scratch_folder(spark, f"llm/{name}")
 
 
 @contextlib.contextmanager
@@ -187,6 +187,39 @@ class ByteHashes:
         return mix(code + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+SHORT_WORD = 64  # bytes up to which words are hashed together, eight bytes at a time
+
+
+def word_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each word's bytes, mixed apart from the length on.
+
+    Eight bytes are taken in at a time, and each step goes through a mixer that
+    no byte position scales, so words that agree in one polynomial do not agree
+    here. Longer words are hashed one by one by the xxhash library (128 bits).
+    """
+    size = words.end - words.start
+    high, low = (mix(size.astype(U64) + U64(seed))
+                 for seed in (0x51ED270B4D2A5A17, 0xC3A5C85C97CB3127))
+    data = np.concatenate([words.data, np.zeros(8, np.uint8)])
+    lanes = np.lib.stride_tricks.as_strided(data, (len(words.data) + 1, 8), (1, 1))
+    long = size > SHORT_WORD
+    for at in range(0, SHORT_WORD, 8):
+        on = np.flatnonzero((size > at) & ~long)
+        if not len(on):
+            break
+        lane = lanes[words.start[on] + at].view("<u8").ravel()
+        left = size[on] - at
+        part = left < 8
+        lane[part] &= (U64(1) << (8 * left[part]).astype(U64)) - U64(1)
+        high[on] = mix(high[on] ^ lane)
+        low[on] = mix((low[on] + lane) * U64(_BASE) ^ (low[on] >> U64(29)))
+    raw = words.data
+    for i in np.flatnonzero(long):
+        code = xxhash.xxh3_128_digest(raw[words.start[i]: words.end[i]].tobytes())
+        high[i], low[i] = np.frombuffer(code, "<u8")
+    return high, low
+
+
 def rolling(codes: np.ndarray, n: int, seed: int) -> np.ndarray:
     """Hash of every ``n`` consecutive codes (len - n + 1 values)."""
     m = len(codes) - n + 1

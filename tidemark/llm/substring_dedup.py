@@ -10,7 +10,7 @@ start, have an equal anchor at one and the same place inside them.
    per block and batch). A hash in two documents makes its positions survive;
    they go back, packed by shards of doc_ids, and become one row per document.
 2. Extension: the windows around surviving positions, and only these, are hashed
-   with 128 bits over whole words and sent to blocks by hash; the smallest
+   with 128 bits, from two separate 64-bit hashes of each word, and sent to blocks by hash; the smallest
    doc_id of each window decides. A window of a larger doc_id is removed.
 3. The removed windows of each document are united over its words.
 
@@ -38,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (U64, ByteHashes, Words, block_count, flat, mix, ranges, rolling,
-                                 shuffle_partitions, slices, written)
+from tidemark.llm.common import (U64, Words, block_count, flat, mix, ranges, rolling,
+                                 shuffle_partitions, slices, word_hashes, written)
 
 WINDOW = 13
 PERIOD = 7
@@ -67,10 +67,6 @@ def _marks(words: Words) -> np.ndarray:
     return np.array([zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])], U64) << U64(32)
 
 
-def word_codes(words: Words) -> np.ndarray:
-    return ByteHashes(words.data).of(words.start, words.end)
-
-
 def _starts(words: Words, length: int) -> np.ndarray:
     """Word indexes where ``length`` words of one document start."""
     n = np.maximum(words.counts - length + 1, 0)
@@ -152,7 +148,7 @@ def _anchors(blocks: int):
                 place = at - words.first[doc]
                 on = covered[place % PERIOD]
                 if on.any():
-                    code = rolling(word_codes(words), ANCHOR, 1)
+                    code = rolling(word_hashes(words)[0], ANCHOR, 1)
                     found.append((code[at[on]], doc[on] + lo,
                                   place[on].astype(U64) | _marks(words)[doc[on]]))
             if found:
@@ -276,9 +272,10 @@ def _windows(blocks: int):
                         doc.append(np.full(len(windows), d))
                 if at:
                     doc, at = np.concatenate(doc), np.concatenate(at)
-                    code, place = word_codes(words), at + words.first[doc]
-                    found.append((rolling(code, WINDOW, 2)[place],
-                                  rolling(code, WINDOW, 3)[place], doc + lo,
+                    high, low = word_hashes(words)
+                    place = at + words.first[doc]
+                    found.append((rolling(high, WINDOW, 2)[place],
+                                  rolling(low, WINDOW, 3)[place], doc + lo,
                                   at.astype(U64) | text_mark[doc]))
             if found:
                 high, low, doc, at = (np.concatenate(x) for x in zip(*found))
