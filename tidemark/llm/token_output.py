@@ -14,22 +14,23 @@ image, all numbers little-endian:
     doc_ids i64 each, null flags u8 each, tokens of each document u32
     control bytes, data bytes of all ranks of the block
 
-Three passes: documents are range-partitioned by doc_id (rows of one doc_id also
-by a hash of the text, so a doc_id repeated on very many rows is split),
-tokenised and stored as raw ids; ids are counted per task and summed (the
-vocabulary bounds what reaches the driver); blocks are encoded where they lie.
-Each block knows the ids before it in its partition, so global starts need one
-total per partition only.
+Three passes. Documents are tokenised where they are read: of a slice of texts
+the distinct words are looked up once and their ids gathered by numpy. Only ids
+are dealt to ranges of doc_ids (taken from the doc_ids alone; a doc_id that is on
+more rows than a range holds gets several, by a hash of the text) and stored as
+raw ids; ids are counted per task and summed (the vocabulary bounds what reaches
+the driver); blocks are encoded where they lie. Each block knows the ids before
+it in its range, so global starts need one total per range only.
 
 Defined results: a null text counts as empty and has the end id only; a null
 doc_id comes first; rows of one doc_id follow each other, in the order of a hash
-of their text; an empty table gives empty files; only doc_id and text are read.
+of their text; of equally frequent ids the smaller has the lower rank; an empty table gives empty files; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
-import array
 import functools
+import itertools
 import json
 import os
 import re
@@ -38,17 +39,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import byte_symbols, text_list
-from tidemark.llm.common import block_count, scratch_path, shuffle_partitions, slices
+from tidemark.llm.bpe import byte_symbols
+from tidemark.llm.common import (U64, Words, block_count, flat, ranges, scratch_path,
+                                 shuffle_partitions, shuffles_removed, slices, word_hashes)
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 19
 PART_CHARS = 32 << 20
-CACHE_WORDS = 700_000
+CACHE_WORDS = 2_000_000  # words that a Python worker keeps, in about 50 bytes each
+CACHE_PARTS = 400_000    # and parts of words, in about 200
+NO_ID = -(1 << 63)  # stands for a missing doc_id, which comes first
 MAGIC = b"TMV1"
 HEAD = struct.Struct("<4sIQQ")
 
@@ -59,18 +62,25 @@ FILE = "part long, block long, before long, n_tokens long, image binary"
 
 # --------------------------------------------------------------------------- ids by the library
 
-class LibraryWords(dict):
+class LibraryWords:
     """Ids from the tokenizers library, by word where the file drops white
-    space between words: word -> ids as little-endian unsigned 32-bit bytes,
-    looked up when a word is first met. The common shape, letters (ASCII or
-    Latin-1) and marks after them, is cut by the file's pattern between the two
-    and nowhere else, so both go straight to the library's model; any other word
-    takes the library's whole way. Other files have their whole texts encoded."""
-
+    space between words. Each distinct word is encoded when it is first met, and
+    its ids are kept in one array, found by 128 bits of hashes.
+
+    The common shape, letters (ASCII or Latin-1) and marks after them, is cut by
+    the file's pattern between the two and nowhere else, so both go straight to
+    the library's model; any other word takes the library's whole way. That
+    holds for one normalizer and pattern, which are verified; the words of other
+    files that drop white space take the whole way too, and files that do not
+    have their whole texts encoded."""
+
+    # --- fixed values: the steps for which the common shape is cut as said
+    steps = ["NFC", "Replace", "Lowercase"]
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+    # ---
     shape = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,!#$%&*]*)")
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
@@ -79,41 +89,84 @@ class LibraryWords(dict):
         self.model = self.library.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        self.by_word = (steps[0].get("behavior"), steps[0].get("invert")) == ("Removed", True)
+        split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_word = (split.get("behavior"), split.get("invert")) == ("Removed", True)
+        steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        self.by_shape = self.by_word and steps == self.steps \
+            and split.get("pattern", {}).get("Regex") == self.pattern
         self.symbols = dict(enumerate(byte_symbols()))
-        self.parts: dict[bytes, bytes] = {}
-
-    def _part(self, part: bytes) -> bytes:
+        self.parts: dict[bytes, list[int]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = np.zeros(0, U64)           # hashes of known words, sorted
+        self.check = np.zeros(0, U64)           # the other hash of each
+        self.at = np.zeros(0, np.int64)         # where its ids begin
+        self.size = np.zeros(0, np.int32)
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def _part(self, part: bytes) -> list[int]:
         got = self.parts.get(part)
         if got is None:
             tokens = self.model.tokenize(part.decode("latin-1").translate(self.symbols))
-            got = self.parts[part] = array.array("I", [t.id for t in tokens]).tobytes()
+            got = self.parts[part] = [t.id for t in tokens]
         return got
 
-    def __missing__(self, word: bytes) -> bytes:
-        m = self.shape.fullmatch(word.lower())
-        if m:
-            ids = self._part(m[1])
-            if m[2]:
-                ids += self._part(m[2])
-        else:
-            ids = self._whole(word)
-        self[word] = ids
-        return ids
-
-    def _whole(self, text: bytes) -> bytes:
-        got = self.library.encode(text.decode(), add_special_tokens=False).ids
-        return np.array(got, "<u4").tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self) > CACHE_WORDS:
+    def word(self, word: bytes) -> list[int]:
+        m = self.shape.fullmatch(word.lower()) if self.by_shape else None
+        if not m:
+            return self.whole(word)
+        return self._part(m[1]) + self._part(m[2]) if m[2] else self._part(m[1])
+
+    def whole(self, text: bytes) -> list[int]:
+        return self.library.encode(text.decode(), add_special_tokens=False).ids
+
+    def _learn(self, codes: np.ndarray, checks: np.ndarray, words: list[bytes]) -> None:
+        """Add words by their hashes, which are sorted and not known."""
+        ids = [self.word(w) for w in words]
+        size = np.fromiter(map(len, ids), np.int32, len(ids))
+        more = int(size.sum())
+        if self.used + more > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), more), np.uint32)])
+        self.pool[self.used: self.used + more] = list(itertools.chain.from_iterable(ids))
+        place = np.searchsorted(self.known, codes)
+        self.known = np.insert(self.known, place, codes)
+        self.check = np.insert(self.check, place, checks)
+        self.at = np.insert(self.at, place, self.used + np.cumsum(size, dtype=np.int64) - size)
+        self.size = np.insert(self.size, place, size)
+        self.used += more
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a slice, and how many each has."""
+        if not self.by_word:
+            raw, at = data.tobytes(), offsets.tolist()
+            ids = [self.whole(raw[a:b]) for a, b in zip(at, at[1:])]
+            return (np.array([i for x in ids for i in x], np.uint32),
+                    np.array([len(x) for x in ids], np.int64))
+        if len(self.known) > CACHE_WORDS:
             self.clear()
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.parts.clear()
-        if not self.by_word:
-            return [self._whole(t) for t in texts]
-        return [b"".join(map(self.__getitem__, t.split())) for t in texts]
+        words = Words(data, offsets)
+        high, low = word_hashes(words)
+        codes, first, which = np.unique(high, return_index=True, return_inverse=True)
+        slot = np.searchsorted(self.known, codes)
+        new = np.ones(len(codes), bool)
+        inside = slot < len(self.known)
+        new[inside] = self.known[slot[inside]] != codes[inside]
+        if new.any():
+            raw, at = data.tobytes(), first[new]
+            self._learn(codes[new], low[at], [raw[a:b] for a, b in zip(
+                words.start[at].tolist(), words.end[at].tolist())])
+            slot = np.searchsorted(self.known, codes)
+        slot = slot[which]
+        if not np.array_equal(self.check[slot], low):
+            raise RuntimeError("two words agree in 64 bits of hash")  # never seen; not passed over
+        size = self.size[slot].astype(np.int64)
+        ids = self.pool[ranges(self.at[slot], size)]
+        total = np.concatenate([[0], np.cumsum(size)])[words.first]
+        return ids, np.diff(total)
 
 
 @functools.lru_cache(maxsize=2)
@@ -181,42 +234,85 @@ def read_image(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 # --------------------------------------------------------------------------- passes
 
-def _raw_ids(path: str, end_id: int):
-    end = int(end_id).to_bytes(4, "little")
-
+class Ranges:
+    """Ranges of doc_ids of about equally many rows: ``top[i]`` is the largest
+    doc_id of range i, which is dealt over ``width[i]`` parts."""
+
+    def __init__(self, docs: DataFrame, parts: int):
+        ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"))
+        counts = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+        rows = counts.agg(F.sum("n")).first()[0] or 0
+        fair = max(1, rows // parts)
+        # at most ``parts`` doc_ids have more rows than that, and as many ranges are made
+        hot = {r["id"]: r["n"] for r in counts.where(F.col("n") > fair).collect()}
+        tops = (counts.repartitionByRange(parts, "id").groupBy(F.spark_partition_id())
+                .agg(F.max("id").alias("top")).collect())
+        top = {r["top"] for r in tops} | {i for h in hot for i in (h - 1, h) if i >= NO_ID}
+        self.top = np.array(sorted(top), np.int64)
+        self.width = np.array([-(-hot.get(t, 1) // fair) if t in hot else 1
+                               for t in self.top.tolist()], np.int64)
+        self.first = np.cumsum(self.width) - self.width
+        self.parts = max(1, int(self.width.sum()))
+
+    def of(self, ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """The part of each row; within a range in the order of its mark (63 bits)."""
+        i = np.searchsorted(self.top, ids)
+        deep = (marks.astype(np.float64) / 2.0 ** 63 * self.width[i]).astype(np.int64)
+        return self.first[i] + np.minimum(deep, self.width[i] - 1)
+
+
+def _tokenised(path: str, end_id: int, shared):
+    """(part, doc_id, mark, ids): each text's ids with the end id."""
     def run(batches):
-        words = library_words(path)
-        part = TaskContext.get().partitionId()
-        block = before = 0
-        docs, sizes, ids, held = [], [], [], 0
-
-        def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in (part, block, before, held)]
-                + [pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                   pa.array([b"".join(ids)], pa.binary())],
-                names=["part", "block", "before", "n_tokens", "doc_ids", "sizes", "ids"])
-
+        words, placed = library_words(path), shared.value
         for batch in batches:
             for lo, hi in slices(batch.column(1)):
                 rows = batch.slice(lo, hi - lo)
-                for doc_id, got in zip(rows.column(0).to_pylist(),
-                                       words.encode(text_list(rows.column(1)))):
-                    got += end
-                    n = len(got) // 4
-                    if held and held + n > BLOCK_TOKENS:
-                        yield out()
-                        block, before = block + 1, before + held
-                        docs, sizes, ids, held = [], [], [], 0
-                    docs.append(doc_id)
-                    sizes.append(n)
-                    ids.append(got)
-                    held += n
-        if docs:
-            yield out()
+                ids, size = words.encode(*flat(rows.column(1)))
+                ends = np.cumsum(size + 1)
+                out = np.full(ends[-1], end_id, "<u4")
+                inside = np.ones(len(out), bool)
+                inside[ends - 1] = False
+                out[inside] = ids
+                offsets = np.concatenate([[0], 4 * ends]).astype(np.int64)
+                blobs = pa.Array.from_buffers(pa.large_binary(), len(rows), [
+                    None, pa.py_buffer(offsets), pa.py_buffer(out)]).cast(pa.binary())
+                doc_ids = rows.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+                part = placed.of(doc_ids, rows.column(2).to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.astype(np.int32)), rows.column(0), rows.column(2), blobs],
+                    names=["part", "doc_id", "mark", "ids"])
     return run
 
 
+def _raw_blocks(batches):
+    """Blocks of the rows of a part, which come in order."""
+    docs, sizes, ids = [], [], []
+    part = block = before = held = 0
+
+    def out():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x]) for x in (part, block, before, held)]
+            + [pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
+               pa.array([b"".join(ids)], pa.binary())],
+            names=["part", "block", "before", "n_tokens", "doc_ids", "sizes", "ids"])
+
+    for batch in batches:
+        for own, doc_id, blob in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
+            n = len(blob) // 4
+            if held and (own != part or held + n > BLOCK_TOKENS):
+                yield out()
+                block, before = (block + 1, before + held) if own == part else (0, 0)
+                docs, sizes, ids, held = [], [], [], 0
+            part = own
+            docs.append(doc_id)
+            sizes.append(n)
+            ids.append(blob)
+            held += n
+    if docs:
+        yield out()
+
+
 def _counts(batches):
     total = np.zeros(0, np.int64)
     for batch in batches:
@@ -246,15 +342,18 @@ def _to_images(rank_of: np.ndarray):
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> str:
     """Write ``docs`` as token files under ``folder`` and return it."""
     spark = docs.sparkSession
-    parts = block_count(docs, PART_CHARS, shuffle_partitions(spark))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
-    ordered = (rows.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "_h")
-               .sortWithinPartitions(F.asc_nulls_first("doc_id"), "_h")
-               .select("doc_id", "text"))
+    placed = Ranges(docs, block_count(docs, PART_CHARS, shuffle_partitions(spark)))
+    mark = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 1)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", mark.alias("mark"))
+    shared = spark.sparkContext.broadcast(placed)
+    ordered = (rows.mapInArrow(_tokenised(tokenizer, end_id, shared),
+                               "part int, doc_id long, mark long, ids binary")
+               .repartitionById(placed.parts, "part")
+               .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "mark"))
     raw_path = f"{folder}/raw"
-    ordered.mapInArrow(_raw_ids(tokenizer, end_id), RAW) \
-        .write.option("compression", "zstd").parquet(raw_path)
+    with shuffles_removed(spark):
+        ordered.mapInArrow(_raw_blocks, RAW) \
+            .write.option("compression", "zstd").parquet(raw_path)
     raw = spark.read.schema(RAW).parquet(raw_path)
     counts = (raw.select("ids").mapInArrow(_counts, "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")))
