@@ -47,3 +47,23 @@ def test_several_ranks(spark):
     got = {r.id: (r.ra, r.rb) for r in
            with_global_ranks(df, [("a", "ra"), ("b", "rb")]).collect()}
     assert [got[i] for i in range(30)] == list(zip(want_a, want_b))
+
+
+def test_positions_number_the_rows_in_order(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.ranking import with_positions
+    rows = [(i, None if i % 7 == 0 else i % 5, f"n{i % 4}") for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v int, n string").repartition(6)
+    got = with_positions(df, [F.desc_nulls_first("v"), F.asc("n")]).collect()
+    want = sorted(rows, key=lambda r: (r[1] is not None, -(r[1] or 0), r[2], r[0]))
+    assert sorted((r.position, r.id) for r in got) == [(i + 1, r[0]) for i, r in enumerate(want)]
+
+
+def test_ranks_of_several_types_and_one_common_value(spark):
+    rows = [(i, "x" if i % 3 else f"s{i}", None if i == 5 else i % 2 / 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a string, b double")
+    got = {r.id: (r.ra, r.rb) for r in
+           with_global_ranks(df, [("a", "ra"), ("b", "rb")]).collect()}
+    want = zip(_sql_rank([r[1] for r in rows]), _sql_rank([r[2] for r in rows]))
+    assert [got[i] for i in range(60)] == list(want)

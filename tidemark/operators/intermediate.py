@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import count_when, exact_avg, pct
-from tidemark.operators.joins import left_join_skipping_null_keys
+from tidemark.operators.joins import left_join_splitting_hot_keys
 from tidemark.operators.staging import orders
 
 # ---------------------------------------------------------------------------
@@ -239,12 +239,12 @@ def with_loyalty(order_rows: DataFrame, loyal_customers: DataFrame) -> DataFrame
     has no loyalty row), the literal order-level join.
 
     Null customers can never match, so they skip the join instead of all
-    hashing to one reducer; a hot non-null customer is split by adaptive skew
-    join handling. Aggregating marts use ``loyalty_rollup`` instead, which joins
-    nothing at order grain.
+    hashing to one reducer; hot customers are found by a sketch of one pass over
+    the key and dealt over several reducers. Aggregating marts use
+    ``loyalty_rollup`` instead, which joins nothing at order grain.
     """
     flags = loyal_customers.select("customer_id", "is_loyal_customer")
-    return (left_join_skipping_null_keys(order_rows, flags, "customer_id", salt="event_id")
+    return (left_join_splitting_hot_keys(order_rows, flags, "customer_id", salt="event_id")
             .withColumn("is_loyal_customer", F.coalesce(F.col("is_loyal_customer"), F.lit(False))))
 
 
