@@ -48,7 +48,7 @@ def test_one_long_text_ends_nothing(spark):
 
 def test_counts_grow_with_the_input(spark):
     """More rows than the former sample of 1,000: each is counted or a calibration
-    row, however often a task hands its counts on; the model keeps its share."""
+    row, however often a task hands its counts on, and the model keeps all n-grams."""
     docs = spark.createDataFrame(_texts("en", range(4000), 6), SCHEMA).repartition(3)
     rows = langid.learnable(docs)
     held = sum(r["n"] for r in docs.selectExpr(
@@ -63,12 +63,109 @@ def test_counts_grow_with_the_input(spark):
             if gram[-2:] != "  ":
                 want["en", gram] = want.get(("en", gram), 0) + 1
     assert _counted(docs) == want
-    counts = spark.createDataFrame([(*k, n) for k, n in want.items()],
-                                   "lang string, gram string, n long")
-    assert langid.frequent(counts, len(want)).count() == len(want)
-    kept = {r["gram"]: r["n"] for r in langid.frequent(counts, 20).collect()}
-    left = [n for (_, g), n in want.items() if g not in kept]
-    assert 0 < len(kept) <= 20 and 2 * min(kept.values()) > max(left)
+    model = langid.train(docs)
+    kept = {tuple(g) for g in langid._groups(np.array([list(map(ord, g)) for _, g in want]))[0]}
+    assert len(model.orders[-1].grams) == len(kept) and min(want.values()) >= 1
+
+
+def plain_model(counts):
+    """Interpolated Kneser-Ney probabilities by dictionaries: a function of
+    (language, window)."""
+    level = {(x, g): n for (x, g), n in counts.items()}
+    alphabet = max(2, len({c for _, g in counts for c in g}))
+    levels = {langid.ORDER: level}
+    for k in range(langid.ORDER - 1, 0, -1):
+        level = {}
+        for x, g in levels[k + 1]:
+            level[x, g[1:]] = level.get((x, g[1:]), 0) + 1
+        levels[k] = level
+    discounts = {}
+    for k, level in levels.items():
+        ones, twos = (sum(n == i for n in level.values()) for i in (1, 2))
+        discounts[k] = ones / (ones + 2 * twos) if ones and twos else 0.5
+
+    def p(lang, g):
+        k = len(g)
+        if not k:
+            return 1 / (alphabet + 1)
+        own = {h: n for (x, h), n in levels[k].items() if x == lang and h[:-1] == g[:-1]}
+        if not own:
+            return p(lang, g[1:])
+        total = sum(own.values())
+        return max(own.get(g, 0) - discounts[k], 0) / total \
+            + discounts[k] * len(own) / total * p(lang, g[1:])
+    return p
+
+
+def _small_counts():
+    counts = {}
+    for _, t, x in _texts("en", range(3), 12) + _texts("de", range(3), 9, 4):
+        text = f"   {t} "
+        for k in range(len(text) - 3):
+            if text[k: k + 4][-2:] != "  ":
+                counts[x, text[k: k + 4]] = counts.get((x, text[k: k + 4]), 0) + 1
+    return counts
+
+
+def test_probabilities_against_dictionaries(spark):
+    counts = _small_counts()
+    p = plain_model(counts)
+    langs = ["de", "en"]
+    keys = sorted(counts)
+    model = langid.estimate(langs, np.array([langs.index(x) for x, _ in keys]),
+                            np.array([list(map(ord, g)) for _, g in keys], np.uint32),
+                            np.array([counts[k] for k in keys]))
+    texts = ["the quick fox", "der braune fuchs", "zebra qq the", "hund"]
+    got, size = model.entropies(texts)
+    for t, row, n in zip(texts, got, size):
+        padded = f"   {t} "
+        windows = [padded[i: i + 4] for i in range(len(padded) - 3)]
+        assert n == len(windows)
+        for lang, e in zip(langs, row):
+            want = -sum(np.log(p(lang, w)) for w in windows) / n
+            assert e == pytest.approx(want, abs=1e-4)
+    # what may follow a context has probabilities that add up to 1 (one is left for the unknown)
+    letters = sorted({c for _, g in counts for c in g})
+    for lang in langs:
+        for context in ("   ", "the", "er ", "fuc", "xyz"):
+            total = sum(p(lang, context + c) for c in letters)
+            assert total < 1 and total + p(lang, context + "\u0416") == pytest.approx(1)
+
+
+def test_a_model_in_tables_gives_the_same_result(spark):
+    rows = _texts("en", range(90), 12) + _texts("de", range(1000, 1090), 9)
+    rows += [(5000, None, None), (5001, "", "en"), (5002, "123", "de"), (None, "the fox", None),
+             (5003, "\u0416\u0416 \u0416", None), (5004, "the lazy der faule " * 300, None),
+             (5005, "quick", None), (5005, "quick", None)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    dense, tables = langid.train(docs), langid.train(docs, dense_cells=10)
+    assert isinstance(tables, langid.TableModel) and tables.languages == dense.languages
+    assert tables.sharpness == dense.sharpness
+    assert tables.limit == pytest.approx(dense.limit, abs=2 / langid.BINS)
+    a, b = (sorted(langid.identify(docs, m).collect(), key=lambda r: (str(r.doc_id), r.score))
+            for m in (dense, tables))
+    assert len(a) == len(b) == len(rows)
+    for x, y in zip(a, b):
+        assert (x.doc_id, x.held_out, x.lang_pred, x.accepted) == \
+            (y.doc_id, y.held_out, y.lang_pred, y.accepted)
+        assert x.score == pytest.approx(y.score, abs=1e-3)
+
+
+def test_many_languages_stay_off_the_driver(spark):
+    """200 languages: the model's n-grams times its languages are beyond the limit."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    own = {f"l{i:03d}": ["".join(rng.choice(letters, 6)) for _ in range(12)] for i in range(200)}
+    rows = [(i, " ".join(rng.choice(own[f"l{i % 200:03d}"], 10)), f"l{i % 200:03d}")
+            for i in range(1200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    model = langid.train(docs, dense_cells=1_000_000)
+    assert isinstance(model, langid.TableModel) and len(model.languages) == 200
+    got = langid.identify(docs, model).collect()
+    right = {i: x for i, _, x in rows}
+    held = [r for r in got if r.held_out]
+    assert len(got) == 1200
+    assert sum(r.lang_pred == right[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
 def test_counts_handed_on_often(monkeypatch):

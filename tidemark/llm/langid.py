@@ -2,9 +2,7 @@
 
 Per language a model of order ``ORDER`` is estimated from the whole texts of all
 labelled documents outside the held-out fold. Counts of the highest order are
-summed by Spark; the model keeps the ``MODEL_GRAMS`` most frequent n-grams, an
-equal share for each language. Lower
-orders count distinct left neighbours (Kneser-Ney), each order has its own
+summed by Spark, and the model keeps every n-gram. Lower orders count distinct left neighbours (Kneser-Ney), each order has its own
 discount, and the interpolated log-probabilities and backoff weights of all
 languages are stored beside sorted arrays of n-gram hashes. A text position is
 found by binary search; where no language knows the n-gram, its context's
@@ -16,13 +14,16 @@ language's rejection limit is a high quantile of the cross-entropy of its own
 texts: a text above it is still assigned, but flagged not ``accepted``.
 
 Texts are lower-cased; everything but letters counts as one space. Scoring is
-one pass over whole texts without a shuffle.
+one pass over whole texts without a shuffle while the model's n-grams times its
+languages are at most ``DENSE_CELLS``, so that the broadcast is bounded; a larger
+model stays in tables and scores by joins (``langid_tables``), with equal results.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0;
 equal cross-entropies take the language that sorts first; without any labelled
 document every text is ``und``; a language of fewer than ``CALIBRATE_OF`` rows,
 or of one doc_id, may have no calibration row, and then rejects nothing; repeated
-rows are counted and scored one by one and other columns are not read.
+rows are counted and scored one by one and other columns are not read; a null
+doc_id's fold is that of the text "None", and it is never learned from.
 """
 
 from __future__ import annotations
@@ -36,9 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import U64, crc32_mod, crc32_text, mix, slices, written
+from tidemark.llm.langid_tables import (TableModel, cut_windows, entropies, estimate_tables, losses,
+                                        predictions)
 
 ORDER = 4
-MODEL_GRAMS = 1_000_000   # n-grams of the highest order that the model keeps, all languages
+DENSE_CELLS = 4_000_000   # n-grams x languages up to which the model is broadcast
 TASK_GRAMS = 1 << 20      # and that a task holds while it counts
 CALIBRATE_OF = 6          # one learnable document in so many is kept out of the counts
 REJECT_QUANTILE = 0.995
@@ -291,49 +294,35 @@ def _count(batches):
     yield from out()
 
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """``counts`` with each language's share of ``most`` n-grams: the most
-    frequent ones by the power of two of their count, then by hash."""
-    rows = counts.withColumn("_power", F.floor(F.log2("n")).cast("int")) \
-        .withColumn("_bucket", F.pmod(F.xxhash64("gram"), F.lit(256)).cast("int"))
-    # at most 64 x 256 rows per language
-    sizes = rows.groupBy("lang", "_power", "_bucket").agg(F.count(F.lit(1)).alias("k")).collect()
-    of: dict[str, list] = {}
-    for r in sizes:
-        of.setdefault(r["lang"], []).append((-r["_power"], r["_bucket"], r["k"]))
-    cuts = []
-    for lang, groups in of.items():
-        room = most // len(of)
-        for k, (power, bucket, size) in enumerate(sorted(groups)):
-            room -= size
-            if room < 0 and k:
-                cuts.append((lang, -power, bucket))  # the first group that is left out
-                break
-    if not cuts:
-        return counts
-    cut = counts.sparkSession.createDataFrame(cuts, "lang string, _p int, _b int")
-    before = (F.col("_power") > F.col("_p")) | ((F.col("_power") == F.col("_p"))
-                                                & (F.col("_bucket") < F.col("_b")))
-    return (rows.join(F.broadcast(cut), "lang", "left")
-            .where(F.col("_p").isNull() | before).select(*counts.columns))
-
-
-def train(docs: DataFrame, model_grams: int = MODEL_GRAMS) -> Model:
+def train(docs: DataFrame, dense_cells: int = DENSE_CELLS) -> Model | TableModel:
     """A model from all labelled documents outside the held-out fold."""
     texts = learnable(docs)
     counts = written(texts.where("NOT _calibrate").select("text", "_lang")
                      .mapInArrow(_count, "lang string, gram string, n long")
                      .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid")
-    counts = frequent(counts, model_grams).toPandas().sort_values(["lang", "gram"])
-    languages = sorted(set(counts["lang"]))
-    if not languages:
+    held_back = texts.where("_calibrate").select("text", F.col("_lang").alias("lang"))
+    size = counts.agg(F.count_distinct("lang").alias("langs"),
+                      F.count(F.lit(1)).alias("rows")).first()
+    if not size["rows"]:
         return Model([], [], 0.0)
+    if size["rows"] * size["langs"] > dense_cells:
+        model = estimate_tables(counts, ORDER)
+        none = F.lit(None).cast("long").alias("doc_id")
+        found = entropies(model, held_back.select("text", none, "lang"), CUT)
+        _fit(model, losses(found, model.languages, SHARPNESS, BINS, LOSS_UNIT))
+        return model
+    counts = counts.toPandas().sort_values(["lang", "gram"])
+    languages = sorted(set(counts["lang"]))
     grams = np.frombuffer("".join(counts["gram"]).encode("utf-32-le", "surrogatepass"),
                           "<u4").reshape(-1, ORDER)
     number = {x: i for i, x in enumerate(languages)}
     model = estimate(languages, counts["lang"].map(number).to_numpy(np.int64), grams,
                      counts["n"].to_numpy())
-    _calibrate(model, texts.where("_calibrate").select("text", "_lang"))
+    names = [f"loss{k}" for k in range(len(SHARPNESS))]
+    _fit(model, held_back.mapInArrow(_losses(model), "lang string, bin long, "
+                                     + ", ".join(f"{x} long" for x in names))
+         .groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("rows"),
+                                     *[F.sum(x).alias(x) for x in names]))
     return model
 
 
@@ -365,14 +354,11 @@ def _losses(model: Model):
     return run
 
 
-def _calibrate(model: Model, texts: DataFrame) -> None:
+def _fit(model: Model | TableModel, sums: DataFrame) -> None:
     """Fit the score's sharpness and the rejection limits on the texts that were
     not counted. A row per language and 1/BINS nat comes to the driver."""
     names = [f"loss{k}" for k in range(len(SHARPNESS))]
-    rows = (texts.mapInArrow(_losses(model), "lang string, bin long, "
-                             + ", ".join(f"{x} long" for x in names))
-            .groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("rows"),
-                                        *[F.sum(x).alias(x) for x in names]).collect())
+    rows = sums.collect()
     if not rows:
         return
     best = np.inf
@@ -407,12 +393,19 @@ def _predict(model):
     return run
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+CUT = cut_windows(ORDER, characters, hashes, (HELD_OUT_OF, HELD_OUT))
+
+
+def identify(docs: DataFrame, model: Model | TableModel) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_GRAMS
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(_predict(shared), SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if isinstance(model, TableModel):
+        none = F.lit(None).cast("string").alias("lang")
+        return predictions(model, entropies(model, rows.select("text", "doc_id", none), CUT),
+                           UNKNOWN)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by DENSE_CELLS
+    return rows.mapInArrow(_predict(shared), SCHEMA)
 
 
-def identify_languages(docs: DataFrame, model_grams: int = MODEL_GRAMS) -> DataFrame:
-    return identify(docs, train(docs, model_grams))
+def identify_languages(docs: DataFrame, dense_cells: int = DENSE_CELLS) -> DataFrame:
+    return identify(docs, train(docs, dense_cells))
