@@ -169,6 +169,12 @@ class LibraryWords:
         return ids, np.diff(total)
 
 
+def id_type(path: str, end_id: int) -> str:
+    """Raw ids are kept in two bytes where the file's ids fit, else in four."""
+    most = max(library_words(path).library.get_vocab(with_added_tokens=True).values(), default=0)
+    return "<u2" if max(most, end_id) < 1 << 16 else "<u4"
+
+
 @functools.lru_cache(maxsize=2)
 def library_words(path: str) -> LibraryWords:
     return LibraryWords(path)
@@ -261,7 +267,7 @@ class Ranges:
         return self.first[i] + np.minimum(deep, self.width[i] - 1)
 
 
-def _tokenised(path: str, end_id: int, shared):
+def _tokenised(path: str, end_id: int, dtype: str, shared):
     """(part, doc_id, mark, ids): each text's ids with the end id."""
     def run(batches):
         words, placed = library_words(path), shared.value
@@ -270,11 +276,11 @@ def _tokenised(path: str, end_id: int, shared):
                 rows = batch.slice(lo, hi - lo)
                 ids, size = words.encode(*flat(rows.column(1)))
                 ends = np.cumsum(size + 1)
-                out = np.full(ends[-1], end_id, "<u4")
+                out = np.full(ends[-1], end_id, dtype)
                 inside = np.ones(len(out), bool)
                 inside[ends - 1] = False
                 out[inside] = ids
-                offsets = np.concatenate([[0], 4 * ends]).astype(np.int64)
+                offsets = np.concatenate([[0], out.itemsize * ends]).astype(np.int64)
                 blobs = pa.Array.from_buffers(pa.large_binary(), len(rows), [
                     None, pa.py_buffer(offsets), pa.py_buffer(out)]).cast(pa.binary())
                 doc_ids = rows.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
@@ -285,7 +291,11 @@ def _tokenised(path: str, end_id: int, shared):
     return run
 
 
-def _raw_blocks(batches):
+def _raw_blocks(width: int):
+    return functools.partial(_blocks_of, width)
+
+
+def _blocks_of(width: int, batches):
     """Blocks of the rows of a part, which come in order."""
     docs, sizes, ids = [], [], []
     part = block = before = held = 0
@@ -299,7 +309,7 @@ def _raw_blocks(batches):
 
     for batch in batches:
         for own, doc_id, blob in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
-            n = len(blob) // 4
+            n = len(blob) // width
             if held and (own != part or held + n > BLOCK_TOKENS):
                 yield out()
                 block, before = (block + 1, before + held) if own == part else (0, 0)
@@ -313,24 +323,27 @@ def _raw_blocks(batches):
         yield out()
 
 
-def _counts(batches):
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for blob in batch.column(0):
-            n = np.bincount(np.frombuffer(blob.as_buffer(), "<u4"))
-            if len(n) > len(total):
-                total = np.pad(total, (0, len(n) - len(total)))
-            total[: len(n)] += n
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+def _counts(dtype: str):
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for blob in batch.column(0):
+                n = np.bincount(np.frombuffer(blob.as_buffer(), dtype))
+                if len(n) > len(total):
+                    total = np.pad(total, (0, len(n) - len(total)))
+                total[: len(n)] += n
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])],
+                                         names=["id", "n"])
+    return run
 
 
-def _to_images(rank_of: np.ndarray):
+def _to_images(rank_of: np.ndarray, dtype: str):
     def run(batches):
         for batch in batches:
             head = [batch.column(i) for i in range(4)]
             for i in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(6)[i].as_buffer(), "<u4")
+                ids = np.frombuffer(batch.column(6)[i].as_buffer(), dtype)
                 raw = image(batch.column(4)[i].as_py(), np.array(batch.column(5)[i].as_py()),
                             rank_of[ids])
                 yield pa.RecordBatch.from_arrays(
@@ -345,17 +358,17 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     placed = Ranges(docs, block_count(docs, PART_CHARS, shuffle_partitions(spark)))
     mark = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 1)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", mark.alias("mark"))
-    shared = spark.sparkContext.broadcast(placed)
-    ordered = (rows.mapInArrow(_tokenised(tokenizer, end_id, shared),
+    shared, dtype = spark.sparkContext.broadcast(placed), id_type(tokenizer, end_id)
+    ordered = (rows.mapInArrow(_tokenised(tokenizer, end_id, dtype, shared),
                                "part int, doc_id long, mark long, ids binary")
                .repartitionById(placed.parts, "part")
                .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "mark"))
     raw_path = f"{folder}/raw"
     with shuffles_removed(spark):
-        ordered.mapInArrow(_raw_blocks, RAW) \
+        ordered.mapInArrow(_raw_blocks(np.dtype(dtype).itemsize), RAW) \
             .write.option("compression", "zstd").parquet(raw_path)
     raw = spark.read.schema(RAW).parquet(raw_path)
-    counts = (raw.select("ids").mapInArrow(_counts, "id long, n long")
+    counts = (raw.select("ids").mapInArrow(_counts(dtype), "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")))
     # one row per id in use: at most the tokenizer's vocabulary
     by_rank = [r["id"] for r in sorted(counts.collect(), key=lambda r: (-r["n"], r["id"]))]
@@ -363,7 +376,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     rank_of[by_rank] = np.arange(len(by_rank))
     spark.createDataFrame(list(enumerate(by_rank)), "rank long, id long") \
         .coalesce(1).write.parquet(f"{folder}/ranks")
-    raw.mapInArrow(_to_images(rank_of), FILE) \
+    raw.mapInArrow(_to_images(rank_of, dtype), FILE) \
         .write.option("compression", "none").parquet(f"{folder}/files")
     return folder
 
