@@ -4,9 +4,9 @@ Features are sparse: hashes of lower-cased words and of their four- and five-byt
 beginnings, with the logarithm of their count. A bounded sample of labelled rows
 (``SAMPLE_ROWS``) trains on the driver:
 
-* features whose rows are surely toxic more often than not are selected (at
-  most ``FEATURES``), and get no negative weight: what is usual in clean texts
-  cannot make up for what is not;
+* all features whose rows are surely toxic more often than not are selected (as
+  many as the sample has), and get no negative weight: what is usual in clean
+  texts cannot make up for what is not;
 * severity grades come from the labels and the texts: 0 for a clean row, 1 to 3
   for a toxic one by the tercile of its amount of wording that is clearly tied
   to the toxic class (sum of log counts);
@@ -20,7 +20,8 @@ texts without a shuffle; only the selected features and weights travel.
 
 Defined results: a null or empty text has no features and the severity of the
 thresholds alone; without labelled rows of both classes nothing is toxic
-(severity 0); rows of a repeated doc_id are scored one by one; other columns are
+(severity 0); rows of a repeated doc_id are scored one by one; a null doc_id's
+fold is that of the text "None", and it is never learned from; other columns are
 not read.
 """
 
@@ -38,7 +39,6 @@ from tidemark.llm.common import (LOWER_ASCII, U64, ByteHashes, Words, byte_class
 from tidemark.llm.labelled import sample, with_text
 
 SAMPLE_ROWS = 8_000
-FEATURES = 4_096
 GRADES = 4
 HELD_OUT_OF = 5
 TOXIC = 0.5           # P(grade > 0) from which a document counts as toxic
@@ -105,15 +105,13 @@ class Ordinal:
 
 def _selected(row: np.ndarray, code: np.ndarray, toxic: np.ndarray):
     """Codes whose rows are surely toxic more often than not (the lower bound
-    of Wilson's interval), the surest ``FEATURES`` of them, and those clearly
-    tied to the toxic class."""
+    of Wilson's interval), and those clearly tied to the toxic class."""
     codes, index, rows = np.unique(code, return_inverse=True, return_counts=True)
     share = np.bincount(index, toxic[row], len(codes)) / rows
     wide = SURE * SURE / rows
     sure = (share + wide / 2 - SURE * np.sqrt(share * (1 - share) / rows + wide / rows / 4)) \
         / (1 + wide)
-    best = np.sort(np.argsort(-sure, kind="stable")[:FEATURES])
-    best = best[sure[best] >= 0.5]
+    best = np.flatnonzero(sure >= 0.5)
     return codes[best], codes[best[share[best] >= TIED]]
 
 
@@ -140,6 +138,31 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Ordinal:
     return Ordinal(codes, weights, theta)
 
 
+def _thresholds(cut: np.ndarray) -> np.ndarray:
+    """Thresholds from the first one and the logarithms of the gaps."""
+    return cut[0] + np.concatenate([[0], np.cumsum(np.exp(cut[1:]))])
+
+
+def _slopes(r, f, v, grade, n, k, w, cut) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the mean penalised log-likelihood by the weights and by ``cut``."""
+    m = GRADES - 1
+    gaps, theta = np.exp(cut[1:]), _thresholds(cut)
+    z = np.bincount(r, v * w[f], n)
+    above = 1 / (1 + np.exp(-np.clip(z[:, None] - theta[None, :], -30, 30)))
+    # P(grade) = P(> grade - 1) - P(> grade); its log-likelihood's slopes
+    edges = np.concatenate([np.ones((n, 1)), above, np.zeros((n, 1))], 1)
+    p = np.maximum(edges[np.arange(n), grade] - edges[np.arange(n), grade + 1], 1e-9)
+    slope = above * (1 - above) / p[:, None]
+    sign = np.zeros((n, m))
+    lower, upper = grade > 0, grade < m
+    sign[lower, grade[lower] - 1] = 1
+    sign[upper, grade[upper]] -= 1
+    d = slope * sign / n                       # dL / d(z - theta_k)
+    gw = np.bincount(f, v * d.sum(1)[r], k) - L2 * w / n
+    gt = -d.sum(0)
+    return gw, np.concatenate([[gt.sum()], gaps * np.cumsum(gt[::-1])[::-1][1:]])
+
+
 def _descend(r, f, v, grade, n, k) -> tuple[np.ndarray, np.ndarray]:
     """Adam on the cumulative-link likelihood; parameters are the weights, the
     first threshold and the logarithms of the gaps."""
@@ -147,30 +170,14 @@ def _descend(r, f, v, grade, n, k) -> tuple[np.ndarray, np.ndarray]:
     w, cut = np.zeros(k), np.concatenate([[2.0], np.zeros(m - 1)])
     moments = [np.zeros(k), np.zeros(k), np.zeros(m), np.zeros(m)]
     for step in range(1, STEPS + 1):
-        gaps = np.exp(cut[1:])
-        theta = cut[0] + np.concatenate([[0], np.cumsum(gaps)])
-        z = np.bincount(r, v * w[f], n)
-        above = 1 / (1 + np.exp(-np.clip(z[:, None] - theta[None, :], -30, 30)))
-        # P(grade) = P(> grade - 1) - P(> grade); its log-likelihood's slopes
-        edges = np.concatenate([np.ones((n, 1)), above, np.zeros((n, 1))], 1)
-        p = np.maximum(edges[np.arange(n), grade] - edges[np.arange(n), grade + 1], 1e-9)
-        slope = above * (1 - above) / p[:, None]
-        sign = np.zeros((n, m))
-        lower, upper = grade > 0, grade < m
-        sign[lower, grade[lower] - 1] = 1
-        sign[upper, grade[upper]] -= 1
-        d = slope * sign / n                       # dL / d(z - theta_k)
-        gw = np.bincount(f, v * d.sum(1)[r], k) - L2 * w / n
-        gt = -d.sum(0)
-        gc = np.concatenate([[gt.sum()], gaps * np.cumsum(gt[::-1])[::-1][1:]])
+        gw, gc = _slopes(r, f, v, grade, n, k, w, cut)
         for param, grad, i, rate in ((w, gw, 0, 0.1), (cut, gc, 2, 0.05)):
             moments[i] = 0.9 * moments[i] + 0.1 * grad
             moments[i + 1] = 0.99 * moments[i + 1] + 0.01 * grad * grad
             param += rate * moments[i] / (1 - 0.9**step) / (
                 np.sqrt(moments[i + 1] / (1 - 0.99**step)) + 1e-8)
         np.maximum(w, 0, out=w)
-    theta = cut[0] + np.concatenate([[0], np.cumsum(np.exp(cut[1:]))])
-    return w, theta
+    return w, _thresholds(cut)
 
 
 # --------------------------------------------------------------------------- Spark
@@ -225,7 +232,7 @@ def _score(model):
 
 def score(docs: DataFrame, model: Ordinal) -> DataFrame:
     """Expected severity, grade and toxicity of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(_score(shared), SCHEMA)
 
