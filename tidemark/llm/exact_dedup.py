@@ -221,21 +221,22 @@ def deduplicated(docs: DataFrame, table_bytes: int = TABLE_BYTES,
     A doc_id on one row only is decided by a join on doc_id. Rows that share a
     doc_id are told apart by their digest and thinned to one row per text.
     """
-    columns = docs.columns
     rows = written(exact_duplicates(docs, table_bytes, block_bytes), "exact-rows")
     ids = (rows.groupBy(F.col("doc_id").alias("_kept_id"))
            .agg(F.count(F.lit(1)).alias("_rows"), F.max("kept").alias("_kept"))
            .where("_kept"))
-    joined = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-    once = joined.where("_rows = 1").select(*columns)
+    # all columns in one, so that none has the name of a helper
+    whole = docs.select(F.col("doc_id").alias("_id"), F.struct("*").alias("_row"))
+    joined = whole.join(ids, F.col("_id").eqNullSafe(F.col("_kept_id")))
+    once = joined.where("_rows = 1").select("_row.*")
     if ids.where("_rows > 1").isEmpty():
         return once
-    digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase,
+    digest = F.sha2(F.translate(F.coalesce("_row.text", F.lit("")), string.ascii_uppercase,
                                 string.ascii_lowercase).cast("binary"), 256)
     kept = rows.where("kept").select(F.col("doc_id").alias("_same_id"),
                                      F.col("text_sha256").alias("_same_text")).distinct()
     repeated = (joined.where("_rows > 1").withColumn("_text", digest)
-                .join(kept, F.col("doc_id").eqNullSafe(F.col("_same_id"))
+                .join(kept, F.col("_id").eqNullSafe(F.col("_same_id"))
                       & (F.col("_text") == F.col("_same_text")), "left_semi")
-                .dropDuplicates(["doc_id", "_text"]))
-    return once.unionByName(repeated.select(*columns))
+                .dropDuplicates(["_id", "_text"]))
+    return once.unionByName(repeated.select("_row.*"))

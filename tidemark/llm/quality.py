@@ -12,7 +12,8 @@ flat arrays travel to the tasks.
 Defined results: a null or empty text has all statistics zero and is scored like
 any other; without labelled rows every score is the prior 0.5; rows of a
 repeated doc_id are scored one by one, and a label repeated for a doc_id counts
-as often as it is given; other columns pass through ``accepted`` unread.
+once; a null doc_id's fold is that of the text "None", and it is never learned
+from; other columns pass through ``accepted`` unread.
 """
 
 from __future__ import annotations

@@ -410,19 +410,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
-    """``docs`` with the fingerprint as column ``_tm_fp``."""
-    at = docs.columns.index("text")
-
+def _with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows`` of (_id, _text, _row) with the text's fingerprint as ``_own_fp``
+    in the text's place."""
     def run(batches):
         for batch in batches:
-            data, offsets = flat(batch.column(at))
+            data, offsets = flat(batch.column(1))
             raw, ends = data.tobytes().lower(), offsets.tolist()
             fp = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(ends, ends[1:])], U64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))],
-                                             names=[*batch.schema.names, "_tm_fp"])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields,
-                                              T.StructField("_tm_fp", T.LongType())]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fp.view(np.int64)), batch.column(2)],
+                names=["_id", "_own_fp", "_row"])
+    return rows.select("_id", "_text", "_row").mapInArrow(run, T.StructType([
+        rows.schema["_id"], T.StructField("_own_fp", T.LongType()), rows.schema["_row"]]))
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE,
@@ -442,16 +442,16 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE,
     ids = (members.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")))
     kept = written(kept.join(ids.hint("merge"), F.col("_kept_id").eqNullSafe(F.col("_id")))
                    .select("_kept_id", "_fp", "_rows"), "simhash-kept-rows")
-    columns = docs.columns
-    once = docs.join(kept.where("_rows = 1"), F.col("doc_id").eqNullSafe(F.col("_kept_id"))) \
-        .select(*columns)
+    # all columns in one, so that none has the name of a helper
+    whole = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
+                        F.struct("*").alias("_row"))
+    same = F.col("_id").eqNullSafe(F.col("_kept_id"))
+    once = whole.join(kept.where("_rows = 1"), same).select("_row.*")
     shared = kept.where("_rows > 1")
     if shared.isEmpty():
         return once
-    rows = docs.join(shared.select("_kept_id").distinct(),
-                     F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    rows = whole.join(shared.select("_kept_id").distinct(), same, "left_semi")
     repeated = (_with_fingerprint(rows, shingle)
-                .join(shared, F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-                      & (F.col("_tm_fp") == F.col("_fp")), "left_semi")
-                .dropDuplicates(["doc_id", "_tm_fp"]))
-    return once.unionByName(repeated.select(*columns))
+                .join(shared, same & (F.col("_own_fp") == F.col("_fp")), "left_semi")
+                .dropDuplicates(["_id", "_own_fp"]))
+    return once.unionByName(repeated.select("_row.*"))
