@@ -78,6 +78,19 @@ def test_schema_drift(spark):
     assert rows[("raw.events", "event_id")] == "ok"
 
 
+def test_drift_names_the_file(spark, scratch):
+    rows = fx.products(spark, [{"product_id": "P1"}]).coalesce(1)
+    path = os.path.join(scratch, "products")
+    write_csv(rows, os.path.join(path, "a"))
+    write_csv(rows.withColumnRenamed("vendor", 'odd, "name"').drop("category"),
+              os.path.join(path, "b"))
+    found = Q.dq_file_drift(spark, {"products": os.path.join(path, "*")}).collect()
+    odd = {(r.file.rsplit("/", 2)[1], r.column_name, r.status) for r in found if r.status != "ok"}
+    assert odd == {("b", 'odd, "name"', "added"), ("b", "vendor", "missing"),
+                   ("b", "category", "missing")}
+    assert {r.file.rsplit("/", 2)[1] for r in found} == {"a", "b"}
+
+
 def test_layer_names_and_roundtrip(spark, scratch):
     assert layer_name(" gold ", "x") == "gold" and layer_name(None, "silver") == "silver"
     layout = Layout(spark, scratch)

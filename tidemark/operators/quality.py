@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.cleaning import unparsable_sql
+from tidemark.operators.staging import TYPES
 from tidemark.schemas import RAW_COLUMNS
 
 # ---------------------------------------------------------------------------
@@ -116,6 +118,60 @@ def dq_schema_drift(tables: dict[str, DataFrame], declared=None) -> DataFrame:
     return _union(frames)
 
 
+def dq_castability(raw: dict[str, DataFrame]) -> DataFrame:
+    """Per typed raw column the rows with text and those whose text cannot be
+    cast: (model, column_name, wanted_type, filled_rows, unparsable_rows), from
+    one aggregate pass per table."""
+    frames = []
+    for name, types in TYPES.items():
+        counts = raw[name].selectExpr(*[x for c, t in types.items() for x in (
+            f"count(nullif(trim(`{c}`), '')) AS `{c}`",
+            f"count_if({unparsable_sql(c, t)}) AS `bad {c}`")])
+        cells = ", ".join(f"'{c}', '{t}', `{c}`, `bad {c}`" for c, t in types.items())
+        frames.append(counts.selectExpr(
+            f"stack({len(types)}, {cells}) AS "
+            "(column_name, wanted_type, filled_rows, unparsable_rows)")
+            .select(F.lit(f"raw.{name}").alias("model"), "*"))
+    return _union(frames)
+
+
+# a comma outside of quoted cells
+_CELL_END = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, columns): the header of each CSV file under a path. The first
+    lines are picked on the executors, from the blocks that files begin with."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start",
+                                         F.monotonically_increasing_id().alias("at"))
+    first = (lines.where("file_block_start = 0").groupBy(F.col("file_path").alias("file"))
+             .agg(F.min_by("value", "at").alias("header")))
+    cells = F.split(F.rtrim("header"), _CELL_END)
+    return first.select("file", F.transform(cells, lambda c: F.regexp_replace(
+        F.regexp_replace(c, '^"|"$', ""), '""', '"')).alias("columns"))
+
+
+def _marked(columns: Column, status: str) -> Column:
+    return F.transform(columns, lambda c: F.struct(c.alias("column_name"),
+                                                   F.lit(status).alias("status")))
+
+
+def dq_file_drift(spark: SparkSession, paths: dict[str, str], declared=None) -> DataFrame:
+    """Declared versus found columns of every CSV file: (model, file,
+    column_name, status), 'ok', 'added' or 'missing'. A folder may hold files of
+    different headers; each is named with its path."""
+    frames = []
+    for name, path in paths.items():
+        cols = F.array(*[F.lit(c) for c in (declared or RAW_COLUMNS)[name]])
+        found = F.col("columns")
+        pairs = F.concat(_marked(F.array_intersect(cols, found), "ok"),
+                         _marked(F.array_except(found, cols), "added"),
+                         _marked(F.array_except(cols, found), "missing"))
+        frames.append(file_headers(spark, path).select(
+            F.lit(f"raw.{name}").alias("model"), "file", F.inline(pairs)))
+    return _union(frames)
+
+
 def dq_orphans(events: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Events whose (non-null) customer_id / product_id is not in its
     dimension: number of distinct orphan keys and of events carrying them.

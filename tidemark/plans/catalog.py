@@ -247,6 +247,21 @@ def badly_typed_events(events: DataFrame) -> DataFrame:
         "latitude": F.when(q == "40", "1234567.0").otherwise(F.col("latitude"))})
 
 
+def q_dq_file_drift(m: Models) -> DataFrame:
+    """S5 by file: each raw table lands as CSV in two folders, the second products
+    folder with ``maker`` for ``vendor``; the files' folders and their columns."""
+    spark = m.raw["products"].sparkSession
+    root = _new_layout(spark, "landed").root
+    for name, df in m.raw.items():
+        for batch in ("first", "second"):
+            changed = name == "products" and batch == "second"
+            rows = df.withColumnRenamed("vendor", "maker") if changed else df
+            write_csv(rows, os.path.join(root, name, batch))
+    found = Q.dq_file_drift(spark, {n: os.path.join(root, n, "*") for n in m.raw})
+    folder = F.element_at(F.split("file", "/"), -2).alias("folder")
+    return found.select("model", folder, "column_name", "status").distinct()
+
+
 def q_dq_rejects(m: Models) -> DataFrame:
     """the cells that a lenient build turns into null."""
     return rejects({**m.raw, "events": badly_typed_events(m.raw["events"])})
@@ -276,7 +291,7 @@ def _bitmaps(m: Models) -> DataFrame:
 # Queries that write files while being built (timed by the full build in the bench).
 WRITING = ("src_events_csv", "stream_ingest_events", "sink_roundtrip", "dq_schema_drift_csv",
            "src_products_csv", "src_customers_csv", "gold_by_name", "silver_views",
-           "report_order", "dq_violations", "inc_customer_orders")
+           "report_order", "dq_violations", "dq_file_drift", "inc_customer_orders")
 
 OVER_MODELS: dict[str, ModelQuery] = {
     "src_events": _raw_query("events"),
@@ -308,6 +323,9 @@ OVER_MODELS: dict[str, ModelQuery] = {
     "dq_orphans": lambda m: Q.dq_orphans(m.stg_events, m.stg_products, m.stg_customers),
     "dq_violations": q_dq_violations,
     "dq_rejects": q_dq_rejects,
+    "dq_file_drift": q_dq_file_drift,
+    "dq_castability": lambda m: Q.dq_castability(
+        {**m.raw, "events": badly_typed_events(m.raw["events"])}),
     # typed events of the same raw rows, with nulls for what was rejected
     "stg_events_lenient": lambda m: stg_events(badly_typed_events(m.raw["events"]), lenient=True),
     "sink_roundtrip": q_sink_roundtrip,
