@@ -78,7 +78,7 @@ class LibraryWords:
     steps = ["NFC", "Replace", "Lowercase"]
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
     # ---
-    shape = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,!#$%&*]*)")
+    shape = re.compile(rb"^((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,!#$%&*]*)$|^(.+)$", re.M)
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -94,7 +94,7 @@ class LibraryWords:
         steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.by_shape = self.by_word and steps == self.steps \
             and split.get("pattern", {}).get("Regex") == self.pattern
-        self.symbols = dict(enumerate(byte_symbols()))
+        self.symbols = {b: x for b, x in enumerate(byte_symbols()) if b != 10}
         self.parts: dict[bytes, list[int]] = {}
         self.clear()
 
@@ -106,25 +106,26 @@ class LibraryWords:
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
-    def _part(self, part: bytes) -> list[int]:
-        got = self.parts.get(part)
-        if got is None:
-            tokens = self.model.tokenize(part.decode("latin-1").translate(self.symbols))
-            got = self.parts[part] = [t.id for t in tokens]
-        return got
-
-    def word(self, word: bytes) -> list[int]:
-        m = self.shape.fullmatch(word.lower()) if self.by_shape else None
-        if not m:
-            return self.whole(word)
-        return self._part(m[1]) + self._part(m[2]) if m[2] else self._part(m[1])
+    def of_words(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word; the words go through each step together."""
+        if not self.by_shape:
+            return [self.whole(w) for w in words]
+        cut = self.shape.findall(b"\n".join(words).lower())  # no word has a line feed
+        parts = self.parts
+        new = list({p for m in cut for p in m[:2] if p and p not in parts})
+        if new:
+            text = b"\n".join(new).decode("latin-1").translate(self.symbols)
+            for part, tokens in zip(new, map(self.model.tokenize, text.split("\n"))):
+                parts[part] = [t.id for t in tokens]
+        return [self.whole(w) if other else parts[a] + parts[b] if b else parts[a]
+                for (a, b, other), w in zip(cut, words)]
 
     def whole(self, text: bytes) -> list[int]:
         return self.library.encode(text.decode(), add_special_tokens=False).ids
 
     def _learn(self, codes: np.ndarray, checks: np.ndarray, words: list[bytes]) -> None:
         """Add words by their hashes, which are sorted and not known."""
-        ids = [self.word(w) for w in words]
+        ids = self.of_words(words)
         size = np.fromiter(map(len, ids), np.int32, len(ids))
         more = int(size.sum())
         if self.used + more > len(self.pool):
