@@ -15,11 +15,20 @@ Before the automaton, numpy keeps only runs of words whose neighbours are
 neighbours in some item (hashes; no run with a window can be lost), so the
 per-word loop sees little of a clean text. The loop itself compares words.
 
-The automaton is built from at most about ``SHARD_CHARS`` of items, so what is
-sent to the tasks is bounded: the distinct items of a larger benchmark are cut into
-shards by a hash of the item, each shard is one pass over the documents, and the passes' findings
-are joined row by row as the documents flow through, with the rows written in
-between. Documents are never shuffled.
+An automaton is built from at most about ``SHARD_CHARS`` of items, so its size is
+bounded. A benchmark of that size is one automaton, broadcast, and one pass over
+the documents. The distinct items of a larger one are cut into shards by a hash:
+
+1. the words and neighbours of all items are marked in one bitmap of at most
+   ``FILTER_BITS`` bits, and one pass over the documents emits the runs that may
+   hold a window, by the digest of their text (a fuller bitmap lets more runs
+   through, never fewer);
+2. a run is sent to the shards that have one of its windows, by a join on window
+   hashes, and streamed through the shard's automaton, which compares words;
+   a shard that very many runs meet is repeated over several tasks;
+3. the spans and items per text are joined back to the documents.
+
+So the documents are read twice and never written, whatever the number of shards.
 
 Defined results: a null or empty text has no words and no hits; a null, empty or
 wordless item has no window; items that repeat an item_id count as one item, a
@@ -29,6 +38,7 @@ rows are judged one by one; other columns pass through ``cleaned`` unread.
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 
 import numpy as np
@@ -37,19 +47,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import (LOWER_ASCII, ByteHashes, Words, byte_class, flat, slices,
-                                 text_bytes, written)
+from tidemark.llm.common import (LOWER_ASCII, U64, ByteHashes, Words, byte_class, flat, mix,
+                                 rolling, shuffle_partitions, slices, text_bytes, word_hashes,
+                                 written)
 
 WINDOW = 10
 SHARD_CHARS = 1 << 20
+FILTER_BITS = 1 << 29   # bits that mark words and neighbours of a large benchmark
+SHARD_RUNS = 100_000    # runs that one task streams through a shard's automaton
 MAX_COVERAGE = 0.5  # of a document's words; above it ``cleaned`` drops the document
 
 WORD = byte_class([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
 
-FOUND = "_tm_found_spans"
-ITEMS = "_tm_found_items"
-
-
 def normalised(texts: pa.Array) -> Words:
     data, offsets = flat(texts)
     return Words(LOWER_ASCII[data], offsets, WORD)
@@ -220,58 +229,252 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 # --------------------------------------------------------------------------- Spark
 
-def automata(benchmark: DataFrame, window: int = WINDOW, shard_chars: int = SHARD_CHARS):
-    """The automaton of each shard of the distinct items; one shard's items are
-    on the driver at a time."""
+def _items(benchmark: DataFrame, shard_chars: int) -> tuple[DataFrame, int]:
+    """(item, text, shard) of the distinct items, and the number of shards."""
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                             F.coalesce("text", F.lit("")).alias("text")).distinct()
     shards = max(1, -(-text_bytes(rows) // shard_chars))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards)))
-    for shard in range(shards):
-        items = sorted((r["item"], r["text"])
-                       for r in rows.where(F.col("shard") == shard).collect())
-        yield Automaton([(i, item_words(text)) for i, text in items], window)
+    shard = F.pmod(F.xxhash64("item", "text"), F.lit(shards)).cast("int")
+    return rows.withColumn("shard", shard), shards
+
+
+def automaton_of(rows: list, window: int = WINDOW) -> Automaton:
+    items = sorted((r["item"], r["text"]) for r in rows)
+    return Automaton([(i, item_words(text)) for i, text in items], window)
+
+
+# ---- filter and routes of a large benchmark
+
+def _marks(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and of all words with their next (of the same text or not)."""
+    code, _ = word_hashes(words)
+    return mix(code), rolling(code, 2, 5)
+
+
+def _window_hashes(code: np.ndarray, size: int) -> np.ndarray:
+    return rolling(code, size, 100 + size).view(np.int64)
+
+
+def _filter_bits(bits: int):
+    """Bit numbers, from 1 on, of the words and neighbours of items."""
+    def run(batches):
+        for batch in batches:
+            for lo, hi in slices(batch.column(1)):
+                words = normalised(batch.column(1).slice(lo, hi - lo))
+                one, two = _marks(words)
+                inside = np.ones(max(len(one) - 1, 0), bool)
+                edge = words.first[1:-1]
+                inside[edge[(edge > 0) & (edge < len(one))] - 1] = False
+                at = np.unique(np.concatenate([one, two[inside]]) % U64(bits)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at + 1)], names=["bit"])
+    return run
+
+
+def _item_windows(window: int):
+    """(shard, size, hash) of every window of every item."""
+    def run(batches):
+        for batch in batches:
+            for text, shard in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                words = normalised(pa.array([text], pa.string()))
+                size = min(window, len(words.start))
+                if size:
+                    h = np.unique(_window_hashes(word_hashes(words)[0], size))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(h), shard, np.int32)),
+                         pa.array(np.full(len(h), size, np.int32)), pa.array(h)],
+                        names=["shard", "size", "hash"])
+    return run
 
 
+@dataclasses.dataclass(frozen=True)
+class Filter:
+    """Marks of all items' words and neighbours, and the sizes of their windows."""
+
+    marks: np.ndarray   # bits, packed
+    sizes: list[int]
+
+    def _has(self, h: np.ndarray) -> np.ndarray:
+        at = h % U64(8 * len(self.marks))
+        return (self.marks[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8)) & 1 > 0
+
+    def runs(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """First and last+1 word of runs of marked neighbours, of one text each
+        and as long as the smallest window."""
+        one, two = _marks(words)
+        known = self._has(one)
+        joined = known[:-1] & known[1:]
+        edge = words.first[1:-1]
+        joined[edge[(edge > 0) & (edge < len(one))] - 1] = False
+        at = np.flatnonzero(joined)
+        joined[at] = self._has(two[at])
+        starts = np.flatnonzero(known & ~np.concatenate([[False], joined])[:len(known)])
+        ends = np.flatnonzero(known & ~np.concatenate([joined, [False]])[:len(known)]) + 1
+        enough = ends - starts >= min(self.sizes)
+        return starts[enough], ends[enough]
+
+
+RUN = "key string, start int, words string, hashes array<long>"
+
+
+def _candidates(shared):
+    """(key, text) -> runs that may hold a window, with their windows' hashes."""
+    def run(batches):
+        marked = shared.value
+        for batch in batches:
+            for lo, hi in slices(batch.column(1)):
+                words = normalised(batch.column(1).slice(lo, hi - lo))
+                if not len(words.start):
+                    continue
+                starts, ends = marked.runs(words)
+                if not len(starts):
+                    continue
+                code, _ = word_hashes(words)
+                of = {n: _window_hashes(code, n) for n in marked.sizes}
+                docs = np.searchsorted(words.first, starts, side="right") - 1
+                raw = words.data.tobytes()
+                a, b = words.start.tolist(), words.end.tolist()
+                spans = list(zip(starts.tolist(), ends.tolist()))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(docs + lo)),
+                    pa.array((starts - words.first[docs]).astype(np.int32)),
+                    pa.array([b" ".join([raw[a[t]:b[t]] for t in range(x, y)]).decode()
+                              for x, y in spans], pa.string()),
+                    pa.array([np.unique(np.concatenate([h[x: max(x, y - n + 1)]
+                                                        for n, h in of.items()])).tolist()
+                              for x, y in spans], pa.list_(pa.int64()))],
+                    names=["key", "start", "words", "hashes"])
+    return run
+
+
+FOUND_IN = "key string, spans array<int>, items array<string>"
+
+
+def _streamed(window: int):
+    """Rows sorted by (shard, salt, kind): build a shard's automaton of its items
+    (kind 0) and stream its runs (kind 1) through it."""
+    def run(batches):
+        current, items, automaton = None, [], None
+        for batch in batches:
+            found = []
+            for shard, salt, kind, name, start, text in zip(
+                    *(batch.column(i).to_pylist() for i in range(6))):
+                if (shard, salt) != current:
+                    current, items, automaton = (shard, salt), [], None
+                if kind == 0:
+                    items.append((name, item_words(text)))
+                    continue
+                if automaton is None:
+                    automaton = Automaton(sorted(items), window)
+                spans, names = automaton.stream(text.encode().split(b" "))
+                if spans:
+                    found.append((name, [x + start for s in united(spans) for x in s],
+                                  sorted(names)))
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*found), (
+                        pa.string(), pa.list_(pa.int32()), pa.list_(pa.string())))],
+                    names=["key", "spans", "items"])
+    return run
+
+
+def _key(text: str):
+    return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+
+
+def large_findings(texts: DataFrame, items: DataFrame, shards: int, window: int,
+                   filter_bits: int = FILTER_BITS, shard_runs: int = SHARD_RUNS) -> DataFrame:
+    """(key, spans, items): per text digest with hits its spans (flat, word
+    positions) and items, for a benchmark of many shards. ``texts``: (text)."""
+    spark = texts.sparkSession
+    items = written(items, "benchmark-items")
+    windows = written(items.select("item", "text", "shard").mapInArrow(
+        _item_windows(window), "shard int, size int, hash long").distinct(), "benchmark-windows")
+    # at most ``window`` different sizes
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
+    if not sizes:
+        return spark.createDataFrame([], FOUND_IN)
+    bits = 1 << 15
+    while bits < filter_bits and bits < 32 * text_bytes(items):
+        bits *= 2
+    found = (items.select("item", "text").mapInArrow(_filter_bits(bits), "bit long")
+             .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map")))
+    marks = np.zeros(bits // 8, np.uint8)
+    for r in found.collect():  # the bitmap: at most FILTER_BITS bits
+        at = (r["bucket"] - 1) * 4096
+        marks[at: at + 4096] = np.frombuffer(r["map"], np.uint8)
+    shared = spark.sparkContext.broadcast(Filter(marks, sizes))
+    runs = written(texts.select(_key("text").alias("key"), "text").mapInArrow(
+        _candidates(shared), RUN).dropDuplicates(["key", "start"]), "candidate-runs")
+    routes = (runs.select("key", "start", F.explode("hashes").alias("hash"))
+              .join(windows.select("hash", "shard"), "hash")
+              .select("key", "start", "shard").distinct())
+    routed = written(runs.select("key", "start", "words").join(routes, ["key", "start"]),
+                     "routed-runs")
+    # a row per shard that runs are sent to
+    counts = {r["shard"]: r["count"] for r in routed.groupBy("shard").count().collect()}
+    if not counts:
+        return spark.createDataFrame([], FOUND_IN)
+    salts = spark.createDataFrame([(k, -(-n // shard_runs)) for k, n in counts.items()],
+                                  "_shard int, salts int")
+    met = F.col("shard") == F.col("_shard")
+    own = items.join(F.broadcast(salts), met).select(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+        F.lit(0).alias("kind"), F.col("item").alias("name"), F.lit(0).alias("start"), "text")
+    salt = F.pmod(F.xxhash64("key", "start"), F.col("salts")).cast("int")
+    sent = routed.join(F.broadcast(salts), met).select(
+        "shard", salt.alias("salt"), F.lit(1).alias("kind"), F.col("key").alias("name"), "start",
+        F.col("words").alias("text"))
+    parts = max(shuffle_partitions(spark), sum(-(-n // shard_runs) for n in counts.values()))
+    streamed = (own.unionByName(sent).repartition(parts, "shard", "salt")
+                .sortWithinPartitions("shard", "salt", "kind")
+                .mapInArrow(_streamed(window), FOUND_IN))
+    # what is gathered per text are its own runs' findings
+    return written(streamed.groupBy("key").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")), "findings")
+
+
+# ---- passes
+
 def _searched(docs: DataFrame, benchmark: DataFrame, schema: T.StructType, finish,
               window: int, shard_chars: int) -> DataFrame:
-    """One pass per shard; ``finish(rows, words, found)`` makes the last pass's output."""
+    """``finish(rows, words, found)`` makes the output from each slice's findings."""
     spark = docs.sparkSession
-    text = docs.columns.index("text")
-    width = len(docs.columns)
-    extra = T.StructType([*docs.schema.fields,
-                          T.StructField(FOUND, T.ArrayType(T.LongType())),
-                          T.StructField(ITEMS, T.ArrayType(T.StringType()))])
-    frame, earlier = docs, None
-    for automaton in automata(benchmark, window, shard_chars):
-        if earlier is not None:
-            frame = written(_pass(frame, spark.sparkContext.broadcast(earlier), text, width,
-                                  extra, _carry), "decontaminate")
-        earlier = automaton
-    return _pass(frame, spark.sparkContext.broadcast(earlier), text, width, schema, finish)
-
-
-def _carry(rows: pa.RecordBatch, words: Words, found: list, width: int) -> pa.RecordBatch:
-    spans = pa.array([[x for s in spans for x in s] for spans, _ in found], pa.list_(pa.int64()))
-    items = pa.array([sorted(items) for _, items in found], pa.list_(pa.string()))
-    return pa.RecordBatch.from_arrays([*rows.columns[:width], spans, items],
-                                      names=[*rows.schema.names[:width], FOUND, ITEMS])
-
-
-def _pass(frame: DataFrame, automaton, text: int, width: int, schema, finish) -> DataFrame:
+    names, text = docs.columns, docs.columns.index("text")
+    items, shards = _items(benchmark, shard_chars)
+    if shards == 1:
+        # at most about ``shard_chars`` characters
+        shared = spark.sparkContext.broadcast(automaton_of(items.collect(), window))
+        return _pass(docs, names, text, schema, finish, shared)
+    found = large_findings(docs.select("text"), items, shards, window)
+    found = found.select(F.col("key").alias("_found"), "spans", "items")
+    rows = docs.select(_key("text").alias("_key"),
+                       *[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(names)])
+    joined = rows.join(found, F.col("_key") == F.col("_found"), "left").select(
+        *[f"in_{i}" for i in range(len(names))], "spans", "items")
+    return _pass(joined, names, text, schema, finish)
+
+
+def _pass(frame: DataFrame, names: list[str], text: int, schema, finish, shared=None) -> DataFrame:
+    """One pass: findings by the broadcast automaton, or from the last two columns."""
+    width = len(names)
+
     def run(batches):
-        search = automaton.value.search
+        search = shared.value.search if shared else None
         for batch in batches:
             for lo, hi in slices(batch.column(text)):
                 rows = batch.slice(lo, hi - lo)
                 words = normalised(rows.column(text))
-                hits = search(words)
-                found = [hits.get(d, ([], set())) for d in range(rows.num_rows)]
-                if rows.num_columns > width:
-                    old = zip(rows.column(width).to_pylist(), rows.column(width + 1).to_pylist())
-                    found = [(united(spans + list(zip(s[::2], s[1::2]))), items | set(i))
-                             for (spans, items), (s, i) in zip(found, old)]
-                yield finish(rows, words, found, width)
+                if search:
+                    hits = search(words)
+                    found = [hits.get(d, ([], set())) for d in range(rows.num_rows)]
+                else:
+                    found = [(united(list(zip(s[::2], s[1::2]))) if s else [], set(i or ()))
+                             for s, i in zip(rows.column(width).to_pylist(),
+                                             rows.column(width + 1).to_pylist())]
+                yield finish(pa.RecordBatch.from_arrays(rows.columns[:width], names=names),
+                             words, found)
     return frame.mapInArrow(run, schema)
 
 
@@ -281,7 +484,7 @@ DIGEST = T.StructType([
     T.StructField("items_sha256", T.StringType()), T.StructField("contaminated", T.BooleanType())])
 
 
-def _digest(rows: pa.RecordBatch, words: Words, found: list, width: int) -> pa.RecordBatch:
+def _digest(rows: pa.RecordBatch, words: Words, found: list) -> pa.RecordBatch:
     hit = [sum(b - a for a, b in spans) for spans, _ in found]
     return pa.RecordBatch.from_arrays([
         rows.column(0), pa.array(words.counts, pa.int64()), pa.array(hit, pa.int64()),
@@ -307,8 +510,7 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     text = docs.columns.index("text")
     count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
-    def cut(rows: pa.RecordBatch, words: Words, found: list, width: int) -> pa.RecordBatch:
-        rows = pa.RecordBatch.from_arrays(rows.columns[:width], names=rows.schema.names[:width])
+    def cut(rows: pa.RecordBatch, words: Words, found: list) -> pa.RecordBatch:
         if not any(spans for spans, _ in found):
             return rows
         texts, keep = rows.column(text).to_pylist(), np.ones(rows.num_rows, bool)
