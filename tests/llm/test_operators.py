@@ -218,5 +218,5 @@ def test_entry_lists_all(spark):
     names = entry.queries()
     assert "pipeline" in names
     assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {
-        f"op{k}" for k in range(1, 11)}
+        f"op{k}" for k in range(1, 14)}
     assert json.dumps(sorted(entry.oracle_sql()))
