@@ -2,6 +2,8 @@
 
 import os
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -26,3 +28,15 @@ def test_queries_and_oracle_keys_match():
     assert all(re.match(r"op\d+_|pipeline$", name) for name in set(q) - set(o))
     assert all(callable(fn) for fn in q.values())
     assert all(isinstance(sql, str) and sql.strip() for sql in o.values())
+
+
+@pytest.mark.parametrize("missing", ["public_tokenizers", "xxhash", "corpus_pipeline",
+                                     "tidemark.llm"])
+def test_other_queries_stay_without_the_text_operators(missing):
+    code = (f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; "
+            "print(len(e.queries()), len(e.oracle_sql()), any(k[:2] == 'op' and k[2:3].isdigit() "
+            "for k in e.queries()))")
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True,
+                         check=True).stdout.split()
+    assert out[-3:] == [str(len(QUERIES)), str(len(QUERIES)), "False"]

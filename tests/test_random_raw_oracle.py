@@ -21,7 +21,7 @@ from tidemark.plans.catalog import OVER_MODELS, THRESHOLD, WRITING
 from tidemark.plans.oracle import oracle_over_raw
 from tidemark.schemas import RAW_SCHEMAS
 
-KEYS = [k for k in OVER_MODELS if k not in WRITING]
+KEYS = [k for k in OVER_MODELS if k not in WRITING or k.startswith(("bm_", "dq_violations"))]
 SQL = oracle_over_raw()
 
 COUNTRIES = ["United States", "Canada", " Canada ", "Germany", "Japan", "Brazil", "Spain", None]
