@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the models rely on: wall-clock timestamps in UTC, strict (ANSI) casts,
 # and adaptive execution so join strategy, partition counts and skewed
-# partitions are decided from runtime sizes instead of guesses.
+# partitions are decided from runtime sizes instead of guesses. HotSpot never
+# compiles a method of more than 8000 bytes, and a staging projection fused with
+# its joins is one: such stages run operator by operator, in compiled pieces.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -20,6 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -95,12 +98,12 @@ def _remove_scratch(sc, root: str) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written to a scratch folder and read back: the lineage ends there,
     what it holds is fixed (partition ids too), and a lost executor costs tasks
     of the current step only. Unlike a checkpoint it is computed once."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -120,28 +120,31 @@ def raw_events(t: dict[str, DataFrame]) -> DataFrame:
     """One raw event per line item (with its order and customer; the country
     index is the customer's nation key), plus one all-null padding row per nation.
 
-    Line items are hash-partitioned on the order key first. On a cluster this
-    is the shuffle the line item / order sort-merge join needs anyway (same
-    key, same partition count), so the join reuses it; when the orders side is
-    small enough to broadcast it still spreads the per-row text building over
-    all cores instead of the few tasks a large Parquet row group yields. The
-    partition count is the session's shuffle partition count, which on a
-    cluster is sized for the largest shuffle (adaptive execution coalesces the
-    smaller ones); a fixed count keeps coalescing from folding this stage back
-    onto a few cores when the input is small. The key cannot be skewed: an
-    order carries only a handful of line items (at most 17 in the driver's
-    data at every scale), so no partition can hold a large share of the rows.
+    Orders get their customer and line items their part price before the two
+    meet, each while its rows are few or narrow; a line item is shuffled at most
+    twice, never with its order's columns. Priced line items are hash-partitioned
+    on the order key. On a cluster this is the shuffle that the line item / order
+    sort-merge join needs anyway (same key, same partition count), so the join
+    reuses it; when the orders side is small enough to broadcast it still spreads
+    the per-row text building over all cores instead of the few tasks a large
+    Parquet row group yields. The partition count is the session's shuffle
+    partition count, which on a cluster is sized for the largest shuffle (adaptive
+    execution coalesces the smaller ones); a fixed count keeps coalescing from
+    folding this stage back onto a few cores when the input is small. The key
+    cannot be skewed: an order carries only a handful of line items (at most 17 in
+    the driver's data at every scale), so no partition can hold a large share of
+    the rows.
     """
     li, o, p, c, n = t["lineitem"], t["orders"], t["part"], t["customer"], t["nation"]
     parts = int(li.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    li = li.repartition(parts, "l_orderkey")
     # The part price is only read by unit_price_local: a left join to a table
     # unique on the part key lets the optimizer drop the join (and, on a
     # cluster, its shuffle of all line items) whenever a model does not read it.
     price = p.groupBy("p_partkey").agg(F.min("p_retailprice").alias("p_retailprice"))
-    joined = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(price, li.l_partkey == price.p_partkey, "left")
-              .join(c, o.o_custkey == c.c_custkey)
+    priced = (li.join(price, li.l_partkey == price.p_partkey, "left")
+              .repartition(parts, "l_orderkey"))
+    placed = o.join(c, o.o_custkey == c.c_custkey)
+    joined = (priced.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
               .withColumnRenamed("c_nationkey", "n_nationkey"))
     fx_text = _pick([FX_TO_USD[cur] for cur in CURRENCIES], "n_nationkey % 11")
     prepared = joined.selectExpr(
