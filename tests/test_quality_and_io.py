@@ -231,3 +231,13 @@ def test_materialize_stops_on_duplicate_dimension_keys(spark, scratch):
            "customers": fx.customers(spark, [{"customer_id": "C1"}])}
     with pytest.raises(ValueError, match="duplicate dimension keys"):
         materialize(raw, Layout(spark, scratch), threshold=2)
+
+
+def test_layers_are_written_with_the_smaller_codec(spark, scratch):
+    Layout(spark, scratch).write(fx.events(spark, [{"event_id": "E1"}]), "bronze", "events")
+    write_csv(fx.events(spark, [{"event_id": "E2"}]), os.path.join(scratch, "landing", "b1"))
+    ingest_raw_stream(spark, "events", os.path.join(scratch, "landing", "*"),
+                      os.path.join(scratch, "streamed"),
+                      os.path.join(scratch, "ckpt")).awaitTermination(120)
+    names = [f for _, _, fs in os.walk(scratch) for f in fs if f.endswith(".parquet")]
+    assert len(names) >= 2 and all(".zstd." in f for f in names)

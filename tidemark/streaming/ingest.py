@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.schemas import RAW_SCHEMAS
 from tidemark.sources.raw import CSV_FORMAT
+from tidemark.sources.sinks import CODEC
 
 
 def ingest_raw_stream(spark: SparkSession, name: str, landing_dir: str, bronze_dir: str,
@@ -31,6 +32,7 @@ def ingest_raw_stream(spark: SparkSession, name: str, landing_dir: str, bronze_d
     stream = reader.format(fmt).load(landing_dir)
     return (stream.writeStream.format("parquet")
             .option("path", bronze_dir)
+            .option("compression", CODEC)
             .option("checkpointLocation", checkpoint_dir)
             .outputMode("append")
             .trigger(availableNow=True)
