@@ -12,6 +12,7 @@ from tidemark.operators import staging as S
 from tidemark.plans.build import (
     INTERMEDIATE, MARTS, STAGING, Models, materialize, stored_models,
 )
+from tidemark.sources import raw
 from tidemark.sources.raw import read_raw, write_csv
 from tidemark.sources.sinks import Layout, layer_name
 from tidemark.streaming import ingest_raw_stream
@@ -233,6 +234,19 @@ def test_materialize_stops_on_duplicate_dimension_keys(spark, scratch):
         materialize(raw, Layout(spark, scratch), threshold=2)
 
 
+def test_exported_files_are_compressed_and_bounded(spark, scratch, monkeypatch):
+    monkeypatch.setitem(raw.CSV_EXPORT_OPTIONS, "maxRecordsPerFile", 4)
+    ids = [f"E{i}" for i in range(10)]
+    events = fx.events(spark, [{"event_id": i, "refund_reason": ' a "b", '} for i in ids]).coalesce(1)
+    path = os.path.join(scratch, "events")
+    write_csv(events, path)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    back = read_raw(spark, "events", path).collect()
+    assert sorted(r.event_id for r in back) == ids
+    assert {r.refund_reason for r in back} == {' a "b", '}
+
+
 def test_layers_are_written_with_the_smaller_codec(spark, scratch):
     Layout(spark, scratch).write(fx.events(spark, [{"event_id": "E1"}]), "bronze", "events")
     write_csv(fx.events(spark, [{"event_id": "E2"}]), os.path.join(scratch, "landing", "b1"))
