@@ -3,6 +3,12 @@
 import os
 import re
 
+import pytest
+
+from tests import fixtures as fx
+from tidemark.plans import build as B
+from tidemark.plans import catalog as C
+from tidemark.plans.build import Models
 from tidemark.plans.inspect import plan_text
 from tidemark.session import SESSION_DEFAULTS
 from tidemark.sources import testdata as T
@@ -64,3 +70,35 @@ def test_staging_is_not_one_uncompiled_method(spark):
     limit = int(SESSION_DEFAULTS["spark.sql.codegen.hugeMethodLimit"])
     assert limit == 8000
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == limit
+
+
+def _raw(spark):
+    orders = [o for c in ("C1", "C2", None) for o in fx.orders_for(c, 3, product_id="P1")]
+    return {"events": fx.events(spark, [*orders, {"event_type": "invoice", "customer_id": "C1"}]),
+            "products": fx.products(spark, [{"product_id": "P1"},
+                                            {"product_id": "P2", "category": "Add-on"}]),
+            "customers": fx.customers(spark, [{"customer_id": "C1"}, {"customer_id": "C2"}])}
+
+
+def test_report_order_stages_once(spark, monkeypatch):
+    given = []
+    for name in ("mart_sales_by_month", "mart_channel_performance", "mart_asp_by_country"):
+        real = getattr(B.M, name)
+        monkeypatch.setattr(B.M, name,
+                            lambda ev, *a, real=real: given.append(ev.inputFiles()) or real(ev, *a))
+    rows = C.q_report_order(Models(_raw(spark), 2)).collect()
+    assert {r.mart for r in rows} >= {"mart_sales_by_month", "mart_channel_performance"}
+    assert len(given) == 3 and all(files and all("/silver/stg_events/" in f for f in files)
+                                   for files in given)
+
+
+@pytest.mark.parametrize("query, times", [(C.q_dq_file_drift, 6), (C.q_stream_ingest_events, 2),
+                                          (C.q_inc_customer_orders, 2)])
+def test_landed_rows_are_made_once(spark, monkeypatch, query, times):
+    landed = []
+    real = C.write_csv
+    monkeypatch.setattr(C, "write_csv",
+                        lambda df, path: landed.append(df.inputFiles()) or real(df, path))
+    assert query(Models(_raw(spark), 2)).count()
+    assert len(landed) == times
+    assert all(files and all("/raw-" in f for f in files) for files in landed)

@@ -12,6 +12,7 @@ from tidemark.operators import staging as S
 from tidemark.plans.build import (
     INTERMEDIATE, MARTS, STAGING, Models, materialize, stored_models,
 )
+from tidemark.plans.inspect import nodes
 from tidemark.sources import raw
 from tidemark.sources.raw import read_raw, write_csv
 from tidemark.sources.sinks import Layout, layer_name
@@ -234,6 +235,19 @@ def test_materialize_stops_on_duplicate_dimension_keys(spark, scratch):
         materialize(raw, Layout(spark, scratch), threshold=2)
 
 
+def test_headers_are_found_without_sorting_lines(spark, scratch):
+    rows = fx.products(spark, [{"product_id": f"P{i}"} for i in range(5)])
+    write_csv(rows, os.path.join(scratch, "a"))
+    write_csv(rows.withColumnRenamed("vendor", "maker"), os.path.join(scratch, "b"))
+    headers = Q.file_headers(spark, os.path.join(scratch, "*"))
+    ns = nodes(headers)
+    assert "ObjectHashAggregate" in ns
+    assert not {"Sort", "SortAggregate"} & set(ns[ns.index("ObjectHashAggregate"):])
+    found = {os.path.basename(os.path.dirname(r.file)): r.columns for r in headers.collect()}
+    assert found["a"] == rows.columns
+    assert found["b"] == ["maker" if c == "vendor" else c for c in rows.columns]
+
+
 def test_exported_files_are_compressed_and_bounded(spark, scratch, monkeypatch):
     monkeypatch.setitem(raw.CSV_EXPORT_OPTIONS, "maxRecordsPerFile", 4)
     ids = [f"E{i}" for i in range(10)]

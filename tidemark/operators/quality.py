@@ -141,11 +141,15 @@ _CELL_END = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
     """(file, columns): the header of each CSV file under a path. The first
-    lines are picked on the executors, from the blocks that files begin with."""
+    lines are picked on the executors, from the blocks that files begin with.
+    Spark hashes groups with a text buffer only next to an object buffer (the
+    set, one number a file); alone the text would have every line sorted."""
     lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start",
                                          F.monotonically_increasing_id().alias("at"))
     first = (lines.where("file_block_start = 0").groupBy(F.col("file_path").alias("file"))
-             .agg(F.min_by("value", "at").alias("header")))
+             .agg(F.min_by("value", "at").alias("header"),
+                  F.collect_set("file_block_start").alias("starts"))
+             .where(F.size("starts") == 1))
     cells = F.split(F.rtrim("header"), _CELL_END)
     return first.select("file", F.transform(cells, lambda c: F.regexp_replace(
         F.regexp_replace(c, '^"|"$', ""), '""', '"')).alias("columns"))

@@ -52,6 +52,12 @@ def models(spark: SparkSession, sf_dir: str) -> Models:
 
 # --------------------------------------------------------------------------- probes over raw tables
 
+def _made_once(m: Models, name: str) -> DataFrame:
+    """A raw table written down, for queries that read it more than once: its
+    joins are not made again for every read."""
+    return written(m.raw[name], f"raw-{name}", CODEC)
+
+
 def q_src_events_csv(m: Models) -> DataFrame:
     """S1+S4: raw events exported as CSV (as the spreadsheet exporter does),
     scanned back with the declared all-text schema, loaded into bronze Parquet."""
@@ -256,7 +262,8 @@ def q_dq_file_drift(m: Models) -> DataFrame:
     folder with ``maker`` for ``vendor``; the files' folders and their columns."""
     spark = m.raw["products"].sparkSession
     root = _new_layout(spark, "landed").root
-    for name, df in m.raw.items():
+    for name in m.raw:
+        df = _made_once(m, name)
         for batch in ("first", "second"):
             changed = name == "products" and batch == "second"
             rows = df.withColumnRenamed("vendor", "maker") if changed else df
