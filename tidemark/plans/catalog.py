@@ -73,7 +73,7 @@ def q_stream_ingest_events(m: Models) -> DataFrame:
     """Incremental bronze load: raw events land as CSV in two batches (orders,
     then everything else); an ``availableNow`` file stream with one checkpoint
     loads each batch once. The bronze table must equal the whole raw table."""
-    events = m.raw["events"]
+    events = _made_once(m, "events")
     spark = events.sparkSession
     root = os.path.join(lake_root(spark), f"stream-{uuid.uuid4().hex[:8]}")
     landing, bronze = os.path.join(root, "landing"), os.path.join(root, "bronze", "events")
