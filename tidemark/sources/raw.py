@@ -55,10 +55,11 @@ def read_raw_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv"
 
 # Writing CSV like a spreadsheet export: values kept byte for byte (Spark's
 # writer trims whitespace by default), header row, empty text as "". Files are
-# compressed, and as a reader cannot split those, none holds more rows than given.
+# compressed (quickly: they are read once or twice), and as a reader cannot split
+# those, none holds more rows than given.
 CSV_EXPORT_OPTIONS = {**CSV_FORMAT, "ignoreLeadingWhiteSpace": False,
                       "ignoreTrailingWhiteSpace": False, "compression": "gzip",
-                      "maxRecordsPerFile": 500_000}
+                      "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 500_000}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
