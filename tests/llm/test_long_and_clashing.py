@@ -1,6 +1,7 @@
 """Very long texts through every text operator, columns named like helpers
 through the pipeline's stages, and words that a weak hash would confuse."""
 
+import glob
 import hashlib
 import time
 
@@ -82,6 +83,25 @@ def test_copies_are_scanned_once(spark, scratch):
     assert spark.read.parquet(ledger).count() == 2 * len(secret_scan.RULES)
 
 
+def test_ledger_files_do_not_grow_with_tasks(spark, scratch):
+    ship_package(spark)
+    rows = [(i, f"token: abcdef{i} " + "0a" * (15 + i)) for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        for name, room, most in (("few", {}, 1), ("more", {"file_rows": 20}, 4)):
+            got = secret_scan.scan(docs, f"{scratch}/{name}", "doc_id", "text", **room)
+            assert {r.key: [tuple(s) for s in r.spans] for r in got.collect()} == {
+                i: [(0, 0, 13 + len(str(i))), (14 + len(str(i)), 2, len(t))] for i, t in rows}
+            files = glob.glob(f"{scratch}/{name}/rule=*/rule_version=*/*.parquet")
+            assert len(files) <= most * len(secret_scan.RULES)
+            assert spark.read.parquet(f"{scratch}/{name}").count() == 64 * len(secret_scan.RULES)
+    finally:
+        spark.conf.set(key, before)
+
+
 def thue_morse(n, a, b):
     return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
 

@@ -14,7 +14,10 @@ into the pieces between them, and each match is a row of (length of the piece
 before it, its own length, its value's length). Starts, in code points, are
 running sums of those: matches are exploded and a window adds them up per blob
 and rule, so a text with very many matches costs in proportion. A cheap
-substring test keeps blobs without a rule's fixed parts away from it.
+substring test keeps blobs without a rule's fixed parts away from it. A scan's
+ledger rows are dealt by rule into files of about ``FILE_ROWS`` blobs, instead
+of a file per task and rule: a local file system starts a process (``chmod``)
+for each file and folder made.
 
 Contents are picked per digest by the smallest path key and only joined by
 digests, so a blob on a third of all paths is scanned once; where several rows
@@ -71,6 +74,7 @@ RULES = (
 # ---
 
 MATCHES = "array<struct<skip:int,size:int,value:int>>"
+FILE_ROWS = 50_000
 LEDGER = f"blob string, matches {MATCHES}, rule string, rule_version int"
 
 
@@ -155,7 +159,7 @@ def _located(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def scan(versions: DataFrame, ledger: str, key: str, content: str,
-         rules: tuple[Rule, ...] = RULES) -> DataFrame:
+         rules: tuple[Rule, ...] = RULES, file_rows: int = FILE_ROWS) -> DataFrame:
     """Scan what the ledger has not seen, append it, and return (key, blob,
     spans): a row per row of ``versions``, with all spans of the rules (null
     where there are none) as <start, kind, end>, ``kind`` being the rule's place."""
@@ -170,7 +174,9 @@ def scan(versions: DataFrame, ledger: str, key: str, content: str,
         for r in rules])
     found = unseen.select(F.col("_blob").alias("blob"),
                           F.inline(F.filter(pairs, lambda x: x.isNotNull())))
-    found.write.mode("append").partitionBy("rule", "rule_version").parquet(ledger)
+    files = 1 + versions.count() // file_rows  # of a rule
+    (found.repartition(len(rules) * files, "rule", F.pmod(F.xxhash64("blob"), F.lit(files)))
+     .write.mode("append").partitionBy("rule", "rule_version").parquet(ledger))
     located = _located(read_ledger(spark, ledger, rules), rules)
     located = located.withColumnRenamed("blob", "_found")
     return (versions.select(F.col(key).alias("key"), blob_id(F.col(content)).alias("blob"))
