@@ -102,6 +102,24 @@ def test_ledger_files_do_not_grow_with_tasks(spark, scratch):
         spark.conf.set(key, before)
 
 
+def test_component_tables_have_few_files(spark):
+    ship_package(spark)
+    few = 2 * spark.sparkContext.defaultParallelism
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": str(8 * few)}
+    before = {k: spark.conf.get(k) for k in keys}
+    nodes = [(10 * i + j + 1, 10 * i + j) for i in range(200) for j in range(2)]
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        got = simhash.components(spark.createDataFrame(nodes, "u long, v long"))
+        assert sorted(map(tuple, got.collect())) == sorted((u, u // 10 * 10) for u, _ in nodes)
+        assert len(got.inputFiles()) <= few
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def thue_morse(n, a, b):
     return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
 

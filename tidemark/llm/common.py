@@ -59,6 +59,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_few_files(df: DataFrame) -> DataFrame:
+    """``df`` in at most two partitions a core, for tables of a few numbers a
+    row that come from an aggregate or a join of unique keys. A written file
+    costs a local file system about three processes (``chmod`` of the folder,
+    the file and its checksum), however short the file is."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Total characters of a text column (one partial-aggregated row)."""
     return df.select(F.sum(F.length(column)).alias("n")).first()["n"] or 0

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import U64, flat, shuffle_partitions, written
+from tidemark.llm.common import U64, flat, in_few_files, shuffle_partitions, written
 
 SHINGLE = 4
 BUDGET = 4
@@ -359,15 +359,16 @@ def _with_least(edges: DataFrame) -> DataFrame:
     """``edges`` plus ``m``, the smallest v of each u. The minima are written
     first, so the join shuffles both sides itself and adaptive execution may
     split a u that very many edges share."""
-    least = written(edges.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("m")), "star")
+    least = written(in_few_files(
+        edges.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("m"))), "star")
     return edges.join(least.hint("merge"), F.col("u") == F.col("_u")).select("u", "v", "m")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): every node that is not the smallest of its component, and the smallest."""
-    edges = written(edges.where("u <> v")
-                    .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                    .distinct(), "edges")
+    edges = written(in_few_files(
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        .distinct()), "edges")
     summary = None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))) \
@@ -378,25 +379,26 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (_with_least(both).where("v > u")
                  .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
-        large = written(large, "large-star")
+        large = written(in_few_files(large), "large-star")
         least = _with_least(large)
         small = (least.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(large.groupBy("u").agg(F.min("v").alias("v"))))
-        edges = written(small.distinct(), "small-star")
+        edges = written(in_few_files(small.distinct()), "small-star")
 
 
 def _members(docs: DataFrame, shingle: int, max_bucket: int) -> DataFrame:
     """(doc_id, fp, root, component_id) of every document; a component is named
     by its root fingerprint and by its smallest doc_id."""
     prints = written(fingerprints(docs, shingle), "simhash-prints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
+    distinct = written(in_few_files(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))),
+                       "simhash-distinct")
     tree = components(links(distinct, max_bucket))
     # fingerprint -> root fingerprint -> smallest doc_id under the root
     rooted = (distinct.join(tree.hint("merge"), F.col("fp") == F.col("u"), "left")
               .select("fp", "rep", F.coalesce("v", "fp").alias("root")))
-    rooted = written(rooted, "simhash-rooted")
-    smallest = written(rooted.groupBy(F.col("root").alias("_root"))
-                       .agg(F.min("rep").alias("component_id")), "simhash-smallest")
+    rooted = written(in_few_files(rooted), "simhash-rooted")
+    smallest = written(in_few_files(rooted.groupBy(F.col("root").alias("_root"))
+                                    .agg(F.min("rep").alias("component_id"))), "simhash-smallest")
     named = written(rooted.join(smallest.hint("merge"), F.col("root") == F.col("_root"))
                     .select(F.col("fp").alias("_fp"), "root", "component_id"), "simhash-named")
     return (prints.join(named.hint("merge"), F.col("fp") == F.col("_fp"))
@@ -436,12 +438,12 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE,
     """
     members = written(_members(docs, shingle, max_bucket), "simhash-members")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp"))
-    kept = written(members.groupBy("root").agg(best.alias("best"))
-                   .select(F.col("best.doc_id").alias("_kept_id"), F.col("best.fp").alias("_fp")),
-                   "simhash-kept")
+    kept = members.groupBy("root").agg(best.alias("best"))
+    kept = written(in_few_files(kept.select(F.col("best.doc_id").alias("_kept_id"),
+                                            F.col("best.fp").alias("_fp"))), "simhash-kept")
     ids = (members.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")))
-    kept = written(kept.join(ids.hint("merge"), F.col("_kept_id").eqNullSafe(F.col("_id")))
-                   .select("_kept_id", "_fp", "_rows"), "simhash-kept-rows")
+    kept = kept.join(ids.hint("merge"), F.col("_kept_id").eqNullSafe(F.col("_id")))
+    kept = written(in_few_files(kept.select("_kept_id", "_fp", "_rows")), "simhash-kept-rows")
     # all columns in one, so that none has the name of a helper
     whole = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
                         F.struct("*").alias("_row"))
