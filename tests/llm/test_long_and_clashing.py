@@ -120,6 +120,45 @@ def test_component_tables_have_few_files(spark):
             spark.conf.set(k, v)
 
 
+def test_exact_dedup_has_few_files(spark):
+    ship_package(spark)
+    few = 2 * spark.sparkContext.defaultParallelism
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": str(4 * few)}
+    before = {k: spark.conf.get(k) for k in keys}
+    rows = [(i, f"text {i // 2}") for i in range(1000)] + [(1000, "TEXT 3"), (1000, "text 3"),
+                                                           (1000, "other"), (None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4 * few)
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        for room in (exact_dedup.TABLE_BYTES, 40):  # the small table spills to further levels
+            groups = exact_dedup.duplicate_groups(docs, table_bytes=room)
+            sizes = sorted(r.group_size for r in groups.collect())
+            assert sizes == [1, 1] + [2] * 499 + [4]
+        files = exact_dedup.duplicate_groups(docs).inputFiles()
+        assert 0 < len(files) <= few
+        kept = corpus_pipeline.exact_stage(spark, docs, "")
+        assert kept.rdd.getNumPartitions() <= few
+        got = sorted((r.doc_id or -1, r.text.lower()) for r in kept.collect())
+        assert got == sorted([(i, f"text {i // 2}") for i in range(1, 1000, 2) if i != 7]
+                             + [(1000, "text 3"), (1000, "other"), (-1, "none")])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_texts_leave_a_table_in_pieces():
+    table = exact_dedup.OpenTable()
+    texts = [b"a" * (3 << 20), b"b" * (3 << 20), b"c" * (9 << 20), b"", b"d"]
+    for h, text in enumerate(texts):
+        table.add(table.find(h, text)[1], h, text)
+    got = list(exact_dedup._records(table, [1, 2, 3, 4, 5], [1] * 5, 0, 7, True))
+    assert [x.num_rows for x in got] == [1, 1, 1, 2]
+    assert [t for x in got for t in x.column("content").to_pylist()] == texts
+    assert [i for x in got for i in x.column("keep_id").to_pylist()] == [1, 2, 3, 4, 5]
+
+
 def thue_morse(n, a, b):
     return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_folder
 
 SLICE_BYTES = 1 << 20
+FILE_BYTES = 64 << 20
 U64 = np.uint64
 
 
@@ -59,12 +60,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_few_files(df: DataFrame) -> DataFrame:
+def in_few_files(df: DataFrame, at_least: int = 0) -> DataFrame:
     """``df`` in at most two partitions a core, for tables of a few numbers a
-    row that come from an aggregate or a join of unique keys. A written file
-    costs a local file system about three processes (``chmod`` of the folder,
-    the file and its checksum), however short the file is."""
-    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    row that come from an aggregate or a join of unique keys; where a partition
+    holds more, ``at_least`` is the number that the input calls for. A written
+    file costs a local file system about three processes (``chmod`` of the
+    folder, the file and its checksum), however short the file is."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, at_least))
 
 
 def text_bytes(df: DataFrame, column: str = "text") -> int:

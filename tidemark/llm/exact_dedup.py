@@ -26,16 +26,19 @@ from __future__ import annotations
 
 import hashlib
 import string
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import block_count, flat, shuffle_partitions, written
+from tidemark.llm.common import (FILE_BYTES, flat, in_few_files, shuffle_partitions, text_bytes,
+                                 written)
 
 TABLE_BYTES = 48 << 20
 BLOCK_BYTES = 16 << 20
+SEND_BYTES = 4 << 20
 
 RECORD = "part long, digest binary, content binary, keep_id long, group_size long, spilled boolean"
 
@@ -81,19 +84,33 @@ def _larger(a, b):
     return a if b is None or (a is not None and a > b) else b
 
 
+def _pieces(contents: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``limit`` bytes (one content where it is longer)."""
+    lo = room = 0
+    for i, content in enumerate(contents):
+        room += len(content)
+        if room > limit and i > lo:
+            yield lo, i
+            lo, room = i, len(content)
+    yield lo, len(contents)
+
+
 def _records(table: OpenTable, keep: list, size: list, level: int, parts: int,
-             with_content: bool) -> pa.RecordBatch:
+             with_content: bool) -> Iterator[pa.RecordBatch]:
+    """The table's entries; contents leave ``SEND_BYTES`` at a time, so neither
+    this process nor the JVM holds the table a second time."""
     digests = [hashlib.sha256(c).digest() for c in table.contents]
     if len(set(digests)) < len(digests):
         raise ValueError("two different contents have one digest")
-    part = [xxhash.xxh64_intdigest(d, seed=level) % parts for d in digests]
     n = len(digests)
-    return pa.RecordBatch.from_arrays([
-        pa.array(part, pa.int64()), pa.array(digests, pa.binary()),
-        pa.array(table.contents if with_content else [None] * n, pa.binary()),
-        pa.array(keep, pa.int64()), pa.array(size, pa.int64()),
-        pa.array([False] * n, pa.bool_())],
-        names=["part", "digest", "content", "keep_id", "group_size", "spilled"])
+    for lo, hi in _pieces(table.contents, SEND_BYTES) if with_content else [(0, n)]:
+        part = [xxhash.xxh64_intdigest(d, seed=level) % parts for d in digests[lo:hi]]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(part, pa.int64()), pa.array(digests[lo:hi], pa.binary()),
+            pa.array(table.contents[lo:hi] if with_content else [None] * n, pa.binary()),
+            pa.array(keep[lo:hi], pa.int64()), pa.array(size[lo:hi], pa.int64()),
+            pa.array([False] * (hi - lo), pa.bool_())],
+            names=["part", "digest", "content", "keep_id", "group_size", "spilled"])
 
 
 def _combine(table_bytes: int, parts: int):
@@ -107,7 +124,7 @@ def _combine(table_bytes: int, parts: int):
                 entry, at = table.find(h, content)
                 if entry < 0:
                     if table.bytes + len(content) > table_bytes and table.hashes:
-                        yield _records(table, keep, size, 0, parts, True)
+                        yield from _records(table, keep, size, 0, parts, True)
                         table, keep, size = OpenTable(), [], []
                         at = table.find(h, content)[1]
                     table.add(at, h, content)
@@ -117,7 +134,7 @@ def _combine(table_bytes: int, parts: int):
                     keep[entry] = _larger(keep[entry], doc_id)
                     size[entry] += 1
         if table.hashes:
-            yield _records(table, keep, size, 0, parts, True)
+            yield from _records(table, keep, size, 0, parts, True)
     return run
 
 
@@ -136,7 +153,7 @@ def _resolve(table_bytes: int, level: int, parts: int):
             for i, p in enumerate(ids):
                 if p != part:
                     if table.hashes:
-                        yield _records(table, keep, size, level, parts, False)
+                        yield from _records(table, keep, size, level, parts, False)
                     table, keep, size, part = OpenTable(), [], [], p
                 content = columns[2][i].as_py()
                 h = xxhash.xxh64_intdigest(content)
@@ -157,7 +174,7 @@ def _resolve(table_bytes: int, level: int, parts: int):
                         pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(),
                         pa.bool_()))], names=names)
         if table.hashes:
-            yield _records(table, keep, size, level, parts, False)
+            yield from _records(table, keep, size, level, parts, False)
     return run
 
 
@@ -165,14 +182,15 @@ def duplicate_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES,
                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(digest, keep_id, group_size), one row per distinct normalised text."""
     spark = docs.sparkSession
-    parts = block_count(docs, block_bytes, shuffle_partitions(spark))
+    size = text_bytes(docs)
+    parts = max(shuffle_partitions(spark), -(-size // block_bytes))
     records = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(_combine(table_bytes, parts), RECORD)
     done, level = [], 0
     while True:
         blocks = records.repartition(parts, "part").sortWithinPartitions("part")
-        out = written(blocks.mapInArrow(_resolve(table_bytes, level, parts), RECORD),
-                      f"grace-level{level}")
+        out = blocks.mapInArrow(_resolve(table_bytes, level, parts), RECORD)
+        out = written(in_few_files(out, size // FILE_BYTES), f"grace-level{level}")
         done.append(out.where("NOT spilled").select("digest", "keep_id", "group_size"))
         spilled = out.where("spilled")
         if spilled.isEmpty():
@@ -221,13 +239,14 @@ def deduplicated(docs: DataFrame, table_bytes: int = TABLE_BYTES,
     A doc_id on one row only is decided by a join on doc_id. Rows that share a
     doc_id are told apart by their digest and thinned to one row per text.
     """
-    rows = written(exact_duplicates(docs, table_bytes, block_bytes), "exact-rows")
+    rows = exact_duplicates(docs, table_bytes, block_bytes)
     ids = (rows.groupBy(F.col("doc_id").alias("_kept_id"))
            .agg(F.count(F.lit(1)).alias("_rows"), F.max("kept").alias("_kept"))
            .where("_kept"))
+    ids = written(in_few_files(ids), "exact-kept-ids")
     # all columns in one, so that none has the name of a helper
     whole = docs.select(F.col("doc_id").alias("_id"), F.struct("*").alias("_row"))
-    joined = whole.join(ids, F.col("_id").eqNullSafe(F.col("_kept_id")))
+    joined = whole.join(ids.hint("merge"), F.col("_id").eqNullSafe(F.col("_kept_id")))
     once = joined.where("_rows = 1").select("_row.*")
     if ids.where("_rows > 1").isEmpty():
         return once

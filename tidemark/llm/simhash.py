@@ -48,6 +48,7 @@ BLOCKS = (11, 11, 11, 11, 10, 10)  # widths, from the highest bit on
 MAX_BUCKET = 200_000
 FRONTIER = 1 << 18
 JOIN_ROWS = 1 << 18
+FILE_PRINTS = 100_000
 
 
 # --------------------------------------------------------------------------- fingerprints
@@ -332,8 +333,9 @@ def links(distinct: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
     spark = distinct.sparkSession
     parts = shuffle_partitions(spark)
     dealt = distinct.select("fp").mapInArrow(_deal, "trie long, value long")
-    first = written(dealt.repartition(parts, "trie").sortWithinPartitions("trie")
-                    .mapInArrow(_join_tries(max_bucket), EDGE), "simhash-edges")
+    first = (dealt.repartition(parts, "trie").sortWithinPartitions("trie")
+             .mapInArrow(_join_tries(max_bucket), EDGE))
+    first = written(in_few_files(first, distinct.count() // FILE_PRINTS), "simhash-edges")
     edges = first.where("u IS NOT NULL").select("u", "v")
     large = first.where("u IS NULL").select("trie", F.col("v").alias("value"))
     if large.isEmpty():
@@ -399,8 +401,9 @@ def _members(docs: DataFrame, shingle: int, max_bucket: int) -> DataFrame:
     rooted = written(in_few_files(rooted), "simhash-rooted")
     smallest = written(in_few_files(rooted.groupBy(F.col("root").alias("_root"))
                                     .agg(F.min("rep").alias("component_id"))), "simhash-smallest")
-    named = written(rooted.join(smallest.hint("merge"), F.col("root") == F.col("_root"))
-                    .select(F.col("fp").alias("_fp"), "root", "component_id"), "simhash-named")
+    named = rooted.join(smallest.hint("merge"), F.col("root") == F.col("_root"))
+    named = written(in_few_files(named.select(F.col("fp").alias("_fp"), "root", "component_id")),
+                    "simhash-named")
     return (prints.join(named.hint("merge"), F.col("fp") == F.col("_fp"))
             .select("doc_id", "fp", "root", "component_id"))
 
@@ -436,7 +439,7 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE,
     doc_id (or have none) are told apart by their fingerprints, and repeated
     rows are thinned to one.
     """
-    members = written(_members(docs, shingle, max_bucket), "simhash-members")
+    members = written(in_few_files(_members(docs, shingle, max_bucket)), "simhash-members")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp"))
     kept = members.groupBy("root").agg(best.alias("best"))
     kept = written(in_few_files(kept.select(F.col("best.doc_id").alias("_kept_id"),
