@@ -4,6 +4,7 @@ through the pipeline's stages, and words that a weak hash would confuse."""
 import glob
 import hashlib
 import time
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -159,6 +160,84 @@ def test_texts_leave_a_table_in_pieces():
     assert [i for x in got for i in x.column("keep_id").to_pylist()] == [1, 2, 3, 4, 5]
 
 
+def test_token_files_are_few(spark, scratch):
+    from tokenizers import Tokenizer
+    ship_package(spark)
+    library = Tokenizer.from_file(TOKENIZER)
+    few = 2 * spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    rows = [(i, f"Some word{i} of {i * i} texts!") for i in range(-20, 40 * few)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(few)
+    spark.conf.set(key, str(4 * few))
+    try:
+        digests = token_output.token_digests(docs, TOKENIZER, folder=f"{scratch}/tokens")
+        for name in ("raw", "files"):
+            assert 0 < len(glob.glob(f"{scratch}/tokens/{name}/*.parquet")) <= few
+        assert digests.rdd.getNumPartitions() <= few
+        at = 0
+        for r in sorted(digests.collect(), key=lambda r: r.start):
+            text = dict(rows)[r.doc_id] or ""
+            ids = [*library.encode(text, add_special_tokens=False).ids, token_output.END_ID]
+            assert (r.start, r.n_tokens, r.ids_crc32) == (
+                at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+            at += len(ids)
+        assert digests.count() == len(rows)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_token_passes_hold_little(spark, scratch, monkeypatch):
+    import pyarrow.parquet as pq
+    ship_package(spark)
+    keys = {"spark.sql.shuffle.partitions": "1", "spark.sql.execution.arrow.maxBytesPerBatch": "60m"}
+    before = {k: spark.conf.get(k) for k in keys}
+    docs = spark.createDataFrame([(i, MANY) for i in range(12)], "doc_id long, text string")
+    made = token_output._tokenised
+
+    def watched(*args):
+        run = made(*args)
+
+        def small(batches):
+            for batch in batches:
+                assert batch.nbytes < 9 << 20, "a batch of many texts"
+                yield batch
+        return lambda batches: run(small(batches))
+
+    monkeypatch.setattr(token_output, "_tokenised", watched)
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        folder = token_output.write_token_files(docs.coalesce(1), f"{scratch}/tokens", TOKENIZER)
+        assert {k: spark.conf.get(k) for k in keys} == keys
+        files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{folder}/files/*.parquet")]
+        assert sum(f.num_rows for f in files) == 12
+        sizes = [f.row_group(i).total_byte_size for f in files for i in range(f.num_row_groups)]
+        assert sum(sizes) > 12 << 20 and max(sizes) < 8 << 20
+        assert {r.n_tokens for r in token_output.read_token_files(spark, folder).collect()} == {
+            len(token_output.library_words(TOKENIZER).whole(MANY.encode())) + 1}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("code", ["H", "I"])
+def test_kept_words_are_packed(code):
+    import pyarrow as pa
+    words = token_output.LibraryWords(TOKENIZER)
+    assert words.code == "H"  # ids of this file fit in two bytes
+    words.code = code
+    words.clear()
+    texts = ["Hello, world!", None, "", "\u00c9t\u00e9 o'clock 3.14 \u6f22\u5b57", MANY, "\u200b", "hello world"]
+    for part in (texts[1:3], texts, texts[::-1]):  # nothing to learn, all, nothing new
+        ids, size = words.encode(*flat(pa.array(part, pa.string())))
+        want = [words.whole((t or "").encode()) for t in part]
+        assert ids.tolist() == [i for x in want for i in x] and size.tolist() == list(map(len, want))
+    assert words.pool.itemsize == {"H": 2, "I": 4}[code]
+    assert len(words.pool) < 1 << 16 or len(words.pool) <= 2 * words.used
+    assert all(type(x) is bytes for x in words.parts.values())
+
+
 def thue_morse(n, a, b):
     return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
 

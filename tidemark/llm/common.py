@@ -23,6 +23,7 @@ from tidemark.session import scratch_folder
 
 SLICE_BYTES = 1 << 20
 FILE_BYTES = 64 << 20
+BATCH_BYTES = 4 << 20
 U64 = np.uint64
 
 
@@ -39,16 +40,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextlib.contextmanager
-def shuffles_removed(spark: SparkSession):
-    """Writes in here remove their shuffle files when they end, instead of
-    leaving them until the driver collects its garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def shuffles_removed(spark: SparkSession):
+    """Writes in here remove their shuffle files when they end, instead of
+    leaving them until the driver collects its garbage."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark: SparkSession):
+    """What runs in here sends Python batches of about ``BATCH_BYTES``: the JVM
+    and a worker hold several batches each beside the executor's heap."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

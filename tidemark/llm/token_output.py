@@ -22,6 +22,10 @@ raw ids; ids are counted per task and summed (the vocabulary bounds what reaches
 the driver); blocks are encoded where they lie. Each block knows the ids before
 it in its range, so global starts need one total per range only.
 
+Memory beside the executors' heaps: texts and ids meet Python in batches of 4 MB,
+and the blocks' tables have row groups of a few blocks, which is what writers and
+readers hold. So a file may hold many blocks, and there are few files.
+
 Defined results: a null text counts as empty and has the end id only; a null
 doc_id comes first; rows of one doc_id follow each other, in the order of a hash
 of their text; of equally frequent ids the smaller has the lower rank; an empty table gives empty files; only doc_id and text are read.
@@ -30,12 +34,12 @@ of their text; of equally frequent ids the smaller has the lower rank; an empty
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +47,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import byte_symbols
-from tidemark.llm.common import (U64, Words, block_count, flat, ranges, scratch_path,
-                                 shuffle_partitions, shuffles_removed, slices, word_hashes)
+from tidemark.llm.common import (U64, Words, flat, in_few_files, ranges, scratch_path,
+                                 shuffle_partitions, shuffles_removed, slices, small_batches,
+                                 text_bytes, word_hashes)
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 19
+FILE_TOKENS = 32 * BLOCK_TOKENS
 PART_CHARS = 32 << 20
-CACHE_WORDS = 2_000_000  # words that a Python worker keeps, in about 50 bytes each
-CACHE_PARTS = 400_000    # and parts of words, in about 200
+CACHE_WORDS = 2_000_000  # words that a Python worker keeps, in about 40 bytes each
+CACHE_PARTS = 400_000    # and parts of words, in about 150
 NO_ID = -(1 << 63)  # stands for a missing doc_id, which comes first
 MAGIC = b"TMV1"
 HEAD = struct.Struct("<4sIQQ")
@@ -58,6 +64,9 @@ HEAD = struct.Struct("<4sIQQ")
 RAW = "part long, block long, before long, n_tokens long, doc_ids array<long>, " \
       "sizes array<int>, ids binary"
 FILE = "part long, block long, before long, n_tokens long, image binary"
+# a writer looks at the sizes of its row group and page after each block, not after 100
+ROW_GROUPS = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1",
+              "parquet.page.size.row.check.min": "1"}
 
 
 # --------------------------------------------------------------------------- ids by the library
@@ -65,7 +74,8 @@ FILE = "part long, block long, before long, n_tokens long, image binary"
 class LibraryWords:
     """Ids from the tokenizers library, by word where the file drops white
     space between words. Each distinct word is encoded when it is first met, and
-    its ids are kept in one array, found by 128 bits of hashes.
+    its ids are kept in one array, found by 128 bits of hashes. Ids of words are
+    bytes from the start, two an id where the file's ids fit, else four.
 
     The common shape, letters (ASCII or Latin-1) and marks after them, is cut by
     the file's pattern between the two and nowhere else, so both go straight to
@@ -95,7 +105,9 @@ class LibraryWords:
         self.by_shape = self.by_word and steps == self.steps \
             and split.get("pattern", {}).get("Regex") == self.pattern
         self.symbols = {b: x for b, x in enumerate(byte_symbols()) if b != 10}
-        self.parts: dict[bytes, list[int]] = {}
+        self.most = max(self.library.get_vocab(with_added_tokens=True).values(), default=0)
+        self.code = "H" if self.most < 1 << 16 else "I"
+        self.parts: dict[bytes, bytes] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -103,34 +115,39 @@ class LibraryWords:
         self.check = np.zeros(0, U64)           # the other hash of each
         self.at = np.zeros(0, np.int64)         # where its ids begin
         self.size = np.zeros(0, np.int32)
-        self.pool = np.zeros(1 << 16, np.uint32)
+        self.pool = np.zeros(1 << 16, self.code)
         self.used = 0
 
-    def of_words(self, words: list[bytes]) -> list[list[int]]:
+    def of_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word; the words go through each step together."""
         if not self.by_shape:
-            return [self.whole(w) for w in words]
+            return [self.packed(w) for w in words]
         cut = self.shape.findall(b"\n".join(words).lower())  # no word has a line feed
         parts = self.parts
         new = list({p for m in cut for p in m[:2] if p and p not in parts})
         if new:
             text = b"\n".join(new).decode("latin-1").translate(self.symbols)
             for part, tokens in zip(new, map(self.model.tokenize, text.split("\n"))):
-                parts[part] = [t.id for t in tokens]
-        return [self.whole(w) if other else parts[a] + parts[b] if b else parts[a]
+                parts[part] = array(self.code, [t.id for t in tokens]).tobytes()
+        return [self.packed(w) if other else parts[a] + parts[b] if b else parts[a]
                 for (a, b, other), w in zip(cut, words)]
 
     def whole(self, text: bytes) -> list[int]:
         return self.library.encode(text.decode(), add_special_tokens=False).ids
 
+    def packed(self, word: bytes) -> bytes:
+        return array(self.code, self.whole(word)).tobytes()
+
     def _learn(self, codes: np.ndarray, checks: np.ndarray, words: list[bytes]) -> None:
         """Add words by their hashes, which are sorted and not known."""
         ids = self.of_words(words)
-        size = np.fromiter(map(len, ids), np.int32, len(ids))
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // self.pool.itemsize
         more = int(size.sum())
         if self.used + more > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), more), np.uint32)])
-        self.pool[self.used: self.used + more] = list(itertools.chain.from_iterable(ids))
+            pool = np.empty(len(self.pool) + max(len(self.pool) // 2, more), self.code)
+            pool[: self.used] = self.pool[: self.used]
+            self.pool = pool
+        self.pool[self.used: self.used + more] = np.frombuffer(b"".join(ids), self.code)
         place = np.searchsorted(self.known, codes)
         self.known = np.insert(self.known, place, codes)
         self.check = np.insert(self.check, place, checks)
@@ -172,8 +189,7 @@ class LibraryWords:
 
 def id_type(path: str, end_id: int) -> str:
     """Raw ids are kept in two bytes where the file's ids fit, else in four."""
-    most = max(library_words(path).library.get_vocab(with_added_tokens=True).values(), default=0)
-    return "<u2" if max(most, end_id) < 1 << 16 else "<u4"
+    return "<u2" if max(library_words(path).most, end_id) < 1 << 16 else "<u4"
 
 
 @functools.lru_cache(maxsize=2)
@@ -355,8 +371,13 @@ def _to_images(rank_of: np.ndarray, dtype: str):
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> str:
     """Write ``docs`` as token files under ``folder`` and return it."""
-    spark = docs.sparkSession
-    placed = Ranges(docs, block_count(docs, PART_CHARS, shuffle_partitions(spark)))
+    with small_batches(docs.sparkSession):
+        return _written_files(docs, folder, tokenizer, end_id)
+
+
+def _written_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> str:
+    spark, size = docs.sparkSession, text_bytes(docs)
+    placed = Ranges(docs, max(shuffle_partitions(spark), -(-size // PART_CHARS)))
     mark = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 1)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", mark.alias("mark"))
     shared, dtype = spark.sparkContext.broadcast(placed), id_type(tokenizer, end_id)
@@ -366,19 +387,22 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "mark"))
     raw_path = f"{folder}/raw"
     with shuffles_removed(spark):
-        ordered.mapInArrow(_raw_blocks(np.dtype(dtype).itemsize), RAW) \
-            .write.option("compression", "zstd").parquet(raw_path)
+        in_few_files(ordered, size // PART_CHARS) \
+            .mapInArrow(_raw_blocks(np.dtype(dtype).itemsize), RAW) \
+            .write.options(compression="zstd", **ROW_GROUPS).parquet(raw_path)
     raw = spark.read.schema(RAW).parquet(raw_path)
     counts = (raw.select("ids").mapInArrow(_counts(dtype), "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")))
     # one row per id in use: at most the tokenizer's vocabulary
-    by_rank = [r["id"] for r in sorted(counts.collect(), key=lambda r: (-r["n"], r["id"]))]
+    used = sorted(counts.collect(), key=lambda r: (-r["n"], r["id"]))
+    by_rank = [r["id"] for r in used]
     rank_of = np.zeros(max(by_rank, default=0) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
     spark.createDataFrame(list(enumerate(by_rank)), "rank long, id long") \
         .coalesce(1).write.parquet(f"{folder}/ranks")
-    raw.mapInArrow(_to_images(rank_of, dtype), FILE) \
-        .write.option("compression", "none").parquet(f"{folder}/files")
+    in_few_files(raw, sum(r["n"] for r in used) // FILE_TOKENS) \
+        .mapInArrow(_to_images(rank_of, dtype), FILE) \
+        .write.options(compression="none", **ROW_GROUPS).parquet(f"{folder}/files")
     return folder
 
 
@@ -420,7 +444,10 @@ def read_token_files(spark: SparkSession, folder: str, full: bool = True) -> Dat
     for part, n in totals:
         start_of[part], start = start, start + n
     last = "ids array<int>" if full else "ids_crc32 long"
-    return files.select("part", "block", "before", "image").mapInArrow(
+    blocks = files.select("part", "block", "before", "image")
+    if not full:
+        blocks = in_few_files(blocks, start // FILE_TOKENS)
+    return blocks.mapInArrow(
         _read(id_of, start_of, full), f"doc_id long, start long, n_tokens long, {last}")
 
 
