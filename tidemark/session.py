@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 # partitions are decided from runtime sizes instead of guesses. HotSpot never
 # compiles a method of more than 8000 bytes, and a staging projection fused with
 # its joins is one: such stages run operator by operator, in compiled pieces.
+# Shuffle files go when their query ends: a build is many of them, and otherwise
+# its shuffles stay on disk until the driver's JVM happens to collect its garbage.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -23,6 +25,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
