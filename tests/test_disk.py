@@ -2,11 +2,15 @@
 
 import glob
 import time
+from urllib.parse import urlparse
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests import fixtures as fx
-from tidemark.plans.build import materialize
+from tidemark.plans import catalog as C
+from tidemark.plans.build import Models, materialize
+from tidemark.session import scratch_folder
 from tidemark.sources.sinks import Layout
 
 
@@ -46,3 +50,12 @@ def test_a_frame_still_runs_twice(spark):
     first = counts.collect()
     assert _gone(lambda: _shuffle_files(spark) - before)
     assert counts.collect() == first
+
+
+@pytest.mark.parametrize("query", [C.q_stream_ingest_events, C.q_inc_customer_orders,
+                                   C.q_dq_file_drift])
+def test_raw_copies_go_when_they_have_landed(spark, query):
+    folder = urlparse(scratch_folder(spark, "raw")).path.rsplit("/", 1)[0]
+    before = set(glob.glob(f"{folder}/raw-*"))
+    assert query(Models(_raw(spark), 2)).count()
+    assert set(glob.glob(f"{folder}/raw-*")) <= before

@@ -29,7 +29,7 @@ from tidemark.plans import oracle as O
 from tidemark.plans.build import (
     INTERMEDIATE, MARTS, REPORTS, STAGING, ChecksFailed, Models, materialize, staging_views,
 )
-from tidemark.session import lake_root, written
+from tidemark.session import lake_root, written, written_meanwhile
 from tidemark.sources.raw import load_bronze, read_found, read_raw, write_csv
 from tidemark.sources.sinks import CODEC, Layout
 from tidemark.sources.testdata import raw_tables
@@ -51,10 +51,10 @@ def models(spark: SparkSession, sf_dir: str) -> Models:
 
 # --------------------------------------------------------------------------- probes over raw tables
 
-def _made_once(m: Models, name: str) -> DataFrame:
-    """A raw table written down, for queries that read it more than once: its
+def _made_once(m: Models, name: str):
+    """A raw table written down for a block that reads it more than once: its
     joins are not made again for every read."""
-    return written(m.raw[name], f"raw-{name}", CODEC)
+    return written_meanwhile(m.raw[name], f"raw-{name}", CODEC)
 
 
 def q_src_events_csv(m: Models) -> DataFrame:
@@ -72,16 +72,21 @@ def q_stream_ingest_events(m: Models) -> DataFrame:
     """Incremental bronze load: raw events land as CSV in two batches (orders,
     then everything else); an ``availableNow`` file stream with one checkpoint
     loads each batch once. The bronze table must equal the whole raw table."""
-    events = _made_once(m, "events")
-    spark = events.sparkSession
+    spark = m.raw["events"].sparkSession
     root = os.path.join(lake_root(spark), f"stream-{uuid.uuid4().hex[:8]}")
     landing, bronze = os.path.join(root, "landing"), os.path.join(root, "bronze", "events")
     checkpoint = os.path.join(root, "checkpoints", "events")
     is_order = F.col("event_type").eqNullSafe(F.lit("order"))
-    for batch, rows in (("batch-1", events.where(is_order)), ("batch-2", events.where(~is_order))):
-        write_csv(rows, os.path.join(landing, batch))
+
+    def ingest() -> None:
         ingest_raw_stream(spark, "events", os.path.join(landing, "*"), bronze,
                           checkpoint).awaitTermination()
+
+    with _made_once(m, "events") as events:
+        write_csv(events.where(is_order), os.path.join(landing, "batch-1"))
+        ingest()
+        write_csv(events.where(~is_order), os.path.join(landing, "batch-2"))
+    ingest()
     return spark.read.parquet(bronze)
 
 
@@ -270,11 +275,11 @@ def q_dq_file_drift(m: Models) -> DataFrame:
     spark = m.raw["products"].sparkSession
     root = _new_layout(spark, "landed").root
     for name in m.raw:
-        df = _made_once(m, name)
-        for batch in ("first", "second"):
-            changed = name == "products" and batch == "second"
-            rows = df.withColumnRenamed("vendor", "maker") if changed else df
-            write_csv(rows, os.path.join(root, name, batch))
+        with _made_once(m, name) as df:
+            for batch in ("first", "second"):
+                changed = name == "products" and batch == "second"
+                rows = df.withColumnRenamed("vendor", "maker") if changed else df
+                write_csv(rows, os.path.join(root, name, batch))
     found = Q.dq_file_drift(spark, {n: os.path.join(root, n, "*") for n in m.raw})
     folder = F.element_at(F.split("file", "/"), -2).alias("folder")
     return found.select("model", folder, "column_name", "status").distinct()
@@ -288,15 +293,20 @@ def q_dq_rejects(m: Models) -> DataFrame:
 def q_inc_customer_orders(m: Models) -> DataFrame:
     """M4 kept up to date: raw events land as CSV in two batches, each applied
     once by a stream, and the summary is made from the stored partials."""
-    events = _made_once(m, "events")
-    spark = events.sparkSession
+    spark = m.raw["events"].sparkSession
     layout = _new_layout(spark, "followed")
     landing = os.path.join(layout.root, "landing")
     half = F.coalesce(F.crc32("event_id") % 2, F.lit(0))
-    for batch in (0, 1):
-        write_csv(events.where(half == batch), os.path.join(landing, f"batch-{batch}"))
+
+    def follow() -> None:
         follow_events(spark, os.path.join(landing, "*"), layout,
                       os.path.join(layout.root, "checkpoint")).awaitTermination()
+
+    with _made_once(m, "events") as events:
+        write_csv(events.where(half == 0), os.path.join(landing, "batch-0"))
+        follow()
+        write_csv(events.where(half == 1), os.path.join(landing, "batch-1"))
+    follow()
     return refresh_customers(layout, m.stg_customers, m.threshold)["int_customer_orders"]
 
 

@@ -106,6 +106,21 @@ def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     what it holds is fixed (partition ids too), and a lost executor costs tasks
     of the current step only. Unlike a checkpoint it is computed once."""
     path = scratch_folder(df.sparkSession, name)
+    return _written_to(path, df, codec)
+
+
+@contextlib.contextmanager
+def written_meanwhile(df: DataFrame, name: str, codec: str | None = None):
+    """``written`` for a block only: the files are removed when it ends, so what
+    is made of them has to be stored by then."""
+    path = scratch_folder(df.sparkSession, name)
+    try:
+        yield _written_to(path, df, codec)
+    finally:
+        _remove_scratch(df.sparkSession.sparkContext, path)
+
+
+def _written_to(path: str, df: DataFrame, codec: str | None) -> DataFrame:
     df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
